@@ -23,12 +23,17 @@ def ratio(p: Column, q: Column) -> Column:
     return F.try_divide(dbl(p), dbl(q))
 
 
+def rnd(c: Column, digits: int) -> Column:
+    """Round a DOUBLE half away from zero by way of DECIMAL, so 0.125 behaves like 0.125."""
+    return F.round(c.try_cast("decimal(38,10)"), digits).cast("double")
+
+
 def percent(p: Column, q: Column) -> Column:
     return F.try_divide(dbl(p) * 100, dbl(q))
 
 
 def margin_pct(profit: str = "profit", sales: str = "sales", digits: int = 2) -> Column:
-    return F.round(percent(F.sum(profit), F.sum(sales)), digits)
+    return rnd(percent(F.sum(profit), F.sum(sales)), digits)
 
 
 def mean(c: Column | str) -> Column:
@@ -37,7 +42,7 @@ def mean(c: Column | str) -> Column:
 
 
 def mean_pct(c: Column | str, digits: int) -> Column:
-    return F.round(mean(c) * 100, digits)
+    return rnd(mean(c) * 100, digits)
 
 
 def divide_or(p: Column, q: Column, alternate: float = 0.0) -> Column:
@@ -88,7 +93,7 @@ def label_order(c: Column, labels: Sequence[str]) -> Column:
 
 
 def share(c: Column, total: Column, digits: int = 2) -> Column:
-    return F.round(percent(c, total), digits)
+    return rnd(percent(c, total), digits)
 
 
 def display_thousands(c: Column) -> Column:

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import percent, ratio
+from ..functions.columns import percent, ratio, rnd
 from ..session import materialize
 
 CRITICAL = ["order_date", "customer_id", "product_id", "sales", "quantity"]
@@ -173,11 +173,11 @@ def validated_totals(cleaned: DataFrame) -> DataFrame:
     return cleaned.agg(
         F.round(F.sum("sales"), 2).alias("total_sales"),
         F.round(F.sum("profit"), 2).alias("total_profit"),
-        F.round(percent(F.sum("profit"), F.sum("sales")), 2).alias("margin_pct"),
+        rnd(percent(F.sum("profit"), F.sum("sales")), 2).alias("margin_pct"),
         orders.alias("orders"),
         F.count_distinct("customer_id").alias("customers"),
         F.count_distinct("product_id").alias("products"),
-        F.round(ratio(F.sum("sales"), orders), 2).alias("avg_order_value"),
+        rnd(ratio(F.sum("sales"), orders), 2).alias("avg_order_value"),
         F.min("order_date").alias("first_order"),
         F.max("order_date").alias("last_order"),
     )

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import rnd
 from ..functions.quantiles import exact_quantiles, melt
 
 MEASURES = ["sales", "profit", "quantity", "discount", "shipping_days"]
@@ -84,7 +85,7 @@ def column_profile(df: DataFrame) -> DataFrame:
         )
         .withColumn("dtype", F.element_at(kinds, F.col("column")))
         .withColumn(
-            "null_pct", F.round(F.try_divide(F.col("null_count") * 100.0, F.col("null_count") + F.col("non_null")), 2)
+            "null_pct", rnd(F.try_divide(F.col("null_count") * 100.0, F.col("null_count") + F.col("non_null")), 2)
         )
     )
 
@@ -134,15 +135,15 @@ def outlier_summary(df: DataFrame, measures: Sequence[str] = tuple(MEASURES)) ->
         .groupBy("measure")
         .agg(F.count_if(outside).alias("iqr_outliers"), F.count_if(F.abs(z) > 3).alias("zscore_outliers"))
     )
-    two = [F.round(c, 2).alias(a) for c, a in (("min", "min"), ("q1", "q1"), ("median", "median"), ("q3", "q3"),
+    two = [rnd(F.col(c), 2).alias(a) for c, a in (("min", "min"), ("q1", "q1"), ("median", "median"), ("q3", "q3"),
                                                 ("max", "max"), ("lower", "iqr_lower"), ("upper", "iqr_upper"))]
     return fences.join(counts, "measure").select(
         "measure",
         *two,
         "iqr_outliers",
-        F.round(F.col("iqr_outliers") * 100.0 / rows, 2).alias("iqr_pct"),
+        rnd(F.col("iqr_outliers") * 100.0 / rows, 2).alias("iqr_pct"),
         "zscore_outliers",
-        F.round(corrected_skew("g1", "n"), 2).alias("skew"),
+        rnd(corrected_skew("g1", "n"), 2).alias("skew"),
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import dbl, exact
+from ..functions.columns import dbl, exact, rnd
 from .features import list_price
 
 # The caps of the standard scenario, loosest first.
@@ -32,9 +32,9 @@ def discount_caps(lines: DataFrame, caps_pct: Sequence[int] = tuple(CAPS_PCT)) -
     uplift = F.col("profit") - F.col("base")
     return long.select(
         "cap_pct",
-        F.round("profit", 2).alias("profit"),
-        F.round(uplift, 2).alias("uplift"),
-        F.round(F.try_divide(uplift * 100, F.col("base")), 4).alias("uplift_pct"),
+        rnd(F.col("profit"), 2).alias("profit"),
+        rnd(uplift, 2).alias("uplift"),
+        rnd(F.try_divide(uplift * 100, F.col("base")), 4).alias("uplift_pct"),
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import label_order, margin_pct, mean, percent, ratio, share
+from ..functions.columns import label_order, margin_pct, mean, percent, ratio, rnd, share
 from ..functions.quantiles import exact_quantiles
 from .features import DISCOUNT_BANDS
 from .quality import corrected_kurtosis, corrected_skew
@@ -26,8 +26,8 @@ def shape(df: DataFrame, measures: Sequence[str]) -> DataFrame:
         v = F.col(m).cast("double")
         row = df.agg(F.skewness(v).alias("g1"), F.kurtosis(v).alias("g2"), F.count(v).alias("n")).select(
             F.lit(m).alias("measure"),
-            F.round(corrected_skew("g1", "n"), 6).alias("skew"),
-            F.round(corrected_kurtosis("g2", "n"), 6).alias("kurtosis"),
+            rnd(corrected_skew("g1", "n"), 6).alias("skew"),
+            rnd(corrected_kurtosis("g2", "n"), 6).alias("kurtosis"),
         )
         out = row if out is None else out.unionByName(row)
     return out
@@ -36,14 +36,14 @@ def shape(df: DataFrame, measures: Sequence[str]) -> DataFrame:
 def median_and_mean(df: DataFrame, measure: str = "sales") -> DataFrame:
     average = df.agg(mean(measure)).scalar()
     return exact_quantiles(df, [measure], [0.5]).select(
-        F.lit(measure).alias("measure"), F.round(F.col("q")[0], 2).alias("median"), F.round(average, 2).alias("mean")
+        F.lit(measure).alias("measure"), rnd(F.col("q")[0], 2).alias("median"), rnd(average, 2).alias("mean")
     )
 
 
 def five_numbers(df: DataFrame, measures: Sequence[str]) -> DataFrame:
     names = ["min", "q1", "median", "q3", "max"]
     q = exact_quantiles(df, measures, [0.0, 0.25, 0.5, 0.75, 1.0])
-    return q.select("measure", *[F.round(F.col("q")[i], 2).alias(n) for i, n in enumerate(names)])
+    return q.select("measure", *[rnd(F.col("q")[i], 2).alias(n) for i, n in enumerate(names)])
 
 
 def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
@@ -56,8 +56,8 @@ def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
     all_bins = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     return all_bins.join(counts, "bin", "left").select(
         "bin",
-        F.round(lo + (F.col("bin") - 1) * width, 6).alias("low"),
-        F.round(lo + F.col("bin") * width, 6).alias("high"),
+        rnd(lo + (F.col("bin") - 1) * width, 6).alias("low"),
+        rnd(lo + F.col("bin") * width, 6).alias("high"),
         F.coalesce("lines", F.lit(0)).alias("lines"),
     )
 
@@ -76,7 +76,7 @@ def correlations(df: DataFrame, measures: Sequence[str] = tuple(CORRELATED)) ->
     )
     long = row.unpivot([], row.columns, "pair", "r")
     part = F.split("pair", r"\|")
-    return long.select(part[0].alias("measure"), part[1].alias("other"), F.round("r", 6).alias("r"))
+    return long.select(part[0].alias("measure"), part[1].alias("other"), rnd(F.col("r"), 6).alias("r"))
 
 
 def correlations_with(df: DataFrame, target: str = "profit", measures: Sequence[str] = tuple(CORRELATED)) -> DataFrame:
@@ -106,7 +106,7 @@ def deep_discount_impact(df: DataFrame, limit: float = 0.30) -> DataFrame:
     deep = F.col("discount").cast("double") > limit
     return df.agg(
         F.count_if(deep).alias("deep_lines"),
-        F.round(percent(F.count_if(deep), F.count("*")), 1).alias("deep_line_pct"),
+        rnd(percent(F.count_if(deep), F.count("*")), 1).alias("deep_line_pct"),
         F.sum(F.when(deep, F.col("profit"))).alias("deep_profit"),
         F.sum(F.when(~deep, F.col("profit"))).alias("profit_without_deep"),
     )
@@ -122,7 +122,7 @@ def rolling_mean(monthly: DataFrame, months: int = 3) -> DataFrame:
     frame = Window.orderBy("year_month").rowsBetween(1 - months, 0)
     full = F.count("sales").over(frame) == months
     average = ratio(F.sum("sales").over(frame), F.count("sales").over(frame))
-    return monthly.withColumn("rolling_mean", F.when(full, F.round(average, 2)))
+    return monthly.withColumn("rolling_mean", F.when(full, rnd(average, 2)))
 
 
 def monthly_totals(df: DataFrame) -> DataFrame:
@@ -132,7 +132,7 @@ def monthly_totals(df: DataFrame) -> DataFrame:
 def seasonality(df: DataFrame) -> DataFrame:
     """Sales per calendar month averaged over the years present."""
     years = df.select("order_year").distinct().agg(F.count("order_year")).scalar()
-    return df.groupBy("order_month").agg(F.round(ratio(F.sum("sales"), years), 2).alias("avg_sales"))
+    return df.groupBy("order_month").agg(rnd(ratio(F.sum("sales"), years), 2).alias("avg_sales"))
 
 
 def season_extremes(df: DataFrame, k: int = 3) -> DataFrame:
@@ -161,8 +161,8 @@ def loss_state_discounts(df: DataFrame) -> DataFrame:
     fixed = F.col("avg_discount").cast("decimal(20,12)")
     return state_table(df).agg(
         F.count_if(F.col("profit") < 0).alias("loss_states"),
-        F.round(mean(F.when(F.col("profit") < 0, fixed)) * 100, 1).alias("loss_avg_discount_pct"),
-        F.round(mean(F.when(F.col("profit") > 0, fixed)) * 100, 1).alias("profitable_avg_discount_pct"),
+        rnd(mean(F.when(F.col("profit") < 0, fixed)) * 100, 1).alias("loss_avg_discount_pct"),
+        rnd(mean(F.when(F.col("profit") > 0, fixed)) * 100, 1).alias("profitable_avg_discount_pct"),
     )
 
 

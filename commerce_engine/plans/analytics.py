@@ -9,14 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import dbl, margin_pct, mean, mean_pct, money, percent, ratio, share
+from ..functions.columns import dbl, margin_pct, mean, mean_pct, money, percent, ratio, rnd, share
 from ..sources.star import Star
 from . import views
 
-EVERYTHING = Window.partitionBy()
+
+def total(c: str) -> Column:
+    """The sum over all (already grouped) rows."""
+    return F.sum(c).over(Window.partitionBy())
 
 
 def q01_executive_kpis(star: Star) -> DataFrame:
@@ -28,7 +31,7 @@ def q01_executive_kpis(star: Star) -> DataFrame:
         orders.alias("total_orders"),
         F.count_distinct("customer_id").alias("total_customers"),
         F.sum("quantity").alias("units_sold"),
-        F.round(ratio(F.sum("sales"), orders), 2).alias("avg_order_value"),
+        rnd(ratio(F.sum("sales"), orders), 2).alias("avg_order_value"),
     )
 
 
@@ -53,7 +56,7 @@ def q03_yearly_growth(star: Star) -> DataFrame:
         F.round("sales", 2).alias("sales"),
         F.round("profit", 2).alias("profit"),
         F.round(before, 2).alias("prev_year_sales"),
-        F.round(percent(F.col("sales") - before, before), 2).alias("yoy_growth_pct"),
+        rnd(percent(F.col("sales") - before, before), 2).alias("yoy_growth_pct"),
         "orders",
     ).orderBy("order_year")
 
@@ -98,7 +101,7 @@ def q06_category_performance(star: Star) -> DataFrame:
             margin_pct().alias("margin_pct"),
             F.count_distinct("order_id").alias("orders"),
         )
-        .withColumn("pct_of_sales", share(F.col("total"), F.sum("total").over(EVERYTHING)))
+        .withColumn("pct_of_sales", share(F.col("total"), total("total")))
         .select("category", "sales", "pct_of_sales", "profit", "margin_pct", "orders")
         .orderBy(F.desc("sales"), "category")
     )
@@ -127,7 +130,7 @@ def q08_top_customers(star: Star, k: int = 10) -> DataFrame:
             money("sales").alias("sales"),
             money("profit").alias("profit"),
             orders.alias("orders"),
-            F.round(ratio(F.sum("sales"), orders), 2).alias("avg_order_value"),
+            rnd(ratio(F.sum("sales"), orders), 2).alias("avg_order_value"),
         )
     )
     top = totals.orderBy(F.desc("sales"), "customer_id").limit(k)
@@ -150,9 +153,9 @@ def q09_customer_segments(star: Star) -> DataFrame:
             F.sum("sales").alias("total"),
             money("sales").alias("sales"),
             money("profit").alias("profit"),
-            F.round(ratio(F.sum("sales"), orders), 2).alias("avg_order_value"),
+            rnd(ratio(F.sum("sales"), orders), 2).alias("avg_order_value"),
         )
-        .withColumn("pct_of_sales", share(F.col("total"), F.sum("total").over(EVERYTHING)))
+        .withColumn("pct_of_sales", share(F.col("total"), total("total")))
         .select("segment", "customers", "orders", "sales", "pct_of_sales", "profit", "avg_order_value")
         .orderBy(F.desc("sales"), "segment")
     )
@@ -166,14 +169,14 @@ def q10_repeat_customers(star: Star) -> DataFrame:
     )
     kind = F.when(F.col("orders") == 1, "One-time").otherwise("Repeat")
     by = per_customer.groupBy(kind.alias("customer_type")).agg(
-        F.count("*").alias("customers"), F.sum("sales").alias("sales"), F.round(mean("orders"), 2).alias("avg_orders")
+        F.count("*").alias("customers"), F.sum("sales").alias("sales"), rnd(mean("orders"), 2).alias("avg_orders")
     )
     return by.select(
         "customer_type",
         "customers",
-        share(F.col("customers"), F.sum("customers").over(EVERYTHING)).alias("pct_of_customers"),
+        share(F.col("customers"), total("customers")).alias("pct_of_customers"),
         F.round("sales", 2).alias("sales"),
-        share(F.col("sales"), F.sum("sales").over(EVERYTHING)).alias("pct_of_sales"),
+        share(F.col("sales"), total("sales")).alias("pct_of_sales"),
         "avg_orders",
     ).orderBy(F.desc("sales"))
 
@@ -215,7 +218,7 @@ def q13_daily_sales_pattern(star: Star) -> DataFrame:
         .agg(
             F.count_distinct("order_id").alias("orders"),
             money("sales").alias("sales"),
-            F.round(mean("sales"), 2).alias("avg_line_value"),
+            rnd(mean("sales"), 2).alias("avg_line_value"),
         )
         .orderBy(F.desc("sales"), "day_of_week")
     )
@@ -306,7 +309,7 @@ def q19_quarterly_growth(star: Star) -> DataFrame:
         F.round("sales", 2).alias("sales"),
         F.round("profit", 2).alias("profit"),
         F.round(before, 2).alias("prev_quarter"),
-        F.round(percent(F.col("sales") - before, before), 2).alias("qoq_growth_pct"),
+        rnd(percent(F.col("sales") - before, before), 2).alias("qoq_growth_pct"),
     ).orderBy("quarter")
 
 
@@ -317,7 +320,7 @@ def q20_rolling_sales(star: Star) -> DataFrame:
 
     def average(months: int):
         frame = order.rowsBetween(1 - months, 0)
-        return F.round(ratio(F.sum("sales").over(frame), F.count("sales").over(frame)), 2)
+        return rnd(ratio(F.sum("sales").over(frame), F.count("sales").over(frame)), 2)
 
     return monthly.select(
         "year_month", "sales", average(3).alias("rolling_3m_avg"), average(6).alias("rolling_6m_avg")
@@ -343,15 +346,15 @@ def q22_rfm_segments(star: Star, profile: DataFrame | None = None) -> DataFrame:
     by = values.groupBy("rfm_segment").agg(
         F.count("*").alias("customers"),
         F.sum("lifetime_value").alias("revenue"),
-        F.round(mean("lifetime_orders"), 1).alias("avg_orders"),
-        F.round(mean("recency_days"), 0).alias("avg_recency_days"),
+        rnd(mean("lifetime_orders"), 1).alias("avg_orders"),
+        rnd(mean("recency_days"), 0).alias("avg_recency_days"),
     )
     return by.select(
         "rfm_segment",
         "customers",
-        share(F.col("customers"), F.sum("customers").over(EVERYTHING)).alias("pct_customers"),
+        share(F.col("customers"), total("customers")).alias("pct_customers"),
         F.round("revenue", 2).alias("revenue"),
-        share(F.col("revenue"), F.sum("revenue").over(EVERYTHING)).alias("pct_revenue"),
+        share(F.col("revenue"), total("revenue")).alias("pct_revenue"),
         "avg_orders",
         "avg_recency_days",
     ).orderBy(F.desc("revenue"))
@@ -363,14 +366,14 @@ def q23_high_value_customers(star: Star, profile: DataFrame | None = None) -> Da
     by = values.groupBy(tier.alias("tier")).agg(
         F.count("*").alias("customers"),
         F.sum("lifetime_value").alias("revenue"),
-        F.round(mean(F.col("avg_order_value").cast("decimal(20,2)")), 2).alias("avg_order_value"),
-        F.round(mean("lifetime_orders"), 1).alias("avg_orders"),
+        rnd(mean(F.col("avg_order_value").cast("decimal(20,2)")), 2).alias("avg_order_value"),
+        rnd(mean("lifetime_orders"), 1).alias("avg_orders"),
     )
     return by.select(
         "tier",
         "customers",
         F.round("revenue", 2).alias("revenue"),
-        share(F.col("revenue"), F.sum("revenue").over(EVERYTHING)).alias("pct_revenue"),
+        share(F.col("revenue"), total("revenue")).alias("pct_revenue"),
         "avg_order_value",
         "avg_orders",
     ).orderBy(F.desc("revenue"))
@@ -400,7 +403,7 @@ def q25_underperforming_states(star: Star) -> DataFrame:
             money("sales").alias("sales"),
             money("profit").alias("profit"),
             margin_pct().alias("margin_pct"),
-            F.round(mean(F.col("avg_discount_pct").cast("decimal(10,2)")), 1).alias("avg_discount_pct"),
+            rnd(mean(F.col("avg_discount_pct").cast("decimal(10,2)")), 1).alias("avg_discount_pct"),
         )
     )
     return by.where("profit < 0").orderBy("profit", "state")
@@ -412,11 +415,11 @@ def q26_shipping_mode_analysis(star: Star) -> DataFrame:
         .groupBy("ship_mode")
         .agg(
             F.count_distinct("order_id").alias("orders"),
-            F.round(mean("shipping_days"), 1).alias("avg_days"),
+            rnd(mean("shipping_days"), 1).alias("avg_days"),
             money("sales").alias("sales"),
             money("profit").alias("profit"),
             margin_pct().alias("margin_pct"),
-            F.round(percent(F.count_if("is_delayed"), F.count("*")), 1).alias("pct_beyond_sla"),
+            rnd(percent(F.count_if("is_delayed"), F.count("*")), 1).alias("pct_beyond_sla"),
         )
         .orderBy(F.desc("margin_pct"), "ship_mode")
     )
@@ -435,7 +438,7 @@ def q27_highest_discount_orders(star: Star, k: int = 15) -> DataFrame:
             "order_date",
             "customer_name",
             "product_name",
-            F.round(dbl("discount") * 100, 0).alias("discount_pct"),
+            rnd(dbl("discount") * 100, 0).alias("discount_pct"),
             F.round("sales", 2).alias("sales"),
             F.round("profit", 2).alias("profit"),
         )
@@ -466,7 +469,7 @@ def q29_weekend_vs_weekday(star: Star) -> DataFrame:
         .agg(
             orders.alias("orders"),
             money("sales").alias("sales"),
-            F.round(ratio(F.sum("sales"), orders), 2).alias("avg_order_value"),
+            rnd(ratio(F.sum("sales"), orders), 2).alias("avg_order_value"),
             margin_pct().alias("margin_pct"),
             mean_pct("discount", 1).alias("avg_discount_pct"),
         )

@@ -12,6 +12,7 @@ from ..functions.columns import (
     display_thousands,
     percent,
     ratio,
+    rnd,
     share,
 )
 
@@ -23,7 +24,7 @@ PAYLOAD_INPUTS = [
 
 def _delta(now: Column, before: Column) -> Column:
     """Change in percent, one decimal; 0.0 where there is nothing to compare with."""
-    return F.coalesce(F.round(percent(now - before, before), 1), F.lit(0.0))
+    return F.coalesce(rnd(percent(now - before, before), 1), F.lit(0.0))
 
 
 def kpi_cards(df: DataFrame) -> DataFrame:
@@ -57,7 +58,7 @@ def kpi_cards(df: DataFrame) -> DataFrame:
         F.struct(
             F.lit(5).alias("place"),
             F.lit("Avg Order Value").alias("label"),
-            F.round(aov[0], 2).alias("value"),
+            rnd(aov[0], 2).alias("value"),
             _delta(aov[1], aov[2]).alias("delta_pct"),
         )
     )
@@ -107,7 +108,7 @@ def region_table(df: DataFrame) -> DataFrame:
             F.round(F.sum("profit"), 2).alias("profit"),
             F.count_distinct("order_id").alias("orders"),
             F.count_distinct("customer_id").alias("customers"),
-            F.round(percent(F.sum("profit"), F.sum("sales")), 2).alias("margin_pct"),
+            rnd(percent(F.sum("profit"), F.sum("sales")), 2).alias("margin_pct"),
         )
     )
     name = F.when(F.col("is_total") == 1, "Total").otherwise(F.col("region"))

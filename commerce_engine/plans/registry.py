@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import decimals_to_double, exact
+from ..functions.columns import decimals_to_double, exact, rnd
 from ..functions.quantiles import quantile_edges
 from ..functions.columns import qcut
 from ..operators import cleaning, customers, features, forecast, metrics, quality, scenario, stats, warehouse
@@ -35,7 +35,7 @@ VALUE_FEATURES = ["profit_margin", "unit_price", "is_loss", "is_discounted", "di
 def rounded(df: DataFrame, digits: int = 6, *cols: str) -> DataFrame:
     """Round the DOUBLE columns of an output whose last bits depend on summation order."""
     doubles = [c for c, t in df.dtypes if t == "double" and (not cols or c in cols)]
-    return df.withColumns({c: F.round(c, digits) for c in doubles})
+    return df.withColumns({c: rnd(F.col(c), digits) for c in doubles})
 
 
 # ---------------------------------------------------------------- line features
@@ -215,9 +215,9 @@ def simulated_by_region(star: OrderTables, cap: float = 0.30) -> DataFrame:
     simulated = F.sum(scenario.capped_profit(cap)).cast("double")
     actual = F.sum("profit").cast("double")
     return lines.groupBy("region").agg(
-        F.round(simulated, 2).alias("simulated_profit"),
-        F.round(simulated - actual, 2).alias("profit_uplift"),
-        F.round(F.try_divide((simulated - actual), actual), 6).alias("profit_uplift_ratio"),
+        rnd(simulated, 2).alias("simulated_profit"),
+        rnd(simulated - actual, 2).alias("profit_uplift"),
+        rnd(F.try_divide((simulated - actual), actual), 6).alias("profit_uplift_ratio"),
     )
 
 

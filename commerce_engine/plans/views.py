@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import margin_pct, mean_pct, money, percent, ratio
+from ..functions.columns import margin_pct, mean_pct, money, percent, ratio, rnd
 from ..operators.customers import PROFILE_INPUTS, customer_profile
 from ..sources.star import Star
 
@@ -23,7 +23,7 @@ def monthly_summary(star: Star) -> DataFrame:
         F.count_distinct("customer_id").alias("customers"),
         F.sum("quantity").alias("units"),
         mean_pct("discount", 2).alias("avg_discount_pct"),
-        F.round(ratio(F.sum("sales"), orders), 2).alias("avg_order_value"),
+        rnd(ratio(F.sum("sales"), orders), 2).alias("avg_order_value"),
     )
 
 
@@ -57,7 +57,7 @@ def customer_values(profile: DataFrame) -> DataFrame:
         "lifetime_orders",
         F.round("lifetime_value", 2).alias("lifetime_value"),
         F.round("lifetime_profit", 2).alias("lifetime_profit"),
-        F.round("avg_order_value", 2).alias("avg_order_value"),
+        rnd(F.col("avg_order_value"), 2).alias("avg_order_value"),
         "recency_days",
         "rfm_score",
         "rfm_segment",
@@ -73,7 +73,7 @@ def product_totals(star: Star) -> DataFrame:
     return lines.groupBy("product_id").agg(
         money("sales").alias("sales"),
         money("profit").alias("profit"),
-        F.round(margin, 2).alias("margin_pct"),
+        rnd(margin, 2).alias("margin_pct"),
         F.sum("quantity").alias("units"),
         F.count_distinct("order_id").alias("orders"),
         mean_pct("discount", 2).alias("avg_discount_pct"),
@@ -125,7 +125,7 @@ DETAIL_COLS = [
 
 def sales_detail(features: DataFrame) -> DataFrame:
     """The flat four-way detail from the feature table."""
-    margin = F.round(percent(F.col("profit"), F.col("sales")), 2)
+    margin = rnd(percent(F.col("profit"), F.col("sales")), 2)
     flags = {c: F.col(c).cast("int") for c in ("is_high_value", "is_weekend_order", "is_loss")}
     return features.withColumns({**flags, "profit_margin_pct": margin}).select(*DETAIL_COLS)
 

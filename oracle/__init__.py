@@ -1 +1,6 @@
-ORACLE = {}
+"""DuckDB SQL for every query that SQL can express, keyed as the queries are."""
+
+from .analytics import ANALYTICS
+from .features import FEATURE_CHECKS
+
+ORACLE = {**ANALYTICS, **FEATURE_CHECKS}
