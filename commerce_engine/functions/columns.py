@@ -50,9 +50,10 @@ def divide_or(p: Column, q: Column, alternate: float = 0.0) -> Column:
     return F.coalesce(ratio(p, q), F.lit(alternate))
 
 
-def exact(c: Column) -> Column:
-    """Fix a DOUBLE to 8 decimals so that its sum is independent of row order."""
-    return c.cast("decimal(28,8)")
+def exact_sum(c: Column, digits: int = 6) -> Column:
+    """Sum of a DOUBLE fixed to ``digits`` decimals first: independent of row order, no overflow."""
+    scale = 10.0**digits
+    return F.sum(F.rint(c * scale).cast("bigint").cast("decimal(19,0)")).cast("double") / scale
 
 
 def decimals_to_double(df: DataFrame) -> DataFrame:

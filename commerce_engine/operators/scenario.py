@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import dbl, exact, rnd
+from ..functions.columns import dbl, exact_sum, rnd
 from .features import list_price
 
 # The caps of the standard scenario, loosest first.
@@ -18,12 +18,12 @@ def capped_profit(cap: float) -> Column:
     """Line profit if the discount had been at most ``cap`` and the sale still closed."""
     price = list_price(F.col("sales"), F.col("discount"))
     new_sales = price * (1 - F.least(dbl("discount"), F.lit(cap)))
-    return exact(F.col("profit").cast("double") + (new_sales - dbl("sales")))
+    return dbl("profit") + (new_sales - dbl("sales"))
 
 
 def discount_caps(lines: DataFrame, caps_pct: Sequence[int] = tuple(CAPS_PCT)) -> DataFrame:
     """(cap_pct, profit, uplift, uplift_pct); uplift is against the first cap."""
-    sums = lines.agg(*[F.sum(capped_profit(c / 100)).cast("double").alias(str(c)) for c in caps_pct])
+    sums = lines.agg(*[exact_sum(capped_profit(c / 100)).alias(str(c)) for c in caps_pct])
     base = F.col(f"`{caps_pct[0]}`")
     rows = F.array(
         *[F.struct(F.lit(c).alias("cap_pct"), F.col(f"`{c}`").alias("profit"), base.alias("base")) for c in caps_pct]

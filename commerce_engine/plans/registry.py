@@ -7,9 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import decimals_to_double, exact, rnd
+from ..functions.columns import decimals_to_double, exact_sum, qcut, rnd
 from ..functions.quantiles import quantile_edges
-from ..functions.columns import qcut
 from ..operators import cleaning, customers, features, forecast, metrics, quality, scenario, stats, warehouse
 from ..session import configure, materialize
 from ..sources.extract import raw_extract
@@ -212,7 +211,7 @@ def caps(star: OrderTables) -> DataFrame:
 
 def simulated_by_region(star: OrderTables, cap: float = 0.30) -> DataFrame:
     lines = star.lines("region", "sales", "profit", "discount")
-    simulated = F.sum(scenario.capped_profit(cap)).cast("double")
+    simulated = exact_sum(scenario.capped_profit(cap))
     actual = F.sum("profit").cast("double")
     return lines.groupBy("region").agg(
         rnd(simulated, 2).alias("simulated_profit"),

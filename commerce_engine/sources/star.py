@@ -9,6 +9,7 @@ measured size is under the session's threshold and shuffles both sides otherwise
 
 from __future__ import annotations
 
+import os
 from abc import ABC, abstractmethod
 from decimal import Decimal
 
@@ -34,6 +35,11 @@ SCHEMAS = {
     ),
 }
 
+# A file below this is read as one split whatever the cluster's settings.
+ONE_SPLIT_BYTES = 64 * 1024 * 1024
+# Files of the joined order side below this in total are broadcast.
+BROADCAST_BYTES = 8 * 1024 * 1024
+
 PRODUCT_COLS = ["product_id", "product_name", "category", "sub_category"]
 CUSTOMER_COLS = ["customer_id", "customer_name", "segment"]
 GEOGRAPHY_COLS = ["country", "region", "state", "city", "postal_code"]
@@ -92,8 +98,23 @@ VALUE_COLS = {
 DERIVED_FROM = _TIME | VALUE_COLS
 
 
-def dec(text: str) -> Column:
-    return F.lit(Decimal(text))
+CENT = Decimal("0.01")
+
+
+def hundredths(c: str) -> Column:
+    """A two-decimal DOUBLE as a whole number of hundredths."""
+    return F.rint(F.col(c) * 100).cast("bigint")
+
+
+def per_hundred(c: Column) -> Column:
+    """c / 100 as a whole number, half away from zero."""
+    half = F.when(c < 0, -50).otherwise(50)
+    return F.call_function("div", c + half, F.lit(100))
+
+
+def as_money(cents: Column) -> Column:
+    """Whole cents as DECIMAL(18,2)."""
+    return cents.cast("decimal(15,0)") * F.lit(CENT)
 
 
 class OrderTables(Star):
@@ -105,6 +126,18 @@ class OrderTables(Star):
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.path}/{name}.parquet")
 
+    def _local_bytes(self, *names: str) -> float:
+        """Size of the tables where they are single local files, else infinity."""
+        files = [f"{self.path}/{n}.parquet" for n in names]
+        return sum(os.path.getsize(f) if os.path.isfile(f) else float("inf") for f in files)
+
+    def _order_lines(self) -> DataFrame:
+        """Order lines; one small local file, which a single task reads, is spread over the cores."""
+        lines = self.table("lineitem")
+        if self._local_bytes("lineitem") < ONE_SPLIT_BYTES:
+            return lines.repartition(self.spark.sparkContext.defaultParallelism, "l_orderkey")
+        return lines
+
     def products(self) -> DataFrame:
         return self.table("part").select(
             F.col("p_partkey").alias("product_id"),
@@ -123,9 +156,14 @@ class OrderTables(Star):
     def base_lines(self, *cols: str) -> DataFrame:
         exprs = _expressions()
         tables = {t for c in cols for t in exprs[c][0]}
-        df = self.table("lineitem")
+        df = self._order_lines()
         if tables - {"part"}:
-            df = df.join(self._orders(tables), F.col("l_orderkey") == F.col("o_orderkey"))
+            orders = self._orders(tables)
+            # The optimizer overrates the size of a joined side. Broadcast it where its files
+            # are known to be small; otherwise both sides shuffle and AQE decides on real sizes.
+            if self._local_bytes("orders", "customer", "nation", "region") < BROADCAST_BYTES:
+                orders = F.broadcast(orders)
+            df = df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         if "part" in tables:
             df = df.join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
         return df.select(*[exprs[c][1].alias(c) for c in cols])
@@ -145,10 +183,11 @@ class OrderTables(Star):
 
 def _expressions() -> dict[str, tuple[tuple[str, ...], Column]]:
     """column -> (tables beyond the order lines it needs, expression)."""
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
-    discount = (F.col("l_discount").cast("decimal(4,2)") * 8).cast("decimal(4,2)")
-    sales = F.round(price * (1 - discount), 2).cast("decimal(18,2)")
-    cost_rate = dec("0.40") + dec("0.04") * (F.col("c_nationkey") % 10)
+    # Whole-number cents keep the arithmetic exact and out of wide DECIMALs.
+    price = hundredths("l_extendedprice")
+    discount = hundredths("l_discount") * 8
+    sales = per_hundred(price * (100 - discount))
+    cost = per_hundred(price * (40 + 4 * (F.col("c_nationkey") % 10)))
     order_date = F.col("o_orderdate").cast("date")
     raw_ship = F.col("l_shipdate").cast("date")
     ship_date = F.date_add(order_date, F.pmod(F.datediff(raw_ship, order_date), F.lit(8)))
@@ -164,15 +203,15 @@ def _expressions() -> dict[str, tuple[tuple[str, ...], Column]]:
         F.col("l_linenumber").cast("string"),
         F.col("l_partkey").cast("string"),
         F.col("l_suppkey").cast("string"),
-        price.cast("string"),
+        as_money(price).cast("string"),
     )
     return {
         "row_id": ((), row_id),
         "order_id": ((), F.col("l_orderkey")),
         "product_id": ((), F.col("l_partkey")),
         "quantity": ((), F.col("l_quantity").cast("int")),
-        "discount": ((), discount),
-        "sales": ((), sales),
+        "discount": ((), (discount.cast("decimal(3,0)") * F.lit(CENT)).cast("decimal(4,2)")),
+        "sales": ((), as_money(sales)),
         "raw_ship_date": ((), raw_ship),
         "order_date": (("orders",), order_date),
         "ship_date": (("orders",), ship_date),
@@ -182,7 +221,7 @@ def _expressions() -> dict[str, tuple[tuple[str, ...], Column]]:
         "segment": (("customer",), F.col("c_mktsegment")),
         "country": ((), F.lit("United States")),
         "postal_code": (("customer",), postal),
-        "profit": (("customer",), (sales - F.round(price * cost_rate, 2)).cast("decimal(18,2)")),
+        "profit": (("customer",), as_money(sales - cost)),
         "city": (("nation",), F.concat_ws("-", "n_name", area.cast("string"))),
         "state": (("nation",), F.col("n_name")),
         "region": (("region",), F.col("r_name")),
