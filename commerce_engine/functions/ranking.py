@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,18 +21,14 @@ def with_global_position(df: DataFrame, order: Sequence[str], name: str = "posit
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
     key = F.struct(*order)
 
-    rows = df.agg(F.count("*").alias("n")).scalar()
+    step = math.isqrt(ranges) + 1
+    rows = df.agg(F.count("*")).scalar()
     every = F.greatest(F.lit(1).cast("bigint"), F.floor(rows / ranges))
-    step = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size("cuts"))).cast("int"))
-    cuts = (
-        df.where(F.pmod(F.xxhash64(*order), every) == 0)
-        .agg(F.sort_array(F.collect_set(key)).alias("cuts"))
-        .withColumn("step", step)
-        .select(F.struct("cuts", "step", F.filter("cuts", lambda c, i: i % F.col("step") == 0).alias("heads")))
-        .scalar()
-    )
+    sample = df.where(F.pmod(F.xxhash64(*order), every) == 0).agg(F.sort_array(F.collect_set(key)).alias("cuts"))
+    cuts = sample.scalar()
+    heads = sample.select(F.filter("cuts", lambda c, i: i % step == 0)).scalar()
 
-    ranged = df.withColumn("_range", _count_before(cuts, key))
+    ranged = df.withColumn("_block", _below(heads, key)).withColumn("_range", _range(cuts, step, key)).drop("_block")
     counts = ranged.groupBy("_range").agg(F.count("*").alias("cnt"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -43,15 +40,16 @@ def with_global_position(df: DataFrame, order: Sequence[str], name: str = "posit
     return ranged.withColumn(name, F.element_at(offsets, F.col("_range")) + within).drop("_range")
 
 
-def _count_before(cuts: Column, key: Column) -> Column:
-    """Number of cut points below ``key``: find the block by its head, then look inside it."""
+def _below(points: Column, key: Column) -> Column:
+    """Number of sorted points below ``key``."""
+    return F.array_position(F.sort_array(F.array_append(points, key)), key).cast("int") - 1
 
-    def below(points: Column) -> Column:
-        return F.array_position(F.sort_array(F.array_append(points, key)), key).cast("int") - 1
 
-    block = below(cuts["heads"])
-    inside = below(F.slice(cuts["cuts"], (F.greatest(block, F.lit(1)) - 1) * cuts["step"] + 1, cuts["step"]))
-    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * cuts["step"] + inside)
+def _range(cuts: Column, step: int, key: Column) -> Column:
+    """Number of cut points below ``key``: the block is known by its head, look inside it."""
+    block = F.col("_block")
+    start = F.greatest(block - 1, F.lit(0)) * step
+    return F.when(block == 0, F.lit(0)).otherwise(start + _below(F.slice(cuts, start + 1, F.lit(step)), key))
 
 
 def with_dense_rank(df: DataFrame, value: str, name: str) -> DataFrame:

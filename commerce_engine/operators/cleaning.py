@@ -15,8 +15,13 @@ DATES = ["order_date", "ship_date"]
 MEASURE_TYPES = {"sales": "decimal(18,4)", "quantity": "int", "discount": "decimal(4,2)", "profit": "decimal(18,4)"}
 NUMERIC_TEXT = [*MEASURE_TYPES, "postal_code"]
 
-# Accepted date formats (month before day) and texts read as null.
-DATE_FORMATS = ["yyyy-MM-dd", "M/d/yyyy", "yyyy/MM/dd", "MMM d, yyyy"]
+# Accepted date formats (month before day) with their shapes, and texts read as null.
+DATE_FORMATS = {
+    "yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}$",
+    "M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+    "yyyy/MM/dd": r"^\d{4}/\d{2}/\d{2}$",
+    "MMM d, yyyy": r"^[A-Z][a-z]{2} \d{1,2}, \d{4}$",
+}
 NULL_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
     "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
@@ -70,7 +75,10 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
 
 
 def parse_date(c: str) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(F.col(c), F.lit(f)) for f in DATE_FORMATS]).cast("date")
+    """The first format whose shape fits; a fitting shape with no such day is null."""
+    text = F.col(c)
+    tries = [F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(f))) for f, shape in DATE_FORMATS.items()]
+    return F.coalesce(*tries).cast("date")
 
 
 def parse_types(df: DataFrame) -> DataFrame:

@@ -47,40 +47,49 @@ def customer_profile(lines: DataFrame) -> DataFrame:
 
 
 def score_customers(totals: DataFrame) -> DataFrame:
-    newest = totals.agg(F.max("last_order")).scalar()
-    dated = totals.withColumns(
+    whole = totals.agg(F.struct(F.max("last_order").alias("newest"), F.count("*").alias("customers"))).scalar()
+    dated = _dated(totals, whole)
+    edges = exact_quantiles(dated, ["recency_days", "lifetime_value"], QUINTILES).agg(
+        F.struct(
+            F.max_by("q", F.col("measure") == "recency_days").alias("recency"),
+            F.max_by("q", F.col("measure") == "lifetime_value").alias("value"),
+        )
+    )
+    scored = (
+        with_global_position(totals, ["lifetime_orders", *KEYS], "_place")
+        .transform(_dated, whole)
+        .withColumn("_edges", edges.scalar())
+        .withColumns(
+            {
+                "is_high_value": F.col("lifetime_value").cast("double") >= F.col("_edges.value")[3],
+                "r_score": _score("recency_days", "recency", [5, 4, 3, 2, 1]),
+                "f_score": position_quintile("_place", F.col("_whole.customers")),
+                "m_score": _score("lifetime_value", "value", [1, 2, 3, 4, 5]),
+            }
+        )
+    )
+    total = F.col("r_score") + F.col("f_score") + F.col("m_score")
+    return scored.withColumn("rfm_score", total).withColumn("rfm_segment", rfm_segment(F.col("rfm_score"))).select(
+        *KEYS, "lifetime_orders", "lifetime_value", "lifetime_profit", "lifetime_units", "avg_discount",
+        "first_order", "last_order", "distinct_products", "avg_order_value", "profit_margin", "tenure_days",
+        "recency_days", "is_repeat", "is_high_value", "r_score", "f_score", "m_score", "rfm_score", "rfm_segment",
+    )
+
+
+def _dated(totals: DataFrame, whole) -> DataFrame:
+    return totals.withColumn("_whole", whole).withColumns(
         {
             "avg_order_value": ratio(F.col("lifetime_value"), F.col("lifetime_orders")),
             "profit_margin": percent(F.col("lifetime_profit"), F.col("lifetime_value")),
             "tenure_days": F.datediff("last_order", "first_order"),
-            "recency_days": F.datediff(F.date_add(newest, 1), "last_order"),
+            "recency_days": F.datediff(F.date_add("_whole.newest", 1), "last_order"),
             "is_repeat": F.col("lifetime_orders") > 1,
         }
     )
-    edges = exact_quantiles(dated, ["recency_days", "lifetime_value"], QUINTILES).agg(
-        F.max_by("q", F.col("measure") == "recency_days").alias("recency"),
-        F.max_by("q", F.col("measure") == "lifetime_value").alias("value"),
-    )
-    recency = edges.select("recency").scalar()
-    value = edges.select("value").scalar()
-    spend = F.col("lifetime_value").cast("double")
-    n = totals.agg(F.count("*")).scalar()
 
-    placed = with_global_position(dated, ["lifetime_orders", *KEYS], "_place")
-    scored = placed.withColumns(
-        {
-            "is_high_value": spend >= value[3],
-            "r_score": qcut(F.col("recency_days"), [recency[i] for i in range(4)], [5, 4, 3, 2, 1]),
-            "f_score": position_quintile("_place", n),
-            "m_score": qcut(spend, [value[i] for i in range(4)], [1, 2, 3, 4, 5]),
-        }
-    ).drop("_place")
-    total = F.col("r_score") + F.col("f_score") + F.col("m_score")
-    return scored.withColumn("rfm_score", total).withColumn("rfm_segment", rfm_segment(total)).select(
-        *KEYS, "lifetime_orders", "lifetime_value", "lifetime_profit", "lifetime_units", "avg_discount",
-        "first_order", "last_order", "distinct_products", "avg_order_value", "profit_margin", "tenure_days",
-        "recency_days", "is_repeat", "is_high_value", "r_score", "f_score", "m_score", "rfm_score", "rfm_segment",
-    )
+
+def _score(measure: str, edges: str, labels: list[int]):
+    return qcut(F.col(measure).cast("double"), [F.col(f"_edges.{edges}")[i] for i in range(4)], labels)
 
 
 def position_quintile(place: str, n):
