@@ -68,7 +68,10 @@ def exact_quantiles(df: DataFrame, measures: Sequence[str], probs: Sequence[floa
     return located.select("measure", "n", F.array(*quantiles).alias("q"))
 
 
-def quantile_edges(df: DataFrame, measure: str, probs: Sequence[float]) -> list[Column]:
-    """The quantiles as columns backed by one scalar subquery."""
-    edges = exact_quantiles(df, [measure], probs).select("q").scalar()
-    return [edges[i] for i in range(len(probs))]
+def quantile_edges(df: DataFrame, measure: str, probs: Sequence[float]) -> Column:
+    """The quantiles as one array column, a scalar subquery.
+
+    Put it into a column of its own before using its elements: every mention of a
+    subquery is planned again.
+    """
+    return exact_quantiles(df, [measure], probs).select("q").scalar()

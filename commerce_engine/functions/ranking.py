@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def with_global_position(df: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
     """Add the 1-based position of each row in ascending ``order`` (which must be unique).
@@ -15,7 +17,7 @@ def with_global_position(df: DataFrame, order: Sequence[str], name: str = "posit
     A hash sample of the keys gives about as many cut points as there are shuffle
     partitions. Rows are numbered inside their key range; a small per-range count
     supplies the offset. Cut points are a pure function of the data, so a retried
-    task sees the same ranges.
+    task sees the same ranges. ``df`` is read several times: pass a written table.
     """
     spark = df.sparkSession
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
@@ -55,5 +57,5 @@ def _range(cuts: Column, step: int, key: Column) -> Column:
 def with_dense_rank(df: DataFrame, value: str, name: str) -> DataFrame:
     """Dense rank by ``value`` descending over all rows of ``df``."""
     distinct = df.select((-F.col(value)).alias("_v")).where("_v is not null").distinct()
-    ranked = with_global_position(distinct, ["_v"], name).select((-F.col("_v")).alias(value), name)
+    ranked = with_global_position(materialize(distinct, "distinct"), ["_v"], name).select((-F.col("_v")).alias(value), name)
     return df.join(ranked, value, "left")

@@ -24,30 +24,33 @@ def false_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
-def add_time_features(df: DataFrame, sla_days: int = SLA_DAYS) -> DataFrame:
+def add_time_features(df: DataFrame, sla_days: int = SLA_DAYS, only: Sequence[str] | None = None) -> DataFrame:
     """Calendar parts of order_date and, where ship_date is present, shipping speed."""
-    new: dict[str, Column] = {}
-    if "order_date" in df.columns:
-        d = F.col("order_date")
-        quarter = F.concat(F.lit("Q"), F.quarter(d).cast("string"))
-        new |= {
-            "order_year": F.year(d),
-            "order_month": F.month(d),
-            "order_month_name": F.date_format(d, "MMM"),
-            "order_quarter": quarter,
-            "order_quarter_num": F.quarter(d),
-            "year_month": F.date_format(d, "yyyy-MM"),
-            "year_quarter": F.concat_ws("-", F.year(d).cast("string"), quarter),
-            "order_day_name": F.date_format(d, "EEEE"),
-            "order_week": F.weekofyear(d),
-            "is_weekend_order": false_if_null(F.weekday(d) >= 5),
-        }
-    if "ship_date" in df.columns:
-        new["processing_month"] = F.date_format("ship_date", "MMM")
-        if "order_date" in df.columns:
-            days = F.datediff("ship_date", "order_date")
-            new |= {"shipping_days": days, "is_delayed": false_if_null(days > sla_days)}
-    return df.withColumns(new)
+
+    def quarter(d: Column) -> Column:
+        return F.concat(F.lit("Q"), F.quarter(d).cast("string"))
+
+    d, ship = F.col("order_date"), F.col("ship_date")
+    of_order = {
+        "order_year": lambda: F.year(d),
+        "order_month": lambda: F.month(d),
+        "order_month_name": lambda: F.date_format(d, "MMM"),
+        "order_quarter": lambda: quarter(d),
+        "order_quarter_num": lambda: F.quarter(d),
+        "year_month": lambda: F.date_format(d, "yyyy-MM"),
+        "year_quarter": lambda: F.concat_ws("-", F.year(d).cast("string"), quarter(d)),
+        "order_day_name": lambda: F.date_format(d, "EEEE"),
+        "order_week": lambda: F.weekofyear(d),
+        "is_weekend_order": lambda: false_if_null(F.weekday(d) >= 5),
+    }
+    of_ship = {"processing_month": lambda: F.date_format(ship, "MMM")}
+    of_both = {
+        "shipping_days": lambda: F.datediff(ship, d),
+        "is_delayed": lambda: false_if_null(F.datediff(ship, d) > sla_days),
+    }
+    has_order, has_ship = "order_date" in df.columns, "ship_date" in df.columns
+    new = (of_order if has_order else {}) | (of_ship if has_ship else {}) | (of_both if has_order and has_ship else {})
+    return df.withColumns({c: build() for c, build in new.items() if only is None or c in only})
 
 
 def discount_band(c: Column) -> Column:
@@ -95,9 +98,13 @@ def add_sales_category(df: DataFrame, measures: DataFrame | None = None) -> Data
     example before any join); the edges reach the plan as scalar subqueries.
     """
     source = df if measures is None else measures
-    edges = quantile_edges(source, "sales", [0.25, 0.50, 0.75])
-    top = source.agg(F.max("sales")).scalar()
-    return df.withColumn("sales_category", sales_category(F.col("sales"), edges, top))
+    edges = quantile_edges(source, "sales", [0.25, 0.50, 0.75, 1.0])
+    quartiles = [F.col("_edges")[i] for i in range(3)]
+    return (
+        df.withColumn("_edges", edges)
+        .withColumn("sales_category", sales_category(F.col("sales"), quartiles, F.col("_edges")[3]))
+        .drop("_edges")
+    )
 
 
 def attach_customer_features(lines: DataFrame, profile: DataFrame) -> DataFrame:

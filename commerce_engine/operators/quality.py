@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import rnd
-from ..functions.quantiles import exact_quantiles, melt
+from ..functions.quantiles import exact_quantiles
 
 MEASURES = ["sales", "profit", "quantity", "discount", "shipping_days"]
 
@@ -106,42 +106,55 @@ def key_uniqueness(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
 
 # ------------------------------------------------------------------ outliers
 def outlier_fences(df: DataFrame, measures: Sequence[str] = tuple(MEASURES)) -> DataFrame:
-    """Quartiles, 1.5 IQR fences, mean and sample deviation: one row per measure."""
+    """Quartiles and 1.5 IQR fences: one row per measure."""
     q = exact_quantiles(df, measures, [0.0, 0.25, 0.5, 0.75, 1.0])
-    moments = (
-        melt(df, measures)
-        .groupBy("measure")
-        .agg(F.avg("v").alias("mu"), F.stddev_samp("v").alias("sigma"), F.skewness("v").alias("g1"))
-    )
     named = q.select(
         "measure", "n", *[F.col("q")[i].alias(a) for i, a in enumerate(["min", "q1", "median", "q3", "max"])]
     )
     iqr = F.col("q3") - F.col("q1")
-    return named.withColumns({"lower": F.col("q1") - 1.5 * iqr, "upper": F.col("q3") + 1.5 * iqr}).join(
-        moments, "measure"
-    )
+    return named.withColumns({"lower": F.col("q1") - 1.5 * iqr, "upper": F.col("q3") + 1.5 * iqr})
+
+
+def per_measure(row: DataFrame, measures: Sequence[str], *names: str) -> DataFrame:
+    """One row per measure from a one-row aggregate with columns named ``measure|name``."""
+    items = [
+        F.struct(F.lit(m).alias("measure"), *[F.col(f"`{m}|{n}`").alias(n) for n in names]) for m in measures
+    ]
+    return row.select(F.explode(F.array(*items)).alias("e")).select("e.*")
+
+
+def by_measure(fences: DataFrame) -> Column:
+    """measure -> fence as one map, a scalar subquery over one row per measure."""
+    fence = F.struct(*[c for c in fences.columns if c != "measure"])
+    return fences.agg(F.map_from_entries(F.collect_list(F.struct("measure", fence))).alias("m")).scalar()
 
 
 def outlier_summary(df: DataFrame, measures: Sequence[str] = tuple(MEASURES)) -> DataFrame:
     """Fences and counts outside them, counts beyond three deviations, corrected skew."""
-    fences = outlier_fences(df, measures)
-    rows = df.agg(F.count("*")).scalar()
-    outside = (F.col("v") < F.col("lower")) | (F.col("v") > F.col("upper"))
-    z = F.try_divide(F.col("v") - F.col("mu"), F.col("sigma"))
-    # fences holds one row per measure.
-    counts = (
-        melt(df, measures)
-        .join(F.broadcast(fences.select("measure", "lower", "upper", "mu", "sigma")), "measure")
-        .groupBy("measure")
-        .agg(F.count_if(outside).alias("iqr_outliers"), F.count_if(F.abs(z) > 3).alias("zscore_outliers"))
+    v = {m: F.col(m).cast("double") for m in measures}
+    moments = df.agg(
+        *[
+            f(v[m]).alias(f"{m}|{n}")
+            for m in measures
+            for n, f in (("mu", F.avg), ("sigma", F.stddev_samp), ("g1", F.skewness))
+        ],
+        *[F.count("*").alias(f"{m}|rows") for m in measures],
     )
-    two = [rnd(F.col(c), 2).alias(a) for c, a in (("min", "min"), ("q1", "q1"), ("median", "median"), ("q3", "q3"),
-                                                ("max", "max"), ("lower", "iqr_lower"), ("upper", "iqr_upper"))]
-    return fences.join(counts, "measure").select(
+    fences = outlier_fences(df, measures).join(per_measure(moments, measures, "mu", "sigma", "g1", "rows"), "measure")
+    counts = []
+    for m in measures:
+        fence = F.col("_fence")[m]
+        z = F.try_divide(v[m] - fence["mu"], fence["sigma"])
+        counts.append(F.count_if((v[m] < fence["lower"]) | (v[m] > fence["upper"])).alias(f"{m}|iqr_outliers"))
+        counts.append(F.count_if(F.abs(z) > 3).alias(f"{m}|zscore_outliers"))
+    limits = by_measure(fences.select("measure", "lower", "upper", "mu", "sigma"))
+    outside = df.withColumn("_fence", limits).agg(*counts)
+    two = {"min": "min", "q1": "q1", "median": "median", "q3": "q3", "max": "max", "lower": "iqr_lower", "upper": "iqr_upper"}
+    return fences.join(per_measure(outside, measures, "iqr_outliers", "zscore_outliers"), "measure").select(
         "measure",
-        *two,
+        *[rnd(F.col(c), 2).alias(a) for c, a in two.items()],
         "iqr_outliers",
-        rnd(F.col("iqr_outliers") * 100.0 / rows, 2).alias("iqr_pct"),
+        rnd(F.col("iqr_outliers") * 100.0 / F.col("rows"), 2).alias("iqr_pct"),
         "zscore_outliers",
         rnd(corrected_skew("g1", "n"), 2).alias("skew"),
     )
@@ -161,16 +174,14 @@ def corrected_kurtosis(g2: str, n: str) -> Column:
 
 def outlier_rows(df: DataFrame, measures: Sequence[str] = tuple(MEASURES)) -> DataFrame:
     """Rows outside the fence of any measure, with one flag per measure."""
-    by = outlier_fences(df, measures).agg(
-        F.map_from_entries(F.collect_list(F.struct("measure", F.struct("lower", "upper")))).alias("m")
-    )
-    fence = by.scalar()
+    fenced = df.withColumn("_fence", by_measure(outlier_fences(df, measures).select("measure", "lower", "upper")))
     flags = {}
     for m in measures:
         v = F.col(m).cast("double")
-        low, high = fence[m]["lower"], fence[m]["upper"]
+        fence = F.col("_fence")[m]
+        low, high = fence["lower"], fence["upper"]
         flags[f"{m}_outlier"] = F.coalesce((v < low) | (v > high), F.lit(False))
-    flagged = df.withColumns(flags)
+    flagged = fenced.withColumns(flags).drop("_fence")
     return flagged.where(F.array_contains(F.array(*flags), True))
 
 

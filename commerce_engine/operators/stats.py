@@ -50,11 +50,11 @@ def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
     """Equal-width bins between min and max, the last one closed; empty bins count 0."""
     values = df.select(value.cast("double").alias("x")).where("x is not null")
     ends = values.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
-    lo, width = ends["lo"], (ends["hi"] - ends["lo"]) / bins
+    lo, width = F.col("ends.lo"), (F.col("ends.hi") - F.col("ends.lo")) / bins
     slot = F.least(F.floor(F.try_divide(F.col("x") - lo, width)), F.lit(bins - 1)) + 1
-    counts = values.groupBy(F.coalesce(slot, F.lit(1)).cast("int").alias("bin")).agg(F.count("*").alias("lines"))
+    counts = values.withColumn("ends", ends).groupBy(F.coalesce(slot, F.lit(1)).cast("int").alias("bin")).agg(F.count("*").alias("lines"))
     all_bins = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
-    return all_bins.join(counts, "bin", "left").select(
+    return all_bins.join(counts, "bin", "left").withColumn("ends", ends).select(
         "bin",
         rnd(lo + (F.col("bin") - 1) * width, 6).alias("low"),
         rnd(lo + F.col("bin") * width, 6).alias("high"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ranking import with_global_position
+from ..session import materialize
 
 GEO_KEYS = ["country", "region", "state", "city", "postal_code"]
 FACT_COLS = [
@@ -37,7 +38,7 @@ def dim_product(lines: DataFrame) -> DataFrame:
 def dim_geography(lines: DataFrame) -> DataFrame:
     """Distinct places numbered in order of first appearance (lowest row id)."""
     places = lines.groupBy(*GEO_KEYS).agg(F.min("row_id").alias("first_row"))
-    numbered = with_global_position(places, ["first_row"], "geo_id")
+    numbered = with_global_position(materialize(places, "places"), ["first_row"], "geo_id")
     return numbered.select(F.col("geo_id").cast("int").alias("geo_id"), *GEO_KEYS)
 
 

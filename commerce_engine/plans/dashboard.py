@@ -30,12 +30,12 @@ def _delta(now: Column, before: Column) -> Column:
 def kpi_cards(df: DataFrame) -> DataFrame:
     """Five KPIs over everything, each with the change of the latest year on the year before."""
     years = df.select("order_year").distinct().agg(F.sort_array(F.collect_set("order_year"), False)).scalar()
-    latest, previous = F.try_element_at(years, F.lit(1)), F.try_element_at(years, F.lit(2))
+    latest, previous = F.try_element_at("_years", F.lit(1)), F.try_element_at("_years", F.lit(2))
 
     def of(year: Column, c: str) -> Column:
         return F.when(F.col("order_year") == year, F.col(c))
 
-    row = df.agg(
+    row = df.withColumn("_years", years).agg(
         F.sum("sales").alias("sales"),
         F.sum("profit").alias("profit"),
         F.count_distinct("order_id").alias("orders"),

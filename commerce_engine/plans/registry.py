@@ -52,8 +52,9 @@ def sales_categories(star: OrderTables) -> DataFrame:
 
 def sales_quintile(star: OrderTables) -> DataFrame:
     lines = star.lines("row_id", "sales")
-    edges = quantile_edges(lines, "sales", [0.2, 0.4, 0.6, 0.8])
-    return lines.withColumn("quintile", qcut(F.col("sales").cast("double"), edges, [1, 2, 3, 4, 5]))
+    edges = [F.col("_edges")[i] for i in range(4)]
+    placed = lines.withColumn("_edges", quantile_edges(lines, "sales", [0.2, 0.4, 0.6, 0.8]))
+    return placed.withColumn("quintile", qcut(F.col("sales").cast("double"), edges, [1, 2, 3, 4, 5])).drop("_edges")
 
 
 def feature_table(star: OrderTables, profile: DataFrame | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 from abc import ABC, abstractmethod
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,7 +73,7 @@ class Star(ABC):
         df = self.base_lines(*dict.fromkeys([*base, *sorted(inputs)]))
         if derived:
             if inputs & {"order_date", "ship_date"}:
-                df = add_time_features(df)
+                df = add_time_features(df, only=derived)
             if any(c in VALUE_COLS for c in derived):
                 df = add_value_features(df)
         return df.select(*cols)
@@ -154,8 +155,7 @@ class OrderTables(Star):
         )
 
     def base_lines(self, *cols: str) -> DataFrame:
-        exprs = _expressions()
-        tables = {t for c in cols for t in exprs[c][0]}
+        tables = {NEEDS[c] for c in cols if c in NEEDS}
         df = self._order_lines()
         if tables - {"part"}:
             orders = self._orders(tables)
@@ -166,7 +166,7 @@ class OrderTables(Star):
             df = df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         if "part" in tables:
             df = df.join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
-        return df.select(*[exprs[c][1].alias(c) for c in cols])
+        return df.select(*[EXPRESSIONS[c]().alias(c) for c in cols])
 
     def _orders(self, tables: set[str]) -> DataFrame:
         orders = self.table("orders")
@@ -181,54 +181,77 @@ class OrderTables(Star):
         return orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
 
 
-def _expressions() -> dict[str, tuple[tuple[str, ...], Column]]:
-    """column -> (tables beyond the order lines it needs, expression)."""
+# column -> tables beyond the order lines it needs
+NEEDS = {
+    "order_date": "orders", "ship_date": "orders", "ship_mode": "orders", "customer_id": "orders",
+    "customer_name": "customer", "segment": "customer", "postal_code": "customer", "profit": "customer",
+    "city": "nation", "state": "nation", "region": "region",
+    "product_name": "part", "category": "part", "sub_category": "part",
+}
+
+
+def _price() -> Column:
     # Whole-number cents keep the arithmetic exact and out of wide DECIMALs.
-    price = hundredths("l_extendedprice")
-    discount = hundredths("l_discount") * 8
-    sales = per_hundred(price * (100 - discount))
-    cost = per_hundred(price * (40 + 4 * (F.col("c_nationkey") % 10)))
-    order_date = F.col("o_orderdate").cast("date")
-    raw_ship = F.col("l_shipdate").cast("date")
-    ship_date = F.date_add(order_date, F.pmod(F.datediff(raw_ship, order_date), F.lit(8)))
+    return hundredths("l_extendedprice")
+
+
+def _discount() -> Column:
+    return hundredths("l_discount") * 8
+
+
+def _sales() -> Column:
+    return per_hundred(_price() * (100 - _discount()))
+
+
+def _order_date() -> Column:
+    return F.col("o_orderdate").cast("date")
+
+
+def _ship_date() -> Column:
+    days = F.pmod(F.datediff(F.col("l_shipdate").cast("date"), _order_date()), F.lit(8))
+    return F.date_add(_order_date(), days)
+
+
+def _profit() -> Column:
+    return as_money(_sales() - per_hundred(_price() * (40 + 4 * (F.col("c_nationkey") % 10))))
+
+
+def _postal_code() -> Column:
+    """One city in twenty never has a code; the others have three."""
     area = F.col("c_custkey") % 20
-    # One city in twenty never has a code; the others have three.
-    postal = F.when(
-        area != 7,
-        F.lpad((501 + F.col("c_nationkey") * 1000 + area * 40 + F.col("c_custkey") % 3).cast("string"), 5, "0"),
-    )
-    row_id = F.concat_ws(
-        "-",
-        F.col("l_orderkey").cast("string"),
-        F.col("l_linenumber").cast("string"),
-        F.col("l_partkey").cast("string"),
-        F.col("l_suppkey").cast("string"),
-        as_money(price).cast("string"),
-    )
-    return {
-        "row_id": ((), row_id),
-        "order_id": ((), F.col("l_orderkey")),
-        "product_id": ((), F.col("l_partkey")),
-        "quantity": ((), F.col("l_quantity").cast("int")),
-        "discount": ((), (discount.cast("decimal(3,0)") * F.lit(CENT)).cast("decimal(4,2)")),
-        "sales": ((), as_money(sales)),
-        "raw_ship_date": ((), raw_ship),
-        "order_date": (("orders",), order_date),
-        "ship_date": (("orders",), ship_date),
-        "ship_mode": (("orders",), F.col("o_orderpriority")),
-        "customer_id": (("orders",), F.col("o_custkey")),
-        "customer_name": (("customer",), F.col("c_name")),
-        "segment": (("customer",), F.col("c_mktsegment")),
-        "country": ((), F.lit("United States")),
-        "postal_code": (("customer",), postal),
-        "profit": (("customer",), as_money(sales - cost)),
-        "city": (("nation",), F.concat_ws("-", "n_name", area.cast("string"))),
-        "state": (("nation",), F.col("n_name")),
-        "region": (("region",), F.col("r_name")),
-        "product_name": (("part",), F.col("p_name")),
-        "category": (("part",), F.col("p_type")),
-        "sub_category": (("part",), F.col("p_brand")),
-    }
+    code = 501 + F.col("c_nationkey") * 1000 + area * 40 + F.col("c_custkey") % 3
+    return F.when(area != 7, F.lpad(code.cast("string"), 5, "0"))
+
+
+def _row_id() -> Column:
+    keys = [F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+    return F.concat_ws("-", *keys, as_money(_price()).cast("string"))
+
+
+EXPRESSIONS: dict[str, Callable[[], Column]] = {
+    "row_id": _row_id,
+    "order_id": lambda: F.col("l_orderkey"),
+    "product_id": lambda: F.col("l_partkey"),
+    "quantity": lambda: F.col("l_quantity").cast("int"),
+    "discount": lambda: (_discount().cast("decimal(3,0)") * F.lit(CENT)).cast("decimal(4,2)"),
+    "sales": lambda: as_money(_sales()),
+    "profit": _profit,
+    "raw_ship_date": lambda: F.col("l_shipdate").cast("date"),
+    "order_date": _order_date,
+    "ship_date": _ship_date,
+    "ship_mode": lambda: F.col("o_orderpriority"),
+    "customer_id": lambda: F.col("o_custkey"),
+    "customer_name": lambda: F.col("c_name"),
+    "segment": lambda: F.col("c_mktsegment"),
+    "country": lambda: F.lit("United States"),
+    "postal_code": _postal_code,
+    "city": lambda: F.concat_ws("-", "n_name", (F.col("c_custkey") % 20).cast("string")),
+    "state": lambda: F.col("n_name"),
+    "region": lambda: F.col("r_name"),
+    "product_name": lambda: F.col("p_name"),
+    "category": lambda: F.col("p_type"),
+    "sub_category": lambda: F.col("p_brand"),
+}
 
 
 class Warehouse(Star):
