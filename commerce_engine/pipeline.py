@@ -107,6 +107,7 @@ def run(
     star = build_star(lines, profile, f"{out}/star")
     write_reports(questions(star, profile, expected[3]), f"{out}/questions")
     views.register(star)
+    register_views({"vw_sales_detail": views.sales_detail(lines)})
     write_document(
         dashboard.payload(lines, dashboard.us_state_codes(spark) if codes is None else codes), f"{out}/dashboard"
     )

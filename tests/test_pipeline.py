@@ -6,11 +6,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from commerce_engine.operators import cleaning, customers, scenario, stats
+from commerce_engine.operators import cleaning, customers, metrics, scenario, stats
 from commerce_engine.pipeline import run
 from commerce_engine.plans import analytics, views
 from commerce_engine.plans.registry import CATEGORIES, QUERIES, REGIONS, SEGMENTS, state_codes
-from commerce_engine.sources.extract import RAW_COLUMNS, raw_extract, read_raw_csv
+from commerce_engine.sources.extract import RAW_COLUMNS, raw_extract, read_raw_csv, read_typed_csv
 from commerce_engine.sources.star import BASE_COLS
 from tests.conftest import FOLDER
 
@@ -153,6 +153,27 @@ def test_job_writes_every_output(job):
     assert "order_year=1996" in years
 
 
+def test_views_answer_sql(spark, job):
+    names = ["vw_sales_detail", "vw_monthly_summary", "vw_product_performance", "vw_regional_summary", "vw_discount_analysis"]
+    totals = {n: spark.sql(f"SELECT sum(sales) AS s FROM {n}").first().s for n in names}
+    assert len({round(float(v), 2) for v in totals.values()}) == 1
+    assert spark.sql("SELECT count(*) AS n FROM vw_customer_360").first().n == 150
+
+
+def test_typed_csv_keeps_codes_as_text(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("order_date,postal_code,sales\n2018-11-08,01810,2.50\n2018-11-09,,3.00\n")
+    got = read_typed_csv(spark, str(tmp_path / "t.csv"), "order_date date, postal_code string, sales decimal(18,2)")
+    assert [str(r.order_date) + "|" + str(r.postal_code) for r in got.collect()] == ["2018-11-08|01810", "2018-11-09|None"]
+
+
+def test_approximate_counts_are_close(star):
+    lines = star.lines("order_id", "customer_id")
+    exact = metrics.measure(lines, ["total_orders", "total_customers"]).first()
+    near = metrics.measure(lines, ["total_orders", "total_customers"], approx=True).first()
+    assert near.total_orders == pytest.approx(exact.total_orders, rel=0.06)
+    assert near.total_customers == pytest.approx(exact.total_customers, rel=0.06)
+
+
 def test_order_tables_and_written_star_agree(spark, star, tmp_path):
     from commerce_engine.pipeline import build_features, build_star
 
