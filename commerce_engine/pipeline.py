@@ -1,7 +1,7 @@
 """The whole job: extract or order tables in, cleaned lines, star and reports out.
 
-    spark-submit -m commerce_engine.pipeline --raw-csv extract.csv --out folder
-    spark-submit -m commerce_engine.pipeline --tables folder --out folder
+    python -m commerce_engine.pipeline --raw-csv extract.csv --out folder
+    python -m commerce_engine.pipeline --tables folder --out folder
 """
 
 from __future__ import annotations

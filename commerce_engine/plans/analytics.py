@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import dbl, margin_pct, mean, mean_pct, money, percent, ratio, rnd, share
+from ..session import materialize
 from ..sources.star import Star
 from . import views
 
@@ -280,13 +281,12 @@ def q17_bottom_products_by_sales(star: Star, k: int = 10, min_orders: int = 2) -
 def q18_high_sales_low_profit(star: Star, k: int = 15, times_mean: float = 3, below_margin: float = 5) -> DataFrame:
     """Products above a multiple of mean product sales with a thin margin.
 
-    The mean comes from a narrow second pass (order lines alone) as a scalar subquery.
+    The product totals are written once: the mean and the filter both read them.
     """
-    per_product = star.lines("product_id", "sales").groupBy("product_id").agg(money("sales").alias("sales"))
-    average = per_product.agg(mean("sales")).scalar()
+    totals = materialize(views.product_totals(star), "products")
+    average = totals.agg(mean("sales")).scalar()
     low = (
-        views.product_totals(star)
-        .where((dbl("sales") > average * times_mean) & (F.col("margin_pct") < below_margin))
+        totals.where((dbl("sales") > average * times_mean) & (F.col("margin_pct") < below_margin))
         .orderBy(F.desc("sales"), "product_id")
         .limit(k)
     )
@@ -481,13 +481,11 @@ def q30_product_rank_within_category(star: Star, k: int = 5) -> DataFrame:
 
     The sales rank is limited before the shuffle (group limit). The profit rank of
     those few is a count of the products ahead of them, combined on the map side,
-    so no task has to hold a whole category.
+    so no task has to hold a whole category. The totals are written once and read
+    by both.
     """
-    totals = (
-        star.lines("category", "product_name", "sales", "profit")
-        .groupBy("category", "product_name")
-        .agg(F.sum("sales").alias("sales"), F.sum("profit").alias("profit"))
-    )
+    lines = star.lines("category", "product_name", "sales", "profit").groupBy("category", "product_name")
+    totals = materialize(lines.agg(F.sum("sales").alias("sales"), F.sum("profit").alias("profit")), "products")
     by_sales = F.rank().over(Window.partitionBy("category").orderBy(F.desc("sales")))
     top = totals.withColumn("sales_rank", by_sales.cast("bigint")).where(F.col("sales_rank") <= k)
     bars = top.groupBy("category").agg(F.collect_set("profit").alias("bars"))
