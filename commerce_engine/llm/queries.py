@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import anomalies, dac, mixing, ordinal, packing, prefix_counts, pseudonyms
+from . import anomalies, dac, embeddings, mixing, ordinal, packing, prefix_counts, pseudonyms, similarity
 from .common import shared_folder, table
 
 PII_KEY = b"rotate this key with every release"
@@ -17,6 +17,10 @@ SEQUENCE = 4096
 TOKEN_LIMIT = 512
 
 
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.similar_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/token-files-{uuid.uuid4().hex}"
     dac.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
@@ -28,6 +32,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(docs).select("doc_id", "source", "block", "release", "deadline", "slot")
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.similar_groups(table(spark, sf_dir, "documents"), words_in_shingle=2, threshold=0.8)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, length=SEQUENCE)
 
@@ -52,7 +60,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_token_files, op4_mixing, op6_packing, op7_pseudonyms, op8_quality_rules, op9_token_counts, op10_quality_classifier)
+    for f in (op1_embeddings, op3_token_files, op4_mixing, op5_minhash, op6_packing, op7_pseudonyms, op8_quality_rules, op9_token_counts, op10_quality_classifier)
 }
 
 #: Slots by a recursive fold over one hyperperiod; the place in a source is one plain window.
