@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import anomalies, dac, embeddings, mixing, ordinal, packing, prefix_counts, pseudonyms, similarity
+from . import anomalies, dac, embeddings, mixing, ordinal, packing, prefix_counts, pseudonyms, similarity, suffix_dedup
 from .common import shared_folder, table
 
 PII_KEY = b"rotate this key with every release"
@@ -21,6 +21,10 @@ def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.similar_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/token-files-{uuid.uuid4().hex}"
     dac.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
@@ -60,7 +64,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_embeddings, op3_token_files, op4_mixing, op5_minhash, op6_packing, op7_pseudonyms, op8_quality_rules, op9_token_counts, op10_quality_classifier)
+    for f in (op1_embeddings, op2_suffix_dedup, op3_token_files, op4_mixing, op5_minhash, op6_packing, op7_pseudonyms, op8_quality_rules, op9_token_counts, op10_quality_classifier)
 }
 
 #: Slots by a recursive fold over one hyperperiod; the place in a source is one plain window.
