@@ -2,14 +2,35 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this subpackage to the Python workers, once per application, as any job's own modules are."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_llm_shipped", False):
+        root = Path(__file__).resolve().parent
+        raw = io.BytesIO()
+        with zipfile.ZipFile(raw, "w") as z:
+            z.write(root.parent / "__init__.py", f"{root.parent.name}/__init__.py")
+            for f in sorted(root.glob("*.py")):
+                z.write(f, f"{root.parent.name}/{root.name}/{f.name}")
+        path = Path(tempfile.mkdtemp(prefix="code-")) / f"{root.parent.name}_{uuid.uuid4().hex[:8]}.zip"
+        path.write_bytes(raw.getvalue())
+        sc.addPyFile(str(path))  # the driver serves the file; nobody else reads this path
+        sc._llm_shipped = True
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
