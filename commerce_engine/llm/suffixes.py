@@ -13,7 +13,7 @@ MOST = (1 << PLACE_BITS) - 2
 def ordered(text: np.ndarray, depth: int) -> np.ndarray:
     """Positions of ``text`` sorted by the ``depth`` bytes from each (fewer at the end), ties by position.
 
-    The first ranks come from five bytes; each round then doubles the prefix by
+    The first ranks come from four bytes; each round then doubles the prefix by
     sorting the groups that are still undecided by the rank of the place behind
     the prefix, and leaves singletons alone. A rank is the first slot of a group,
     so decided groups keep theirs.
@@ -24,11 +24,11 @@ def ordered(text: np.ndarray, depth: int) -> np.ndarray:
     if not n:
         return np.zeros(0, np.int64)
     bits, mask = U64(PLACE_BITS), U64((1 << PLACE_BITS) - 1)
-    padded = np.zeros(n + 5, U64)
-    padded[:n] = text
+    padded = np.zeros(n + 4, U64)  # 0 beyond the end, below every byte
+    padded[:n] = text.astype(U64) + U64(1)
     key = padded[:n].copy()
-    for k in range(1, 5):
-        key = key << U64(8) | padded[k : n + k]
+    for k in range(1, 4):
+        key = key * U64(257) + padded[k : n + k]
     key = np.sort(key << bits | np.arange(n, dtype=U64))
     order = (key & mask).astype(np.int64)
     key >>= bits
@@ -37,7 +37,7 @@ def ordered(text: np.ndarray, depth: int) -> np.ndarray:
     rank = np.zeros(n + depth, U64)  # 0 beyond the end
     slots = np.arange(n)
     rank[order] = np.maximum.accumulate(np.where(head, slots, 0)).astype(U64) + U64(1)
-    done = 5
+    done = 4
     while done < depth:
         step = min(done, depth - done)
         alone = head & np.append(head[1:], True)
