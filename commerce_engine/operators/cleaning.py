@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import percent, ratio, rnd
-from ..session import materialize
 
 CRITICAL = ["order_date", "customer_id", "product_id", "sales", "quantity"]
 DATES = ["order_date", "ship_date"]
@@ -21,6 +20,16 @@ DATE_FORMATS = {
     "M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
     "yyyy/MM/dd": r"^\d{4}/\d{2}/\d{2}$",
     "MMM d, yyyy": r"^[A-Z][a-z]{2} \d{1,2}, \d{4}$",
+    "MMMM d, yyyy": r"^[A-Z][a-z]{3,} \d{1,2}, \d{4}$",
+    "d-MMM-yyyy": r"^\d{1,2}-[A-Z][a-z]{2}-\d{4}$",
+    "d MMM yyyy": r"^\d{1,2} [A-Z][a-z]{2} \d{4}$",
+    "d MMMM yyyy": r"^\d{1,2} [A-Z][a-z]{3,} \d{4}$",
+    "M-d-yyyy": r"^\d{1,2}-\d{1,2}-\d{4}$",
+    "M/d/yy": r"^\d{1,2}/\d{1,2}/\d{2}$",
+    "yyyyMMdd": r"^\d{8}$",
+    "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
+    "yyyy-MM-dd'T'HH:mm:ss": r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$",
+    "M/d/yyyy H:mm": r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$",
 }
 NULL_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
@@ -129,8 +138,8 @@ def typed(raw: DataFrame) -> DataFrame:
 
 
 def clean(raw: DataFrame) -> DataFrame:
-    """All steps. The typed rows are written once: the imputation reads them twice."""
-    return trim_text(impute_postal(materialize(typed(raw), "typed")))
+    """All steps, one lazy plan; the imputation's look-up is a small aggregate of the same typed rows."""
+    return trim_text(impute_postal(typed(raw)))
 
 
 def unresolved_postal(cleaned: DataFrame) -> DataFrame:
@@ -148,9 +157,10 @@ def cleaning_audit(raw: DataFrame) -> DataFrame:
         F.count("*").alias("loaded"),
         F.count_if(all_critical_null()).alias("shells"),
         F.count_if(~all_critical_null() & any_critical_null()).alias("incomplete"),
+        *[F.count_if(F.col(d).isNotNull() & parse_date(d).isNull()).alias(f"odd_{d}") for d in DATES],
     )
     kept = (
-        impute_postal(materialize(typed(raw), "typed"), flag="imputed")
+        impute_postal(typed(raw), flag="imputed")
         .agg(
             F.struct(
                 F.count_if("imputed").alias("imputed"),
@@ -170,6 +180,8 @@ def cleaning_audit(raw: DataFrame) -> DataFrame:
         "postal codes imputed": kept["imputed"],
         "postal codes still missing": kept["missing"],
         "ship date before order date": kept["early"],
+        "order dates unreadable": c("odd_order_date"),
+        "ship dates unreadable": c("odd_ship_date"),
         "rows kept": kept["rows"],
         "rows dropped": c("loaded") - kept["rows"],
     }

@@ -17,10 +17,17 @@ from ..functions.columns import mean, ratio
 SEASON = 12
 
 
-def monthly_series(lines: DataFrame, keys: Sequence[str] = (), value: str = "sales", until: str | None = None) -> DataFrame:
-    """Σ value per (keys, year_month), up to the last complete month if one is given."""
+def last_complete_month(lines: DataFrame) -> Column:
+    """Month (yyyy-MM) of the newest order if that is its month's last day, else the month before."""
+    newest = F.max("order_date")
+    month = F.when(newest == F.last_day(newest), newest).otherwise(F.add_months(newest, -1))
+    return lines.agg(F.date_format(month, "yyyy-MM")).scalar()
+
+
+def monthly_series(lines: DataFrame, keys: Sequence[str] = (), value: str = "sales", complete: bool = False) -> DataFrame:
+    """Σ value per (keys, year_month); with ``complete`` only up to the last complete month (needs order_date)."""
     by = lines.groupBy(*keys, "year_month").agg(F.sum(value).alias("value"))
-    return by.where(F.col("year_month") <= until) if until else by
+    return by.where(F.col("year_month") <= last_complete_month(lines)) if complete else by
 
 
 def _positions(series: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -64,6 +64,15 @@ def slicer(
     return out
 
 
+Selection = Mapping[str, Sequence[str] | str]
+
+
+def selected(df: DataFrame, where: Selection | None) -> DataFrame:
+    """Rows of a selection as :func:`slicer` takes it."""
+    test = slicer(**where) if where else None
+    return df if test is None else df.where(test)
+
+
 def measure(
     df: DataFrame,
     names: Sequence[str],
@@ -104,17 +113,31 @@ def calendar_sales(lines: DataFrame) -> DataFrame:
 
 
 def compare_periods(
-    df: DataFrame, columns: Mapping[str, str], months: int, by: Sequence[str] = ()
+    df: DataFrame, columns: Mapping[str, str], months: int, by: Sequence[str] = (), where: Selection | None = None
 ) -> DataFrame:
     """Per month and group: each measure, its value ``months`` earlier, and the change.
 
     The earlier value is found by date, so a missing month gives null instead of
-    the nearest earlier row. ``columns`` maps measure name to output stem.
+    the nearest earlier row. ``columns`` maps measure name to output stem. Of a
+    selection, members are cut before; its dates shift with the period, so the
+    earlier value covers the same days ``months`` before.
     """
-    now = measure(df.withColumn("month", F.trunc("order_date", "month")), list(columns), [*by, "month"])
-    now = now.withColumnsRenamed(dict(columns))
+    where = dict(where or {})
+    dates = {k: where.pop(k) for k in ("start", "end") if k in where}
+    rows = selected(df, where)
+
+    def monthly(rows: DataFrame) -> DataFrame:
+        totals = measure(rows.withColumn("month", F.trunc("order_date", "month")), list(columns), [*by, "month"])
+        return totals.withColumnsRenamed(dict(columns))
+
+    shifted = [F.add_months(F.lit(v).cast("date"), -months) for v in dates.values()]
+    earlier = rows
+    for name, bound in zip(dates, shifted):
+        earlier = earlier.where(F.col("order_date") >= bound if name == "start" else F.col("order_date") <= bound)
+    now = monthly(selected(rows, dates))
+    past = monthly(earlier)
     stems = list(columns.values())
-    past = now.select(
+    past = past.select(
         *by, F.add_months("month", months).alias("month"), *[F.col(s).alias(f"{s}_prior") for s in stems]
     )
     joined = now.join(past, [*by, "month"], "left")
@@ -125,18 +148,26 @@ def compare_periods(
     return joined.select(*out)
 
 
-def running_sales(df: DataFrame) -> DataFrame:
-    """Monthly sales with the year-to-date and all-time running totals."""
-    monthly = df.groupBy("order_year", "year_month").agg(F.sum("sales").alias("sales"))
+def running_sales(df: DataFrame, where: Selection | None = None) -> DataFrame:
+    """Monthly sales with the year-to-date and all-time running totals.
+
+    Of a selection only its members and its end cut the sales; months before its
+    start are counted and then left out.
+    """
+    where = dict(where or {})
+    start = where.pop("start", None)
+    monthly = selected(df, where).groupBy("order_year", "year_month").agg(F.sum("sales").alias("sales"))
     upto = F.col("year_month")
     ytd = F.sum("sales").over(Window.partitionBy("order_year").orderBy(upto))
     total = F.sum("sales").over(Window.orderBy(upto))
-    return monthly.select("year_month", "sales", ytd.alias("sales_ytd"), total.alias("running_total"))
+    out = monthly.select("year_month", "sales", ytd.alias("sales_ytd"), total.alias("running_total"))
+    return out.where(F.col("year_month") >= start[:7]) if start else out
 
 
-def sales_rank(df: DataFrame, key: str) -> DataFrame:
-    """Dense rank of every key by sales, without gathering the keys in one task."""
-    return with_dense_rank(df.groupBy(key).agg(F.sum("sales").alias("sales")), "sales", "sales_rank")
+def sales_rank(df: DataFrame, key: str, where: Selection | None = None) -> DataFrame:
+    """Dense rank of every key by sales within a selection, without gathering the keys in one task."""
+    totals = selected(df, where).groupBy(key).agg(F.sum("sales").alias("sales"))
+    return with_dense_rank(totals, "sales", "sales_rank")
 
 
 def share_of_selection(df: DataFrame, by: Sequence[str], where: Column | None = None) -> DataFrame:
@@ -146,19 +177,18 @@ def share_of_selection(df: DataFrame, by: Sequence[str], where: Column | None =
     return totals.withColumn("share", ratio(F.col("sales"), whole))
 
 
-def rank_in_scope(df: DataFrame, key: str) -> DataFrame:
+def rank_in_scope(df: DataFrame, key: str, where: Selection | None = None) -> DataFrame:
     """A Total row on top of ranked keys; the rank is null on the Total row."""
+    df = selected(df, where)
     total = df.agg(F.sum("sales").alias("sales")).select(
         F.lit("Total").alias(key), "sales", F.lit(None).cast("bigint").alias("sales_rank")
     )
     return sales_rank(df, key).select(key, "sales", F.col("sales_rank").cast("bigint")).unionByName(total)
 
 
-def top_n(df: DataFrame, key: str, n: int = 5) -> DataFrame:
-    """Keys whose dense rank by sales is at most n, ties included."""
-    if not 3 <= n <= 25:
-        raise ValueError("n must be between 3 and 25")
-    totals = df.groupBy(key).agg(F.sum("sales").alias("sales"))
+def top_n(df: DataFrame, key: str, n: int = 5, where: Selection | None = None) -> DataFrame:
+    """Keys whose dense rank by sales within a selection is at most n, ties included."""
+    totals = selected(df, where).groupBy(key).agg(F.sum("sales").alias("sales"))
     rank = F.dense_rank().over(Window.orderBy(F.desc("sales")))
     return totals.withColumn("sales_rank", rank.cast("bigint")).where(F.col("sales_rank") <= n)
 
@@ -186,7 +216,7 @@ def detail_orders(df: DataFrame, key: str, member: str) -> DataFrame:
     )
 
 
-def state_trend(df: DataFrame) -> DataFrame:
-    return df.groupBy("state", "year_month").agg(
+def state_trend(df: DataFrame, where: Selection | None = None) -> DataFrame:
+    return selected(df, where).groupBy("state", "year_month").agg(
         F.sum("sales").alias("sales"), percent(F.sum("profit"), F.sum("sales")).alias("margin_pct")
     )

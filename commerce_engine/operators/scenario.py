@@ -1,4 +1,9 @@
-"""Profit under a cap on discounts, all caps in one pass over the lines."""
+"""Profit under a cap on discounts: all caps from one sum of sales and profit per discount.
+
+For a given discount the new sales are a fixed multiple of the sales, so the lines
+are summed by discount first (a hundred rows or so) and every cap is applied to
+the sums, in whole numbers. Results do not depend on the order of rows.
+"""
 
 from __future__ import annotations
 
@@ -7,34 +12,68 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import dbl, exact_sum, rnd
-from .features import list_price
+from ..functions.columns import rnd
 
 # The caps of the standard scenario, loosest first.
 CAPS_PCT = [100, 70, 50, 40, 30, 20, 10, 0]
+# New sales of one discount are kept to this many decimals of a cent.
+DIGITS = 6
 
 
-def capped_profit(cap: float) -> Column:
-    """Line profit if the discount had been at most ``cap`` and the sale still closed."""
-    price = list_price(F.col("sales"), F.col("discount"))
-    new_sales = price * (1 - F.least(dbl("discount"), F.lit(cap)))
-    return dbl("profit") + (new_sales - dbl("sales"))
+def whole(c: Column) -> Column:
+    return c.cast("decimal(38,0)")
 
 
-def discount_caps(lines: DataFrame, caps_pct: Sequence[int] = tuple(CAPS_PCT)) -> DataFrame:
-    """(cap_pct, profit, uplift, uplift_pct); uplift is against the first cap."""
-    sums = lines.agg(*[exact_sum(capped_profit(c / 100)).alias(str(c)) for c in caps_pct])
-    base = F.col(f"`{caps_pct[0]}`")
-    rows = F.array(
-        *[F.struct(F.lit(c).alias("cap_pct"), F.col(f"`{c}`").alias("profit"), base.alias("base")) for c in caps_pct]
+def divided(a: Column, b: Column) -> Column:
+    """a / b as a whole number, half away from zero; both whole, b positive."""
+    doubled = whole(F.abs(a) * 2 + b)
+    return F.sign(a).cast("int") * whole((doubled - doubled % (b * 2)) / (b * 2))
+
+
+def by_discount(lines: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by, pct, sales, profit) with the discount in whole per cent and money in whole cents."""
+    sums = lines.groupBy(*by, "discount").agg(F.sum("sales").alias("sales"), F.sum("profit").alias("profit"))
+    cents = {c: whole(F.round(F.col(c) * 100, 0)) for c in ("sales", "profit")}
+    return sums.select(*by, F.round(F.col("discount") * 100, 0).cast("int").alias("pct"), *[v.alias(c) for c, v in cents.items()])
+
+
+def capped(groups: DataFrame, cap: Column) -> Column:
+    """Change of profit, in 10^-DIGITS cents, if discounts had been at most ``cap`` per cent and the sale still closed."""
+    list_share = F.when(F.col("pct") < 100, 100 - F.col("pct")).otherwise(100)
+    kept_share = 100 - F.least(F.col("pct"), cap)
+    scaled = whole(F.col("sales") * F.lit(10**DIGITS))
+    new_sales = divided(whole(scaled * kept_share.cast("decimal(5,0)")), list_share.cast("decimal(5,0)"))
+    return whole(new_sales - scaled)
+
+
+def totals(groups: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by, profit, simulated) in currency, from groups that carry a column ``cap``.
+
+    A line without a discount keeps its profit.
+    """
+    change = F.coalesce(F.sum(capped(groups, F.col("cap"))), F.lit(0))
+    unit = F.lit(10 ** (DIGITS + 2)).cast("decimal(10,0)")
+    profit = F.sum("profit")
+    return groups.groupBy(*by).agg(
+        (profit / 100).alias("profit"), (whole(profit * 10**DIGITS + change) / unit).alias("simulated")
     )
-    long = sums.select(F.explode(rows).alias("e")).select("e.*")
-    uplift = F.col("profit") - F.col("base")
+
+
+def discount_caps(lines: DataFrame, caps_pct: Sequence[int] = tuple(CAPS_PCT)) -> DataFrame:
+    """(cap_pct, profit, uplift, uplift_pct); uplift is against the first cap.
+
+    Lines without a discount are left out, as a missing value leaves a sum.
+    """
+    caps = F.explode(F.array(*[F.lit(c) for c in caps_pct])).alias("cap")
+    sums = by_discount(lines).where("pct is not null").select("*", caps)
+    long = totals(sums, ["cap"])
+    base = long.where(F.col("cap") == caps_pct[0]).agg(F.first("simulated")).scalar()
+    uplift = F.col("simulated") - base
     return long.select(
-        "cap_pct",
-        rnd(F.col("profit"), 2).alias("profit"),
-        rnd(uplift, 2).alias("uplift"),
-        rnd(F.try_divide(uplift * 100, F.col("base")), 4).alias("uplift_pct"),
+        F.col("cap").alias("cap_pct"),
+        F.round("simulated", 2).cast("double").alias("profit"),
+        F.round(uplift, 2).cast("double").alias("uplift"),
+        rnd(F.try_divide(uplift.cast("double") * 100, base.cast("double")), 4).alias("uplift_pct"),
     )
 
 
@@ -42,3 +81,15 @@ def interactive_caps(lines: DataFrame, step: int = 5) -> DataFrame:
     """Every cap of a 0-100 slider, each against the profit actually made."""
     caps = list(range(100, -1, -step))
     return discount_caps(lines, caps).orderBy("cap_pct")
+
+
+def simulated_profit(lines: DataFrame, cap_pct: int, by: Sequence[str] = ()) -> DataFrame:
+    """(by, simulated_profit, profit_uplift, profit_uplift_ratio) under one cap; lines without a discount keep their profit."""
+    sums = totals(by_discount(lines, by).withColumn("cap", F.lit(cap_pct)), by)
+    uplift = F.col("simulated") - F.col("profit")
+    return sums.select(
+        *by,
+        F.round("simulated", 2).cast("double").alias("simulated_profit"),
+        F.round(uplift, 2).cast("double").alias("profit_uplift"),
+        rnd(F.try_divide(uplift.cast("double"), F.col("profit").cast("double")), 6).alias("profit_uplift_ratio"),
+    )

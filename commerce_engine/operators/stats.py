@@ -113,8 +113,8 @@ def deep_discount_impact(df: DataFrame, limit: float = 0.30) -> DataFrame:
 
 
 def scatter_sample(df: DataFrame, size: int = 3000, seed: int = 7) -> DataFrame:
-    """A repeatable sample without replacement: the rows with the smallest seeded hash."""
-    return df.orderBy(F.xxhash64("row_id", F.lit(seed)), "row_id").limit(size)
+    """A repeatable sample without replacement: the rows with the smallest seeded digest."""
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col("row_id").cast("string"))), "row_id").limit(size)
 
 
 def rolling_mean(monthly: DataFrame, months: int = 3) -> DataFrame:

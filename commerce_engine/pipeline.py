@@ -49,8 +49,7 @@ def questions(star: Star, profile: DataFrame, categories: Sequence[str]) -> dict
     a = analytics
     with_profile = {a.q21_customer_lifetime_value, a.q22_rfm_segments, a.q23_high_value_customers}
     out = {}
-    for name in sorted(n for n in dir(a) if n.startswith("q") and n[1:3].isdigit()):
-        ask = getattr(a, name)
+    for name, ask in a.QUESTIONS.items():
         if ask in with_profile:
             out[name] = ask(star, profile=profile)
         elif ask is a.q28_segment_category_matrix:
@@ -101,7 +100,9 @@ def run(
     """Every stage after cleaning; each stage that is read again is written once."""
     spark = cleaned.sparkSession
     cleaned = write_table(cleaned, f"{out}/cleaned")
-    profile = write_table(customers.customer_profile(cleaned), f"{out}/customer_profile")
+    profile = write_table(
+        customers.customer_profile(cleaned).orderBy(F.desc("lifetime_value"), "customer_id"), f"{out}/customer_profile"
+    )
     lines = write_table(build_features(cleaned, profile), f"{out}/features")
     audit(cleaned, lines, f"{out}/quality", expected)
     star = build_star(lines, profile, f"{out}/star")

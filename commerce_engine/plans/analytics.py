@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import dbl, margin_pct, mean, mean_pct, money, percent, ratio, rnd, share
-from ..session import materialize
 from ..sources.star import Star
 from . import views
 
@@ -279,11 +278,8 @@ def q17_bottom_products_by_sales(star: Star, k: int = 10, min_orders: int = 2) -
 
 
 def q18_high_sales_low_profit(star: Star, k: int = 15, times_mean: float = 3, below_margin: float = 5) -> DataFrame:
-    """Products above a multiple of mean product sales with a thin margin.
-
-    The product totals are written once: the mean and the filter both read them.
-    """
-    totals = materialize(views.product_totals(star), "products")
+    """Products above a multiple of mean product sales with a thin margin."""
+    totals = views.product_totals(star)
     average = totals.agg(mean("sales")).scalar()
     low = (
         totals.where((dbl("sales") > average * times_mean) & (F.col("margin_pct") < below_margin))
@@ -481,11 +477,10 @@ def q30_product_rank_within_category(star: Star, k: int = 5) -> DataFrame:
 
     The sales rank is limited before the shuffle (group limit). The profit rank of
     those few is a count of the products ahead of them, combined on the map side,
-    so no task has to hold a whole category. The totals are written once and read
-    by both.
+    so no task has to hold a whole category.
     """
     lines = star.lines("category", "product_name", "sales", "profit").groupBy("category", "product_name")
-    totals = materialize(lines.agg(F.sum("sales").alias("sales"), F.sum("profit").alias("profit")), "products")
+    totals = lines.agg(F.sum("sales").alias("sales"), F.sum("profit").alias("profit"))
     by_sales = F.rank().over(Window.partitionBy("category").orderBy(F.desc("sales")))
     top = totals.withColumn("sales_rank", by_sales.cast("bigint")).where(F.col("sales_rank") <= k)
     bars = top.groupBy("category").agg(F.collect_set("profit").alias("bars"))
@@ -509,3 +504,40 @@ def q30_product_rank_within_category(star: Star, k: int = 5) -> DataFrame:
         )
         .orderBy("category", "sales_rank", "product_name")
     )
+
+
+QUESTIONS = {
+    f.__name__: f
+    for f in (
+        q01_executive_kpis,
+        q02_monthly_revenue,
+        q03_yearly_growth,
+        q04_top_products_by_sales,
+        q05_worst_products_by_profit,
+        q06_category_performance,
+        q07_sub_category_performance,
+        q08_top_customers,
+        q09_customer_segments,
+        q10_repeat_customers,
+        q11_region_performance,
+        q12_state_performance,
+        q13_daily_sales_pattern,
+        q14_discount_impact,
+        q15_monthly_running_total,
+        q16_top_products_by_profit,
+        q17_bottom_products_by_sales,
+        q18_high_sales_low_profit,
+        q19_quarterly_growth,
+        q20_rolling_sales,
+        q21_customer_lifetime_value,
+        q22_rfm_segments,
+        q23_high_value_customers,
+        q24_top_cities,
+        q25_underperforming_states,
+        q26_shipping_mode_analysis,
+        q27_highest_discount_orders,
+        q28_segment_category_matrix,
+        q29_weekend_vs_weekday,
+        q30_product_rank_within_category,
+    )
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import decimals_to_double, exact_sum, qcut, rnd
+from ..functions.columns import decimals_to_double, qcut, rnd
 from ..functions.quantiles import quantile_edges
 from ..operators import cleaning, customers, features, forecast, metrics, quality, scenario, stats, warehouse
 from ..session import configure, materialize
@@ -22,7 +22,6 @@ REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE"]
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"]
 CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 RULE_CATEGORIES = CATEGORIES[:5]
-LAST_FULL_MONTH = "2001-07"
 TIME_FEATURES = [
     "order_year", "order_month", "order_month_name", "order_quarter", "order_quarter_num", "year_month",
     "year_quarter", "order_day_name", "order_week", "is_weekend_order", "processing_month", "shipping_days",
@@ -161,7 +160,7 @@ def fact_orphans(star: OrderTables) -> DataFrame:
 
 # ---------------------------------------------------------------------- forecast
 def series(star: OrderTables, *by: str) -> DataFrame:
-    return forecast.monthly_series(star.lines("year_month", "sales", *by), by, until=LAST_FULL_MONTH)
+    return forecast.monthly_series(star.lines("order_date", "year_month", "sales", *by), by, complete=True)
 
 
 def forecast_of(star: OrderTables, *by: str) -> DataFrame:
@@ -194,6 +193,23 @@ def prior_year(star: OrderTables) -> DataFrame:
     return rounded(metrics.compare_periods(star.lines("order_date", "order_id", "sales", "profit"), columns, 12))
 
 
+# A selection that cuts dates and members at once.
+SELECTION = {"start": "1996-07-01", "end": "1998-06-30", "region": ["ASIA", "EUROPE"], "segment": "BUILDING"}
+
+
+def prior_year_sliced(star: OrderTables) -> DataFrame:
+    lines = star.lines("order_date", "region", "segment", "sales")
+    return rounded(metrics.compare_periods(lines, {"total_sales": "sales"}, 12, where=SELECTION))
+
+
+def running_sliced(star: OrderTables) -> DataFrame:
+    return metrics.running_sales(star.lines("order_date", "order_year", "year_month", "region", "segment", "sales"), SELECTION)
+
+
+def rank_sliced(star: OrderTables) -> DataFrame:
+    return metrics.sales_rank(star.lines("order_date", "customer_name", "region", "segment", "sales"), "customer_name", SELECTION)
+
+
 def prior_month(star: OrderTables) -> DataFrame:
     lines = star.lines("order_date", "state", "sales")
     return rounded(metrics.compare_periods(lines, {"total_sales": "sales"}, 1, ["state"]))
@@ -210,15 +226,8 @@ def caps(star: OrderTables) -> DataFrame:
     return scenario.discount_caps(star.lines("sales", "profit", "discount"))
 
 
-def simulated_by_region(star: OrderTables, cap: float = 0.30) -> DataFrame:
-    lines = star.lines("region", "sales", "profit", "discount")
-    simulated = exact_sum(scenario.capped_profit(cap))
-    actual = F.sum("profit").cast("double")
-    return lines.groupBy("region").agg(
-        rnd(simulated, 2).alias("simulated_profit"),
-        rnd(simulated - actual, 2).alias("profit_uplift"),
-        rnd(F.try_divide((simulated - actual), actual), 6).alias("profit_uplift_ratio"),
-    )
+def simulated_by_region(star: OrderTables, cap_pct: int = 30) -> DataFrame:
+    return scenario.simulated_profit(star.lines("region", "sales", "profit", "discount"), cap_pct, ["region"])
 
 
 # --------------------------------------------------------------------- dashboard
@@ -229,7 +238,7 @@ def state_codes(star: OrderTables) -> DataFrame:
 
 
 def payload(star: OrderTables) -> DataFrame:
-    return dashboard.payload(materialize(star.lines(*dashboard.PAYLOAD_INPUTS), "payload"), state_codes(star))
+    return dashboard.payload(star.lines(*dashboard.PAYLOAD_INPUTS), state_codes(star))
 
 
 def on_lines(build: Callable[..., DataFrame], *cols: str, **kw) -> Builder:
@@ -394,14 +403,19 @@ def _builders() -> dict[str, Builder]:
             x, "deep_discount_loss", "deep_discount_line_share", by=("region",)
         ),
         "b12_prior_month_by_state": prior_month,
+        "b06_prior_year_sliced": prior_year_sliced,
+        "b07_b08_running_sales_sliced": running_sliced,
+        "b09_customer_rank_sliced": rank_sliced,
         "b13_baskets": lambda x: kpi_measures(x, "avg_basket_size", "avg_lines_per_order", by=("segment",)),
         "b14_rank_in_scope": lambda x: m.rank_in_scope(x.lines("product_name", "sales"), "product_name"),
         "b15_exposure": lambda x: kpi_measures(x, "recoverable_profit", "loss_making_lines", by=("category",)),
         "b16_simulated_profit": simulated_by_region,
         "b17_top_n_customers": lambda x: m.top_n(x.lines("customer_name", "sales"), "customer_name", 5),
-        "b18_product_detail": lambda x: busiest(x, "product_name", m.detail_kpis),
-        "b18_customer_trend": lambda x: busiest(x, "customer_name", m.detail_trend),
-        "b18_state_orders": lambda x: busiest(x, "state", m.detail_orders),
+        **{
+            f"b18_{short}_{part}": lambda x, key=key, f=f: busiest(x, key, f)
+            for short, key in (("product", "product_name"), ("customer", "customer_name"), ("state", "state"))
+            for part, f in (("detail", m.detail_kpis), ("trend", m.detail_trend), ("orders", m.detail_orders))
+        },
         "b19_state_trend": on_lines(m.state_trend, "state", "year_month", *sp),
         "l02_sliced_measures": sliced_measures,
         # dashboard

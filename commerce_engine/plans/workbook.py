@@ -40,15 +40,13 @@ def kpis(df: DataFrame) -> DataFrame:
 
 
 def fixed_table(df: DataFrame, key: str, members: Sequence[str]) -> DataFrame:
-    """Sales, profit and margin for a fixed list of members, 0 for an absent one."""
-    by = df.where(F.col(key).isin(list(members))).groupBy(key)
-    totals = by.agg(F.sum("sales").alias("sales"), F.sum("profit").alias("profit"))
+    """Sales, profit and margin for every member present and every listed one, 0 where absent."""
+    totals = df.groupBy(key).agg(F.sum("sales").alias("sales"), F.sum("profit").alias("profit"))
     listed = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(m) for m in members])).alias(key))
     zero = F.lit(0).cast("decimal(28,2)")
-    return (
-        listed.join(totals, key, "left")
-        .select(key, F.coalesce("sales", zero).alias("sales"), F.coalesce("profit", zero).alias("profit"))
-        .withColumn("margin", divide_or(F.col("profit"), F.col("sales")))
+    every = totals.unionByName(listed.select(key, zero.alias("sales"), zero.alias("profit")))
+    return every.groupBy(key).agg(F.sum("sales").alias("sales"), F.sum("profit").alias("profit")).withColumn(
+        "margin", divide_or(F.col("profit"), F.col("sales"))
     )
 
 

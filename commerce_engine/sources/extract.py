@@ -55,6 +55,10 @@ def raw_extract(star: OrderTables) -> DataFrame:
     )
     ship_text = (
         F.when(product % 89 == 0, "13/45/2018")
+        .when(product % 83 == 1, F.date_format("raw_ship_date", "yyyy-MM-dd 00:00:00"))
+        .when(product % 83 == 2, F.date_format("raw_ship_date", "dd-MMM-yyyy"))
+        .when(product % 83 == 3, F.date_format("raw_ship_date", "MMMM d, yyyy"))
+        .when(product % 83 == 4, F.date_format("raw_ship_date", "yyyyMMdd"))
         .when(quantity % 2 == 0, iso("raw_ship_date"))
         .otherwise(us("raw_ship_date"))
     )

@@ -81,12 +81,16 @@ CUSTOMERS = {
 
 
 # ---------------------------------------------------------------------- forecast
+LAST_MONTH = """(SELECT strftime(CASE WHEN MAX(order_date) = last_day(MAX(order_date)) THEN MAX(order_date)
+  ELSE CAST(MAX(order_date) - INTERVAL 1 MONTH AS DATE) END, '%Y-%m') FROM f)"""
+
+
 def fit(by: str, skip: int) -> str:
     """Positions from the newest month of each series and the fitted growth."""
     keys, comma = (by, ", ") if by else ("1 AS one", ", ")
     part = by or "one"
     return f""",
-m{skip} AS (SELECT {keys}{comma}year_month, SUM(sales) AS v FROM f WHERE year_month <= '2001-07' GROUP BY ALL),
+m{skip} AS (SELECT {keys}{comma}year_month, SUM(sales) AS v FROM f WHERE year_month <= {LAST_MONTH} GROUP BY ALL),
 ps{skip} AS (SELECT *, row_number() OVER (PARTITION BY {part} ORDER BY year_month DESC) - {skip} AS pos FROM m{skip}),
 g{skip} AS (SELECT {part} AS k, COUNT(*) FILTER (WHERE pos > 0) AS n, MAX(year_month) FILTER (WHERE pos > 0) AS last,
   CASE WHEN COUNT(*) FILTER (WHERE pos > 0) >= 24 THEN
@@ -143,18 +147,31 @@ def band(by: str = "") -> str:
 
 
 def capped(cap: str) -> str:
-    price = "CASE WHEN discount < 1 THEN CAST(sales AS DOUBLE) / (1 - CAST(discount AS DOUBLE)) ELSE CAST(sales AS DOUBLE) END"
-    new = f"({price}) * (1 - LEAST(CAST(discount AS DOUBLE), {cap}))"
-    return f"CAST(CAST(profit AS DOUBLE) + ({new} - CAST(sales AS DOUBLE)) AS DECIMAL(28,8))"
+    """Change of profit of a discount's sales in 10^-6 cents, whole numbers throughout."""
+    kept, listed = f"(100 - LEAST(pct, {cap}))", "(CASE WHEN pct < 100 THEN 100 - pct ELSE 100 END)"
+    top = f"(cents * 1000000 * {kept})"
+    return f"CASE WHEN pct IS NULL THEN 0 ELSE SIGN({top}) * ((2 * ABS({top}) + {listed}) // (2 * {listed})) - cents * 1000000 END"
+
+
+def summed(by: str) -> str:
+    key = f"{by}, " if by else ""
+    return f"""t AS (SELECT {key}CAST(discount * 100 AS INTEGER) AS pct, CAST(SUM(sales) * 100 AS HUGEINT) AS cents,
+      CAST(SUM(profit) * 100 AS HUGEINT) AS gain FROM f GROUP BY ALL)"""
 
 
 def caps(values: str) -> str:
     return on_lines(f"""
-        , c AS (SELECT UNNEST({values}) AS cap_pct),
-        s AS (SELECT cap_pct, CAST(SUM({capped('cap_pct / 100')}) AS DOUBLE) AS p FROM f, c GROUP BY cap_pct),
+        , {summed('')}, c AS (SELECT CAST(UNNEST({values}) AS INTEGER) AS cap_pct),
+        s AS (SELECT cap_pct, CAST(SUM(gain) * 1000000 + SUM({capped('cap_pct')}) AS DECIMAL(38,0)) AS p
+          FROM t, c WHERE pct IS NOT NULL GROUP BY cap_pct),
         b AS (SELECT p AS base FROM s WHERE cap_pct = 100)
-        SELECT CAST(cap_pct AS INTEGER) AS cap_pct, {r('p')} AS profit, {r('p - base')} AS uplift,
-          {r('(p - base) * 100 / base', 4)} AS uplift_pct FROM s, b""")
+        SELECT cap_pct, {cents('p')} AS profit, {cents('p - base')} AS uplift,
+          {r('CAST(p - base AS DOUBLE) * 100 / CAST(base AS DOUBLE)', 4)} AS uplift_pct FROM s, b""")
+
+
+def cents(expr: str) -> str:
+    """10^-6 cents rounded to whole cents, half away from zero, shown in currency."""
+    return f"(SIGN({expr}) * ((ABS(CAST({expr} AS HUGEINT)) + 500000) // 1000000) / 100.0)"
 
 
 CAPS = caps("[100, 70, 50, 40, 30, 20, 10, 0]")
@@ -172,9 +189,11 @@ FORECAST = {
     "s10_agg_discount_sim": CAPS,
     "g05_interactive_caps": caps("range(0, 101, 5)"),
     "b16_simulated_profit": on_lines(f"""
-        , s AS (SELECT region, CAST(SUM({capped('0.30')}) AS DOUBLE) AS p, {S('profit')} AS a FROM f GROUP BY region)
-        SELECT region, {r('p')} AS simulated_profit, {r('p - a')} AS profit_uplift,
-          {r('(p - a) / a', 6)} AS profit_uplift_ratio FROM s"""),
+        , {summed('region')},
+        s AS (SELECT region, CAST(SUM(gain) * 1000000 + SUM({capped('30')}) AS DECIMAL(38,0)) AS p,
+          CAST(SUM(gain) * 1000000 AS DECIMAL(38,0)) AS a FROM t GROUP BY region)
+        SELECT region, {cents('p')} AS simulated_profit, {cents('p - a')} AS profit_uplift,
+          {r('CAST(p - a AS DOUBLE) / CAST(a AS DOUBLE)', 6)} AS profit_uplift_ratio FROM s"""),
 }
 
 
@@ -197,6 +216,9 @@ DEEP_LOSS = "SUM(profit) FILTER (WHERE discount > 0.30)"
 TOP_PRODUCT = "(SELECT product_name FROM f GROUP BY product_name ORDER BY SUM(sales) DESC, product_name LIMIT 1)"
 TOP_CUSTOMER = "(SELECT customer_name FROM f GROUP BY customer_name ORDER BY SUM(sales) DESC, customer_name LIMIT 1)"
 TOP_STATE = "(SELECT state FROM f GROUP BY state ORDER BY SUM(sales) DESC, state LIMIT 1)"
+BUSIEST = [
+    ("product", "product_name", TOP_PRODUCT), ("customer", "customer_name", TOP_CUSTOMER), ("state", "state", TOP_STATE),
+]
 RANKED = "CAST(DENSE_RANK() OVER (ORDER BY SUM(f.sales) DESC) AS BIGINT) AS sales_rank"
 
 MEASURES = {
@@ -264,16 +286,36 @@ MEASURES = {
     "b17_top_n_customers": on_lines(f"""
         , k AS (SELECT customer_name, {S('sales')} AS sales, {RANKED} FROM f GROUP BY customer_name)
         SELECT * FROM k WHERE sales_rank <= 5"""),
-    "b18_product_detail": on_lines(f"""
+    **{f"b18_{short}_detail": on_lines(f"""
         SELECT {S('sales')} AS total_sales, {S('profit')} AS total_profit,
           {r(or0(div('SUM(profit)', 'SUM(sales)')), 6)} AS profit_margin, {ORDERS} AS total_orders,
-          {UNITS} AS units_sold, {r(M('discount'), 6)} AS avg_discount FROM f WHERE product_name = {TOP_PRODUCT}"""),
-    "b18_customer_trend": on_lines(f"""
-        SELECT year_month, {S('sales')} AS sales, {S('profit')} AS profit FROM f WHERE customer_name = {TOP_CUSTOMER}
-        GROUP BY year_month"""),
-    "b18_state_orders": on_lines(f"""
+          {UNITS} AS units_sold, {r(M('discount'), 6)} AS avg_discount FROM f WHERE {key} = {top}""")
+       for short, key, top in BUSIEST},
+    **{f"b18_{short}_trend": on_lines(f"""
+        SELECT year_month, {S('sales')} AS sales, {S('profit')} AS profit FROM f WHERE {key} = {top}
+        GROUP BY year_month""") for short, key, top in BUSIEST},
+    **{f"b18_{short}_orders": on_lines(f"""
         SELECT order_id, order_date, {S('sales')} AS sales, {S('profit')} AS profit, COUNT(*) AS lines FROM f
-        WHERE state = {TOP_STATE} GROUP BY order_id, order_date"""),
+        WHERE {key} = {top} GROUP BY order_id, order_date""") for short, key, top in BUSIEST},
+    "b06_prior_year_sliced": on_lines(f"""
+        , x AS (SELECT * FROM f WHERE region IN ('ASIA', 'EUROPE') AND segment = 'BUILDING'),
+        a AS (SELECT CAST(date_trunc('month', order_date) AS DATE) AS mo, SUM(sales) AS s FROM x
+          WHERE order_date BETWEEN DATE '1996-07-01' AND DATE '1998-06-30' GROUP BY 1),
+        b AS (SELECT CAST(date_trunc('month', order_date) AS DATE) AS mo, SUM(sales) AS s FROM x
+          WHERE order_date BETWEEN DATE '1995-07-01' AND DATE '1997-06-30' GROUP BY 1)
+        SELECT strftime(a.mo, '%Y-%m') AS year_month, CAST(a.s AS DOUBLE) AS sales, CAST(b.s AS DOUBLE) AS sales_prior,
+          {change('a.s', 'b.s')} AS sales_change
+        FROM a LEFT JOIN b ON b.mo = CAST(a.mo - INTERVAL 12 MONTH AS DATE)"""),
+    "b07_b08_running_sales_sliced": on_lines("""
+        , m AS (SELECT order_year, year_month, SUM(sales) AS s FROM f WHERE region IN ('ASIA', 'EUROPE')
+          AND segment = 'BUILDING' AND order_date <= DATE '1998-06-30' GROUP BY ALL),
+        w AS (SELECT year_month, CAST(s AS DOUBLE) AS sales,
+          CAST(SUM(s) OVER (PARTITION BY order_year ORDER BY year_month) AS DOUBLE) AS sales_ytd,
+          CAST(SUM(s) OVER (ORDER BY year_month) AS DOUBLE) AS running_total FROM m)
+        SELECT * FROM w WHERE year_month >= '1996-07'"""),
+    "b09_customer_rank_sliced": on_lines(f"""
+        SELECT customer_name, {S('sales')} AS sales, {RANKED} FROM f WHERE region IN ('ASIA', 'EUROPE')
+          AND segment = 'BUILDING' AND order_date BETWEEN DATE '1996-07-01' AND DATE '1998-06-30' GROUP BY customer_name"""),
     "b19_state_trend": by("state, year_month", sales=S("sales"), margin_pct=r(MARGIN, 6)),
     "l02_sliced_measures": on_lines(f"""
         SELECT category, {S('sales')} AS total_sales, {S('profit')} AS total_profit,

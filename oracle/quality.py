@@ -24,7 +24,11 @@ body AS (
   SELECT CASE WHEN copy = 0 THEN row_id ELSE row_id || '-R' END AS row_id, CAST(order_id AS VARCHAR) AS order_id,
     CASE product_id % 3 WHEN 0 THEN strftime(order_date, '%Y-%m-%d') WHEN 1 THEN strftime(order_date, {US})
       ELSE strftime(order_date, '%Y/%m/%d') END AS order_date,
-    CASE WHEN product_id % 89 = 0 THEN '13/45/2018' WHEN quantity % 2 = 0 THEN strftime(raw_ship_date, '%Y-%m-%d')
+    CASE WHEN product_id % 89 = 0 THEN '13/45/2018'
+      WHEN product_id % 83 = 1 THEN strftime(raw_ship_date, '%Y-%m-%d 00:00:00')
+      WHEN product_id % 83 = 2 THEN strftime(raw_ship_date, '%d-%b-%Y')
+      WHEN product_id % 83 = 3 THEN strftime(raw_ship_date, '%B %-d, %Y')
+      WHEN product_id % 83 = 4 THEN strftime(raw_ship_date, '%Y%m%d') WHEN quantity % 2 = 0 THEN strftime(raw_ship_date, '%Y-%m-%d')
       ELSE strftime(raw_ship_date, {US}) END AS ship_date,
     ship_mode, CAST(customer_id AS VARCHAR) AS customer_id,
     CASE WHEN quantity % 7 = 0 THEN '  ' || customer_name || chr(9) ELSE customer_name END AS customer_name, segment,
@@ -56,8 +60,18 @@ NUMERIC = ("sales", "quantity", "discount", "profit", "postal_code")
 
 
 def date(c: str) -> str:
-    formats = "['%Y-%m-%d', '%m/%d/%Y', '%Y/%m/%d', '%b %d, %Y']"
-    return f"CAST(try_strptime({c}, {formats}) AS DATE)"
+    shapes = {
+        r"\d{4}-\d{2}-\d{2}": "%Y-%m-%d",
+        r"\d{1,2}/\d{1,2}/\d{4}": "%m/%d/%Y",
+        r"\d{4}/\d{2}/\d{2}": "%Y/%m/%d",
+        r"[A-Z][a-z]{2} \d{1,2}, \d{4}": "%b %d, %Y",
+        r"[A-Z][a-z]{3,} \d{1,2}, \d{4}": "%B %d, %Y",
+        r"\d{1,2}-[A-Z][a-z]{2}-\d{4}": "%d-%b-%Y",
+        r"\d{8}": "%Y%m%d",
+        r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}": "%Y-%m-%d %H:%M:%S",
+    }
+    cases = " ".join(f"WHEN regexp_full_match({c}, '{k}') THEN try_strptime({c}, '{v}')" for k, v in shapes.items())
+    return f"CAST(CASE {cases} END AS DATE)"
 
 
 DEDUP = (
@@ -111,6 +125,8 @@ AUDIT = {
     "postal codes imputed": "(SELECT COUNT(*) FROM filled WHERE imputed)",
     "postal codes still missing": "(SELECT COUNT(*) FROM filled WHERE postal_code IS NULL)",
     "ship date before order date": "(SELECT COUNT(*) FROM filled WHERE ship_date < order_date)",
+    "order dates unreadable": f"(SELECT COUNT(*) FROM prep WHERE order_date IS NOT NULL AND {date('order_date')} IS NULL)",
+    "ship dates unreadable": f"(SELECT COUNT(*) FROM prep WHERE ship_date IS NOT NULL AND {date('ship_date')} IS NULL)",
     "rows kept": "(SELECT COUNT(*) FROM filled)",
     "rows dropped": "(SELECT COUNT(*) FROM prep) - (SELECT COUNT(*) FROM filled)",
 }

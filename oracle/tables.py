@@ -125,7 +125,7 @@ MONTH_GRID = f"""
 
 def fixed(key: str, members: list[str]) -> str:
     return on_lines(f"""
-        , k AS (SELECT UNNEST({members}) AS k),
+        , k AS (SELECT UNNEST({members}) AS k UNION SELECT {key} FROM f),
         t AS (SELECT {key}, SUM(sales) AS s, SUM(profit) AS p FROM f GROUP BY {key})
         SELECT k AS {key}, CAST(COALESCE(s, 0) AS DOUBLE) AS sales, CAST(COALESCE(p, 0) AS DOUBLE) AS profit,
           COALESCE({r(div('p', 's'), 6)}, 0) AS margin FROM k LEFT JOIN t ON k = {key}""")
@@ -188,4 +188,10 @@ DASHBOARD = {
         FROM f GROUP BY customer_name ORDER BY SUM(f.sales) DESC, customer_name LIMIT 20"""),
 }
 
-TABLE_CHECKS = STATS | DASHBOARD
+SAMPLE = {
+    "l09_scatter_sample": on_lines("""
+        SELECT row_id, CAST(discount AS DOUBLE) AS discount, CAST(profit AS DOUBLE) AS profit FROM f
+        ORDER BY md5('7:' || row_id), row_id LIMIT 3000"""),
+}
+
+TABLE_CHECKS = STATS | DASHBOARD | SAMPLE

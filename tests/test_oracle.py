@@ -10,7 +10,7 @@ from commerce_engine.plans.registry import QUERIES
 from oracle import ORACLE
 from tests.conftest import FOLDER
 
-WITHOUT_SQL = {"l09_scatter_sample", "s09_dashboard_payload"}
+WITHOUT_SQL = {"s09_dashboard_payload"}
 
 
 @pytest.fixture(scope="module")
