@@ -479,7 +479,7 @@ def q30_product_rank_within_category(star: Star, k: int = 5) -> DataFrame:
     those few is a count of the products ahead of them, combined on the map side,
     so no task has to hold a whole category.
     """
-    lines = star.lines("category", "product_name", "sales", "profit").groupBy("category", "product_name")
+    lines = star.by_product("category", "product_name", "sales", "profit").groupBy("category", "product_name")
     totals = lines.agg(F.sum("sales").alias("sales"), F.sum("profit").alias("profit"))
     by_sales = F.rank().over(Window.partitionBy("category").orderBy(F.desc("sales")))
     top = totals.withColumn("sales_rank", by_sales.cast("bigint")).where(F.col("sales_rank") <= k)

@@ -352,14 +352,16 @@ def _builders() -> dict[str, Builder]:
         "k31_segments": on_lines(s.segment_comparison, "segment", "customer_id", "order_id", *sp),
         "k31_ship_modes": on_lines(s.ship_mode_comparison, "ship_mode", "shipping_days", "order_id", *sp),
         "k32_city_leaders": on_lines(s.city_leaders, "city", "state", *sp),
-        "k32_category_shares": on_lines(s.category_shares, "category", *sp),
+        "k32_category_shares": lambda x: rounded(s.category_shares(x.by_product("category", *sp))),
         "k32_sub_categories": on_lines(s.sub_category_table, "sub_category", "discount", *sp),
         "k33_yearly_summary": on_lines(s.yearly_summary, "order_year", "order_id", *sp),
         "k34_region_summary": on_lines(s.region_summary, "region", "discount", *sp),
-        "k34_top_products": on_lines(
-            s.top_by, "product_name", "sales", key="product_name", measure="sales", k=10, label_chars=32
+        "k34_top_products": lambda x: s.top_by(
+            x.by_product("product_name", "sales"), key="product_name", measure="sales", k=10, label_chars=32
+        ),
+        "k34_top_customers": lambda x: s.top_by(
+            x.by_customer("customer_name", "sales"), key="customer_name", measure="sales", k=10
         ),
-        "k34_top_customers": on_lines(s.top_by, "customer_name", "sales", key="customer_name", measure="sales", k=10),
         "l09_scatter_sample": lambda x: s.scatter_sample(x.lines("row_id", "discount", "profit")),
         "w08_rolling_mean": lambda x: s.rolling_mean(s.monthly_totals(x.lines("year_month", *sp))),
         # exported aggregates
@@ -385,15 +387,15 @@ def _builders() -> dict[str, Builder]:
         "g05_interactive_caps": lambda x: scenario.interactive_caps(x.lines("discount", *sp)),
         # measures
         "b01_totals": lambda x: kpi_measures(x, "total_sales", "total_profit", "units_sold"),
-        "b02_profit_margin": lambda x: kpi_measures(x, "profit_margin", by=("category",)),
+        "b02_profit_margin": lambda x: rounded(m.measure(x.by_product("category", *sp), ["profit_margin"], ["category"])),
         "b03_orders_customers": lambda x: kpi_measures(x, "total_orders", "total_customers", by=("region",)),
         "b04_avg_order_value": lambda x: kpi_measures(x, "avg_order_value", by=("segment",)),
         "b05_calendar": lambda x: m.calendar(x.lines("order_date")),
         "b05_calendar_sales": lambda x: m.calendar_sales(x.lines("order_date", "order_id", "sales")),
         "b06_prior_year": prior_year,
         "b07_b08_running_sales": on_lines(m.running_sales, "order_year", "year_month", "sales"),
-        "b09_product_rank": lambda x: m.sales_rank(x.lines("product_name", "sales"), "product_name"),
-        "b09_customer_rank": lambda x: m.sales_rank(x.lines("customer_name", "sales"), "customer_name"),
+        "b09_product_rank": lambda x: m.sales_rank(x.by_product("product_name", "sales"), "product_name"),
+        "b09_customer_rank": lambda x: m.sales_rank(x.by_customer("customer_name", "sales"), "customer_name"),
         "b10_share_of_selection": lambda x: rounded(
             m.share_of_selection(
                 x.lines("category", "region", "sales"), ["category"], m.slicer(region=["ASIA", "EUROPE"])
@@ -407,10 +409,10 @@ def _builders() -> dict[str, Builder]:
         "b07_b08_running_sales_sliced": running_sliced,
         "b09_customer_rank_sliced": rank_sliced,
         "b13_baskets": lambda x: kpi_measures(x, "avg_basket_size", "avg_lines_per_order", by=("segment",)),
-        "b14_rank_in_scope": lambda x: m.rank_in_scope(x.lines("product_name", "sales"), "product_name"),
+        "b14_rank_in_scope": lambda x: m.rank_in_scope(x.by_product("product_name", "sales"), "product_name"),
         "b15_exposure": lambda x: kpi_measures(x, "recoverable_profit", "loss_making_lines", by=("category",)),
         "b16_simulated_profit": simulated_by_region,
-        "b17_top_n_customers": lambda x: m.top_n(x.lines("customer_name", "sales"), "customer_name", 5),
+        "b17_top_n_customers": lambda x: m.top_n(x.by_customer("customer_name", "sales"), "customer_name", 5),
         **{
             f"b18_{short}_{part}": lambda x, key=key, f=f: busiest(x, key, f)
             for short, key in (("product", "product_name"), ("customer", "customer_name"), ("state", "state"))
@@ -421,11 +423,11 @@ def _builders() -> dict[str, Builder]:
         # dashboard
         "d01_kpi_cards": on_lines(d.kpi_cards, "order_id", "customer_id", "order_year", *sp),
         "d02_calendar_months": on_lines(d.calendar_months, "order_month", *sp),
-        "d03_category_share": lambda x: d.share_of_sales(x.lines("category", "sales"), "category"),
+        "d03_category_share": lambda x: d.share_of_sales(x.by_product("category", "sales"), "category"),
         "d03_segment_share": lambda x: d.share_of_sales(x.lines("segment", "sales"), "segment"),
-        "d04_top_products": lambda x: d.leaders(x.lines("product_name", "sales"), "product_name", "sales"),
-        "d04_top_customers": lambda x: d.leaders(x.lines("customer_name", "sales"), "customer_name", "sales"),
-        "d04_top_sub_categories": lambda x: d.leaders(x.lines("sub_category", "profit"), "sub_category", "profit"),
+        "d04_top_products": lambda x: d.leaders(x.by_product("product_name", "sales"), "product_name", "sales"),
+        "d04_top_customers": lambda x: d.leaders(x.by_customer("customer_name", "sales"), "customer_name", "sales"),
+        "d04_top_sub_categories": lambda x: d.leaders(x.by_product("sub_category", "profit"), "sub_category", "profit"),
         "d05_region_table": on_lines(d.region_table, "region", "order_id", "customer_id", *sp),
         "d06_state_sales": lambda x: d.state_sales(x.lines("state", "sales"), state_codes(x)),
         "d07_as_of": on_lines(d.as_of, "order_date"),
@@ -434,12 +436,12 @@ def _builders() -> dict[str, Builder]:
         # workbook
         "e01_kpis": on_lines(w.kpis, "order_id", "customer_name", "quantity", *sp),
         "e02_category_table": lambda x: rounded(
-            w.fixed_table(x.lines("category", *sp), "category", ["STANDARD", "ECONOMY", "LUXURY"])
+            w.fixed_table(x.by_product("category", *sp), "category", ["STANDARD", "ECONOMY", "LUXURY"])
         ),
         "e03_monthly_grid": on_lines(w.monthly_grid, "order_year", "order_month", *sp),
         "e04_region_sheet": on_lines(w.region_sheet, "region", *sp),
         "e04_segment_table": lambda x: rounded(w.fixed_table(x.lines("segment", *sp), "segment", SEGMENTS)),
-        "e05_top_customers": on_lines(w.top_customers, "customer_name", *sp),
+        "e05_top_customers": lambda x: rounded(w.top_customers(x.by_customer("customer_name", *sp))),
         "s11_flat_projection": lambda x: w.flat_projection(x.lines(*w.FLAT_COLS)),
     }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,27 +35,37 @@ def build_session(app: str = "commerce_engine", **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a scratch one in local mode only."""
+    """The folder named by ``spark.checkpoint.dir``, else one inside the warehouse, which a cluster shares as well."""
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if sc.getCheckpointDir():
-        return sc.getCheckpointDir().rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-    return sc.getCheckpointDir().rstrip("/")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints").rstrip("/")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
-    Used where several later passes read the same expensive intermediate. A
-    Parquet table (rather than an RDD checkpoint) keeps column pruning and gives
-    the optimizer a true size for its join choices.
+    Used where several later passes read the same expensive intermediate: customer
+    totals, places and distinct totals, all far smaller than the lines. A written
+    table survives the loss of any executor. It is removed when the application ends,
+    or earlier by :func:`remove_written`.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if not _written:
+        atexit.register(remove_written, spark)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_written: list[str] = []
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Remove every table that :func:`materialize` has written; frames that read them can no longer run."""
+    if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
+        return
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(hadoop).delete(path, True)

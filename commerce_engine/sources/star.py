@@ -10,7 +10,7 @@ measured size is under the session's threshold and shuffles both sides otherwise
 from __future__ import annotations
 
 from abc import ABC, abstractmethod
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +44,9 @@ BASE_COLS = [
 ]
 
 
+SUMMED = ["sales", "profit", "quantity"]
+
+
 class Star(ABC):
     """Source of order lines; queries are written against this interface only."""
 
@@ -59,6 +62,23 @@ class Star(ABC):
     def customers(self) -> DataFrame:
         """customer_id, customer_name, segment."""
 
+    def by_product(self, *cols: str) -> DataFrame:
+        """Product attributes and summed measures, one row per product that was sold.
+
+        It stands in for the lines wherever measures are only summed: the lines are
+        grouped by product before any attribute joins.
+        """
+        return self._grouped("product_id", self.products(), cols)
+
+    def by_customer(self, *cols: str) -> DataFrame:
+        """As :meth:`by_product`, by customer."""
+        return self._grouped("customer_id", self.customers(), cols)
+
+    def _grouped(self, key: str, attributes: DataFrame, cols: Sequence[str]) -> DataFrame:
+        measures = [c for c in cols if c in SUMMED]
+        totals = self.lines(key, *measures).groupBy(key).agg(*[F.sum(m).alias(m) for m in measures])
+        return totals.join(attributes, key).select(*cols)
+
     def lines(self, *cols: str) -> DataFrame:
         """Order lines with base and derived (time, value) columns."""
         base = [c for c in cols if c in BASE_COLS or c == "raw_ship_date"]
