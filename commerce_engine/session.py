@@ -41,31 +41,35 @@ def shared_dir(spark: SparkSession) -> str:
     return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints").rstrip("/")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed when the application ends or by :func:`remove_written`."""
+    if not _written:
+        atexit.register(remove_written)
+    _written.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return _written[-1]
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
-    Used where several later passes read the same expensive intermediate: customer
-    totals, places and distinct totals, all far smaller than the lines. A written
-    table survives the loss of any executor. It is removed when the application ends,
-    or earlier by :func:`remove_written`.
+    Used where several later passes read the same expensive intermediate. A written
+    table cuts the lineage: the loss of an executor costs no more than the running
+    stage. It keeps column pruning and gives the optimizer a true size.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    if not _written:
-        atexit.register(remove_written, spark)
-    _written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _written: list[str] = []
 
 
-def remove_written(spark: SparkSession) -> None:
-    """Remove every table that :func:`materialize` has written; frames that read them can no longer run."""
-    if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
+def remove_written() -> None:
+    """Remove everything under a :func:`scratch_path`; frames that read it can no longer run."""
+    spark = SparkSession.getActiveSession()
+    if spark is None or spark.sparkContext._jsc is None:
         return
-    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+    hadoop = spark._jsc.hadoopConfiguration()
     while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
         path.getFileSystem(hadoop).delete(path, True)
