@@ -37,13 +37,16 @@ def by_discount(lines: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return sums.select(*by, F.round(F.col("discount") * 100, 0).cast("int").alias("pct"), *[v.alias(c) for c, v in cents.items()])
 
 
-def capped(groups: DataFrame, cap: Column) -> Column:
-    """Change of profit, in 10^-DIGITS cents, if discounts had been at most ``cap`` per cent and the sale still closed."""
+def capped(cap: Column) -> Column:
+    """Change of profit, in 10^-DIGITS cents, if discounts had been at most ``cap`` per cent and the sale still closed.
+
+    Null without a discount: LEAST would skip the null and put the cap in its place.
+    """
     list_share = F.when(F.col("pct") < 100, 100 - F.col("pct")).otherwise(100)
     kept_share = 100 - F.least(F.col("pct"), cap)
     scaled = whole(F.col("sales") * F.lit(10**DIGITS))
     new_sales = divided(whole(scaled * kept_share.cast("decimal(5,0)")), list_share.cast("decimal(5,0)"))
-    return whole(new_sales - scaled)
+    return F.when(F.col("pct").isNotNull(), whole(new_sales - scaled))
 
 
 def totals(groups: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -51,7 +54,7 @@ def totals(groups: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
     A line without a discount keeps its profit.
     """
-    change = F.coalesce(F.sum(capped(groups, F.col("cap"))), F.lit(0))
+    change = F.coalesce(F.sum(capped(F.col("cap"))), F.lit(0))
     unit = F.lit(10 ** (DIGITS + 2)).cast("decimal(10,0)")
     profit = F.sum("profit")
     return groups.groupBy(*by).agg(
@@ -69,7 +72,8 @@ def discount_caps(lines: DataFrame, caps_pct: Sequence[int] = tuple(CAPS_PCT)) -
     long = totals(sums, ["cap"])
     base = long.where(F.col("cap") == caps_pct[0]).agg(F.first("simulated")).scalar()
     uplift = F.col("simulated") - base
-    return long.select(
+    given = F.array(*[F.lit(c) for c in caps_pct])
+    return long.orderBy(F.array_position(given, F.col("cap"))).select(
         F.col("cap").alias("cap_pct"),
         F.round("simulated", 2).cast("double").alias("profit"),
         F.round(uplift, 2).cast("double").alias("uplift"),

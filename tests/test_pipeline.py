@@ -85,6 +85,30 @@ def test_scans_read_only_what_is_asked(star):
     assert "EqualTo(r_name,ASIA)" in plan(sliced)
 
 
+@pytest.mark.parametrize(
+    "name", ["b02_profit_margin", "b09_product_rank", "d03_category_share", "d04_top_products", "e02_category_table", "k32_category_shares", "q30_product_rank_within_category"]
+)
+def test_products_are_joined_to_totals_not_to_lines(spark, name):
+    text = QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [product_id" in text
+
+
+def test_a_folder_of_files_gets_the_plan_of_one_file(spark, tmp_path):
+    import re
+    import shutil
+
+    for f in ("orders", "lineitem", "customer", "nation", "region", "part"):
+        target = tmp_path / f"{f}.parquet"
+        target.mkdir()
+        shutil.copy(f"{FOLDER}/{f}.parquet", target / "part-0.parquet")
+
+    def shape(folder):
+        text = QUERIES["q12_state_performance"](spark, str(folder))._jdf.queryExecution().sparkPlan().toString()
+        return re.findall(r"\b(?:\w*Join|\w*Aggregate|Exchange|FileScan|Project|Filter|Repartition\w*)\b", text)
+
+    assert shape(FOLDER) == shape(tmp_path)
+
+
 def test_hot_keys_survive(spark):
     """One customer, one order and one product hold a third of all lines."""
     n = 3000
