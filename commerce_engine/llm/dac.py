@@ -151,7 +151,8 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
     """The segments with ``start``, the number of ids in all segments before.
 
     The running total goes over one row per part of the range partitioning, so
-    its size is that of the job, not of the data.
+    its size, and that of the broadcast, is the number of partitions of the job
+    that wrote the files.
     """
     from pyspark.sql import Window
 
@@ -159,7 +160,7 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
     parts = files.groupBy("part").agg(F.sum("n_tokens").alias("size"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
-    return files.join(parts, "part").withColumn("start", F.col("base") + F.col("first")).drop("base")
+    return files.join(F.broadcast(parts), "part").withColumn("start", F.col("base") + F.col("first")).drop("base")
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
