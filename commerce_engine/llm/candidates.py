@@ -8,10 +8,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Bytes of a sketch.
-SKETCH = 64
-
-
 def fixed(column: pa.Array, dtype: str, width: int) -> np.ndarray:
     """A binary column of equal lengths as a matrix."""
     return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(-1, width)
@@ -56,15 +52,17 @@ def groups_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Tabl
 def node_links(nodes: DataFrame, agrees: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
     """Links (src, dst) between rows of equal ``node`` whose sketches agree; a spanning forest, not all pairs.
 
-    nodes: node, id, sketch (SKETCH bytes). The caller keeps nodes small: a node is
-    compared exhaustively. ``agrees`` takes two matrices of sketches, row by row.
+    nodes: node, id, sketch (all of one length). The caller keeps nodes small: a node
+    is compared exhaustively. ``agrees`` takes two matrices of sketches, row by row.
+    The links of a group lead to its smallest id.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups_of(batches, 4096):
             node = table.column(0).to_numpy()
             ids = table.column(1).to_numpy()
-            sketch = fixed(table.column(2).combine_chunks(), np.uint8, SKETCH)
+            raw = table.column(2).combine_chunks()
+            sketch = fixed(raw, np.uint8, len(raw[0].as_py()))
             left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             distance, at = 1, np.arange(len(node) - 1)
             while len(at):
@@ -79,4 +77,4 @@ def node_links(nodes: DataFrame, agrees: Callable[[np.ndarray, np.ndarray], np.n
             if len(moved):
                 yield pa.record_batch([pa.array(ids[moved]), pa.array(ids[label[moved]])], names=["src", "dst"])
 
-    return nodes.repartition("node").sortWithinPartitions("node").mapInArrow(work, "src bigint, dst bigint")
+    return nodes.repartition("node").sortWithinPartitions("node", nodes.columns[1]).mapInArrow(work, "src bigint, dst bigint")

@@ -1,4 +1,4 @@
-"""Shared folder, written intermediate tables, connected components."""
+"""Tables, shipped code, connected components."""
 
 from __future__ import annotations
 
@@ -8,20 +8,21 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize as written
+
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this subpackage to the Python workers, once per application, as any job's own modules are."""
+    """Send this subpackage, and the module it imports, to the Python workers, once per application, as any job's own modules are."""
     sc = spark.sparkContext
     if not getattr(sc, "_llm_shipped", False):
         root = Path(__file__).resolve().parent
         raw = io.BytesIO()
         with zipfile.ZipFile(raw, "w") as z:
-            z.write(root.parent / "__init__.py", f"{root.parent.name}/__init__.py")
-            for f in sorted(root.glob("*.py")):
-                z.write(f, f"{root.parent.name}/{root.name}/{f.name}")
+            for f in (root.parent / "__init__.py", root.parent / "session.py", *sorted(root.glob("*.py"))):
+                z.write(f, f.relative_to(root.parent.parent))
         path = Path(tempfile.mkdtemp(prefix="code-")) / f"{root.parent.name}_{uuid.uuid4().hex[:8]}.zip"
         path.write_bytes(raw.getvalue())
         sc.addPyFile(str(path))  # the driver serves the file; nobody else reads this path
@@ -34,62 +35,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a scratch one only in a local session without it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor reaches")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table written once to the shared folder and read back.
-
-    It cuts the lineage: a lost executor costs no more than the stage that is
-    running. The folder is the cluster's scratch space, whose files it clears.
-    """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(id, component) of every end of an edge; component is the smallest reachable id.
 
     Alternating large-star and small-star contraction: each vertex hangs its
     neighbours on the smallest of them until nothing changes, which takes a
-    number of rounds logarithmic in the size of the largest component. A round
-    aggregates by vertex with map-side combining and joins the minimum back, so
-    a vertex with very many neighbours is split like any skewed join key.
+    number of rounds logarithmic in the size of the largest component. A vertex's
+    rows are two numbers each and are sorted, not held, to find their minimum; every
+    round removes repeated links, so a vertex has one row per neighbour at most.
 
     ``edges`` has columns src and dst (integers); nulls and self-links are ignored.
     """
     pairs = edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct()
-    pairs = written(pairs, "links")
-    before = None
     for _ in range(rounds):
-        large = _star(pairs.union(pairs.select("v", "u")), "u", "v", larger=True)
-        small = _star(large, "u", "v", larger=False)
-        pairs = written(small, "links")
-        total = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if before == total:
+        least = F.min("v").over(Window.partitionBy("u"))
+        both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        hung = both.select("u", "v", F.least("u", least).alias("m")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # Now v < u everywhere. A vertex hangs on its least neighbour, and so do its other neighbours.
+        meet = hung.select("u", "v", least.alias("m"))
+        lower = meet.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
+        pairs = written(lower.where("u <> v").distinct(), "links")
+        # Settled when all are stars: each u has one v, and no v is a u.
+        ends = pairs.select(F.explode(F.array(F.struct(F.col("u").alias("id"), F.lit(1).alias("up")), F.struct(F.col("v").alias("id"), F.lit(0).alias("up")))).alias("e"))
+        roles = ends.groupBy("e.id").agg(F.sum("e.up").alias("ups"), F.min("e.up").alias("least"))
+        if roles.where("ups > 1 or (ups = 1 and least = 0)").isEmpty():
             break
-        before = total
     else:
         raise RuntimeError("components did not settle")
-    roots = pairs.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-    return pairs.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)
-
-
-def _star(pairs: DataFrame, u: str, v: str, larger: bool) -> DataFrame:
-    """Hang the neighbours of each u on the smallest of them and u; only larger ones, or only the smaller ones and u."""
-    least = pairs.groupBy(u).agg(F.min(v).alias("least")).select(F.col(u).alias("at"), F.least("least", u).alias("m"))
-    if larger:
-        joined = pairs.where(f"{v} > {u}").join(least, F.col(u) == F.col("at")).select(F.col(v).alias("a"), F.col("m").alias("b"))
-    else:
-        joined = pairs.join(least, F.col(u) == F.col("at")).select(F.col(v).alias("a"), F.col("m").alias("b"))
-        joined = joined.union(least.select(F.col("at").alias("a"), F.col("m").alias("b")))
-    return joined.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
+    roots = F.array(F.struct(F.col("u").alias("id"), F.col("v").alias("component")), F.struct(F.col("v").alias("id"), F.col("v").alias("component")))
+    return pairs.select(F.explode(roots).alias("e")).select("e.*").distinct()

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .candidates import SKETCH, fixed, groups_of, node_links, spanning
+from .candidates import fixed, groups_of, node_links, spanning
 from .common import components, written
 from .text_arrays import U64, mix
 
@@ -44,6 +44,7 @@ RECALL = 0.998
 LEAF = 256
 EXTRA = 3
 BLOCK = 1024
+SKETCH = 64  # bytes
 BITS = 8 * SKETCH
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -10,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import anomalies, dac, embeddings, mixing, ordinal, packing, prefix_counts, pseudonyms, similarity, suffix_dedup
-from .common import shared_folder, table
+from ..session import scratch_path
+from .common import table
 
 PII_KEY = b"rotate this key with every release"
 SEQUENCE = 4096
@@ -26,7 +26,7 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/token-files-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "token-files")
     dac.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return dac.read_documents(spark, path)
 

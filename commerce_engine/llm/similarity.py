@@ -7,7 +7,7 @@ a hash of the node, so alike for all documents in it) and each document goes to
 the child that its value at a picked coordinate names. A pair at the threshold
 stays together in one child on average, unrelated documents part at once.
 
-Nodes of at most LEAF documents are compared exhaustively on 64-byte sketches, with
+Nodes of at most LEAF documents are compared exhaustively on 32-byte sketches, with
 a margin of four standard deviations below the threshold. Larger nodes branch
 further; what is still large after EXTRA levels is taken as similar as a whole, so
 nothing is cut. The documents linked so far form candidate groups, whose pairs are
@@ -35,14 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .candidates import SKETCH, fixed, groups_of, node_links, spanning
+from .candidates import fixed, groups_of, node_links, spanning
 from .common import components, written
 from .text_arrays import U64, blocks, buffers, mix, words
 
-COORDINATES = SKETCH  # one byte of each in a sketch
+COORDINATES = 64
+SKETCH = 32  # coordinates of which a sketch keeps a byte
 TREES = 10
-LEAF = 256
-EXTRA = 3
+LEAF = 1024
+EXTRA = 1
 BLOCK = 512
 PIVOTS = 16
 
@@ -134,7 +135,7 @@ def descend(rows: DataFrame, threshold: float, levels: int, trees: int | None) -
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             values = fixed(batch.column(1), "<u4", COORDINATES)
-            sketches = (values & 0xFF).astype(np.uint8)
+            sketches = (values[:, :SKETCH] & 0xFF).astype(np.uint8)
             if trees is None:
                 starts = [(np.arange(len(ids)), batch.column(2).to_numpy(zero_copy_only=False).view(U64))]
             else:
@@ -145,7 +146,7 @@ def descend(rows: DataFrame, threshold: float, levels: int, trees: int | None) -
                     row = row[at]
                 raw = sketches[row].tobytes()
                 yield pa.record_batch(
-                    [pa.array(node.view(np.int64)), pa.array(ids[row]), pa.array([raw[i : i + COORDINATES] for i in range(0, len(raw), COORDINATES)], pa.binary())],
+                    [pa.array(node.view(np.int64)), pa.array(ids[row]), pa.array([raw[i : i + SKETCH] for i in range(0, len(raw), SKETCH)], pa.binary())],
                     names=["node", "doc_id", "sketch"],
                 )
 
@@ -156,7 +157,7 @@ def descend(rows: DataFrame, threshold: float, levels: int, trees: int | None) -
 def candidate_links(reps: DataFrame, threshold: float) -> DataFrame:
     """Links (src, dst) that join every two documents which share a small node and look similar there."""
     count = reps.count()
-    least = (threshold - 4 * math.sqrt(threshold * (1 - threshold) / COORDINATES)) * COORDINATES
+    least = (threshold - 4 * math.sqrt(threshold * (1 - threshold) / SKETCH)) * SKETCH
 
     def agrees(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return (a == b).sum(1) >= least
@@ -180,54 +181,65 @@ def candidate_links(reps: DataFrame, threshold: float) -> DataFrame:
     return links
 
 
+def common_counts(members: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Common shingles of each left with each right member, as a product of 0/1 matrices.
+
+    It goes by slices of the shingles that occur twice or more, so memory is bounded.
+    """
+    n = len(members)
+    owner = np.repeat(np.arange(n), [len(s) for s in members])
+    flat = np.concatenate(members)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    number = np.cumsum(np.concatenate([[True], flat[1:] != flat[:-1]])) - 1
+    often = np.bincount(number) > 1
+    keep = often[number]
+    owner, number = owner[keep], (np.cumsum(often) - 1)[number[keep]]
+    total = int(number[-1]) + 1 if len(number) else 0
+    common = np.zeros((len(left), len(right)), np.float32)
+    width = max(1, (1 << 22) // n)
+    for a in range(0, total, width):
+        i, j = np.searchsorted(number, [a, a + width])
+        has = np.zeros((n, min(width, total - a)), np.float32)
+        has[owner[i:j], number[i:j] - a] = 1
+        common += has[left] @ has[right].T
+    return common.astype(np.int64)
+
+
 def exact_links(units: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """All pairs of documents of a unit (unit, doc_id) compared on full sets; a spanning forest of the links.
+    """Documents of a unit (unit, side, doc_id, large) compared on full sets; a spanning forest of the links.
 
-    A unit holds at most a few BLOCKs of documents. Common shingles are counted as
-    a product of 0/1 matrices, in slices of the shingles that occur in a unit twice or more.
+    Side 0 meets itself, sides 1 and 2 meet each other. A unit holds at most a few
+    BLOCKs of documents. Links (src, dst, large) lead to the smallest id that a
+    document reaches in its unit.
     """
     percent = round(threshold * 100)
 
-    def links(members: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        n = len(members)
+    def links(side: np.ndarray, members: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.array([len(s) for s in members])
-        owner = np.repeat(np.arange(n), sizes)
-        flat = np.concatenate(members)
-        order = np.argsort(flat, kind="stable")
-        flat, owner = flat[order], owner[order]
-        new = np.concatenate([[True], flat[1:] != flat[:-1]])
-        number = np.cumsum(new) - 1
-        often = np.bincount(number) > 1
-        keep = often[number]
-        owner, number = owner[keep], (np.cumsum(often) - 1)[number[keep]]
-        common = np.zeros((n, n), np.float32)
-        width = max(1, (1 << 22) // n)
-        total = int(number[-1]) + 1 if len(number) else 0
-        for a in range(0, total, width):
-            i, j = np.searchsorted(number, [a, a + width])
-            has = np.zeros((n, min(width, total - a)), np.float32)
-            has[owner[i:j], number[i:j] - a] = 1
-            common += has @ has.T
-        common = common.astype(np.int64)
-        union = sizes[:, None] + sizes[None, :] - common
-        return np.nonzero(np.triu(100 * common >= percent * union, 1))
+        left = np.flatnonzero(side != 2)
+        right = np.flatnonzero(side != 1)
+        common = common_counts(members, left, right)
+        i, j = np.nonzero(100 * common >= percent * (sizes[left][:, None] + sizes[right][None, :] - common))
+        return left[i], right[j]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups_of(batches, 1):
-            unit, ids = table.column(0).to_numpy(), table.column(1).to_numpy()
-            raw = table.column(2)
+            unit, ids, side = (table.column(c).to_numpy() for c in (0, 1, 2))
+            raw, kind = table.column(3), table.column(4)
             edges = np.concatenate([[0], np.flatnonzero(unit[1:] != unit[:-1]) + 1, [len(unit)]])
             for a, b in zip(edges.tolist(), edges[1:].tolist()):
                 if b - a < 2:
                     continue
-                left, right = links([np.frombuffer(raw[i].as_py(), U64) for i in range(a, b)])
+                left, right = links(side[a:b], [np.frombuffer(raw[i].as_py(), U64) for i in range(a, b)])
                 label = spanning(b - a, left, right)
                 moved = np.flatnonzero(label != np.arange(b - a))
                 if len(moved):
-                    yield pa.record_batch([pa.array(ids[a:b][moved]), pa.array(ids[a:b][label[moved]])], names=["src", "dst"])
+                    large = pa.array([kind[a].as_py()] * len(moved), pa.bool_())
+                    yield pa.record_batch([pa.array(ids[a:b][moved]), pa.array(ids[a:b][label[moved]]), large], names=["src", "dst", "large"])
 
-    members = units.select("unit", "doc_id").distinct().join(sets, "doc_id").select("unit", "doc_id", "shingles")
-    return members.repartition("unit").sortWithinPartitions("unit", "doc_id").mapInArrow(work, "src bigint, dst bigint")
+    members = units.distinct().join(sets, "doc_id").select("unit", "doc_id", "side", "shingles", "large")
+    return members.repartition("unit").sortWithinPartitions("unit", "doc_id", "side").mapInArrow(work, "src bigint, dst bigint, large boolean")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -240,28 +252,32 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 found = shingle_sets(offsets[a : b + 1] - offsets[a], data[offsets[a] : offsets[b]], size)
                 yield pa.record_batch([batch.column(0)[a:b], pa.array([s.tobytes() for s in found], pa.binary())], names=["doc_id", "shingles"])
 
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
+    # The same plan at every size: the wanted ids grow with the documents.
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(wanted.hint("merge"), "doc_id", "left_semi")
     return texts.mapInArrow(work, "doc_id bigint, shingles binary")
 
 
-def similar_links(docs: DataFrame, reps: DataFrame, size: int, threshold: float) -> DataFrame:
-    """Links between representatives that join exactly the documents reachable from each other."""
-    member = written(components(candidate_links(reps, threshold)).withColumnRenamed("id", "doc_id"), "candidates")
-    sets = written(full_sets(docs, member, size), "sets")
-    sizes = member.groupBy("component").agg(F.count("*").alias("size"))
-    placed = member.join(sizes, "component").withColumn("n_blocks", F.ceil(F.col("size") / BLOCK).cast("bigint"))
-    block = F.pmod(F.xxhash64("doc_id"), F.col("n_blocks"))
-    placed = written(placed.withColumn("block", block), "blocks")
+def joined_documents(docs: DataFrame, reps: DataFrame, size: int, threshold: float) -> DataFrame:
+    """(id, component) of the representatives that link with others."""
+    member = components(candidate_links(reps, threshold)).withColumnRenamed("id", "doc_id")
+    sizes = member.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("bigint").alias("n_blocks"))
+    placed = member.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("n_blocks")))
+    placed = written(placed, "blocks")
+    sets = written(full_sets(docs, placed, size), "sets")
     large = placed.where("n_blocks > 1")
-    pivots = large.groupBy("component", "n_blocks").agg(F.expr(f"slice(array_sort(collect_list(if(block = 0, doc_id, null))), 1, {PIVOTS})").alias("pivots"))
+    pivots = large.where("block = 0").groupBy("component", "n_blocks").agg(F.expr(f"slice(array_sort(collect_list(doc_id)), 1, {PIVOTS})").alias("pivots"))
     shared = pivots.select("component", F.explode("pivots").alias("doc_id"), "n_blocks")
-    shared = shared.select("component", "doc_id", F.explode(F.expr("sequence(0L, n_blocks - 1)")).alias("block"))
-    units = placed.select(F.xxhash64("component", "block").alias("unit"), "doc_id").union(shared.select(F.xxhash64("component", "block").alias("unit"), "doc_id"))
+    shared = shared.select("component", "doc_id", F.explode(F.expr("sequence(0L, n_blocks - 1)")).alias("block"), F.lit(True).alias("large"))
+    units = placed.select("component", "doc_id", "block", (F.col("n_blocks") > 1).alias("large")).union(shared)
+    units = units.select(F.xxhash64("component", "block").alias("unit"), "doc_id", F.lit(0).alias("side"), "large")
     links = written(exact_links(units, sets, threshold), "links")
+    # A group of one unit is settled: its links lead to the smallest id of each component.
+    whole = links.where("not large").select(F.col("src").alias("id"), F.col("dst").alias("component"))
     if large.isEmpty():
-        return links
+        return whole
     # Second pass, large groups only: whoever is not in the largest component so far meets everyone of the group.
-    now = components(links).withColumnRenamed("id", "doc_id").withColumnRenamed("component", "joined")
+    first = links.where("large").select("src", "dst")
+    now = components(first).withColumnRenamed("id", "doc_id").withColumnRenamed("component", "joined")
     state = written(large.join(now, "doc_id", "left").withColumn("joined", F.coalesce("joined", "doc_id")), "state")
     parts = state.groupBy("component", "joined").count()
     main = parts.groupBy("component").agg(F.max_by("joined", F.struct("count", "joined")).alias("main"))
@@ -269,20 +285,22 @@ def similar_links(docs: DataFrame, reps: DataFrame, size: int, threshold: float)
     counted = outside.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("bigint").alias("chunks"))
     outside = outside.join(counted, "component").withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("chunks")))
     blocks_of = large.select("component", "block").distinct()
-    left = outside.join(blocks_of, "component").select(F.xxhash64("component", "chunk", "block").alias("unit"), "doc_id")
+    unit = F.xxhash64("component", "chunk", "block").alias("unit")
+    left = outside.join(blocks_of, "component").select(unit, "doc_id", F.lit(1).alias("side"))
     right = state.join(counted, "component").select("component", "doc_id", "block", F.explode(F.expr("sequence(0L, chunks - 1)")).alias("chunk"))
-    right = right.select(F.xxhash64("component", "chunk", "block").alias("unit"), "doc_id")
-    return links.union(written(exact_links(left.union(right), sets, threshold), "links"))
+    right = right.select(unit, "doc_id", F.lit(2).alias("side"))
+    second = exact_links(left.union(right).withColumn("large", F.lit(True)), sets, threshold).select("src", "dst")
+    return whole.union(components(state.where("joined <> doc_id").select(F.col("doc_id").alias("src"), F.col("joined").alias("dst")).union(second)))
 
 
 def similar_groups(docs: DataFrame, words_in_shingle: int = 5, threshold: float = 0.8) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text)."""
     rows = written(summaries(docs, words_in_shingle), "summaries")
     usable = rows.where("doc_id is not null and set_key is not null")
-    classes = usable.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    reps = usable.join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "set_key"]).dropDuplicates(["doc_id", "set_key"])
-    reps = written(reps.select("doc_id", "signature"), "representatives")
-    joined = components(similar_links(docs, reps, words_in_shingle, threshold))
+    classes = usable.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"))  # equal sets, equal signatures
+    classes = written(classes, "representatives")
+    reps = classes.select(F.col("rep").alias("doc_id"), "signature")
+    joined = joined_documents(docs, reps, words_in_shingle, threshold)
     of_class = classes.join(joined, F.col("rep") == F.col("id"), "left").select("set_key", F.coalesce("component", "rep").alias("of_class"))
     found = rows.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("of_class", "doc_id"))
