@@ -34,16 +34,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_folder, written
+from ..session import scratch_path
+from .common import written
 from .suffixes import common_prefixes, ordered
 from .text_arrays import U64, mix
 
 LENGTH = 100
 GRAM = 32
 SHARD_BYTES = 1 << 20
+#: Shards of texts in one shuffle partition; a task of steps 2 and 5 holds one at a time.
+SHARDS = 4
 #: Bytes of one family of near copies that one task sorts, shard after shard.
 FAMILY_BYTES = 32 << 20
 
@@ -115,22 +118,29 @@ def numbered(docs: DataFrame) -> DataFrame:
     return written(in_order.select(F.monotonically_increasing_id().alias("place"), "doc_id", "text"), "numbered")
 
 
-def bucketed(docs: DataFrame) -> DataFrame:
+def shard_of(spark: SparkSession, n: int) -> Column:
+    """The shard of a place: SHARDS numbers for each of n buckets, all of which Spark's hash sends there."""
+    number = F.col("id").cast("int")
+    sent = spark.range(40 * SHARDS * n + 1000).groupBy(F.pmod(F.hash(number), F.lit(n)).alias("bucket"))
+    taken = sent.agg(F.expr(f"slice(array_sort(collect_list(cast(id as int))), 1, {SHARDS})").alias("numbers")).collect()
+    numbers = [x for r in sorted(taken, key=lambda r: r["bucket"]) for x in r["numbers"]]
+    return F.element_at(F.array(*map(F.lit, numbers)), (F.pmod(F.xxhash64("place"), F.lit(len(numbers))) + 1).cast("int"))
+
+
+def bucketed(docs: DataFrame, n: int, shard: Column) -> DataFrame:
     """The texts as a table bucketed by shard: (shard, place, doc_id, key, text)."""
     spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"texts_{uuid.uuid4().hex}"
-    rows = numbered(docs).withColumn("shard", F.pmod(F.xxhash64("place"), F.lit(8 * n)).cast("int"))
+    rows = numbered(docs).withColumn("shard", shard)
     rows = rows.select("shard", "place", "doc_id", F.sha2("text", 256).alias("key"), "text").repartition(n, "shard")
-    rows.write.option("path", f"{shared_folder(spark)}/{name}").bucketBy(n, "shard").sortBy("shard").saveAsTable(name)
+    rows.write.option("path", scratch_path(spark, name)).bucketBy(n, "shard").sortBy("shard").saveAsTable(name)
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # the name only: the files, and the plan that reads them, stay
     return table
 
 
-def hash_rows(texts: DataFrame, copies: DataFrame) -> DataFrame:
-    """(bucket, shard, hashes): the distinct anchor hashes of each shard, dealt by value."""
-    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def hash_rows(texts: DataFrame, copies: DataFrame, n: int) -> DataFrame:
+    """(bucket, shard, hashes): the distinct anchor hashes of each shard, dealt by value into n buckets."""
 
     def work(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         skip = set(right["place"].to_pylist())
@@ -206,7 +216,7 @@ def stretches(texts: DataFrame, facts: DataFrame) -> DataFrame:
 FOUND = "place bigint, start bigint, stop bigint, anchor bigint, text binary"
 
 
-def repeats_in(rows: list[dict]) -> Iterator[tuple]:
+def repeats_in(rows: list[dict]) -> pa.RecordBatch:
     """One shard: intervals of repeats (anchor null), and segments of first windows (anchor, text).
 
     Windows are numbered in the order of (place, start), so the first of a group is the least.
@@ -215,41 +225,55 @@ def repeats_in(rows: list[dict]) -> Iterator[tuple]:
     parts = [{k: np.frombuffer(r[k], np.uint8 if k == "text" else U64 if k == "anchor" else np.int64) for k in ("starts", "lengths", "first", "count", "anchor", "text")} for r in rows]
     base = np.concatenate([[0], np.cumsum([len(p["text"]) for p in parts])])
     text = np.concatenate([p["text"] for p in parts])
-    shift, run_at, run_n, run_value, run_row = [], [], [], [], []
-    for k, p in enumerate(parts):
-        offset = base[k] + np.concatenate([[0], np.cumsum(p["lengths"])[:-1]]) - p["starts"]  # shard place less text place
-        which = np.searchsorted(p["starts"], p["first"], "right") - 1
-        shift.append(offset[which])
-        run_at.append(p["first"] + offset[which])
-        run_n.append(p["count"])
-        run_value.append(p["anchor"])
-        run_row.append(np.full(len(which), k))
-    shift, run_at, run_n, run_value, run_row = (np.concatenate(x) for x in (shift, run_at, run_n, run_value, run_row))
-    window = np.zeros(len(text) + 1, np.int64)
-    window[run_at] += 1
-    np.subtract.at(window, run_at + run_n, 1)
-    window = np.cumsum(window[:-1]) > 0
+    # Stretches: where each begins in the shard, and how far that is from its place in its text.
+    stretch_at = np.concatenate([base[k] + np.cumsum(p["lengths"]) - p["lengths"] for k, p in enumerate(parts)])
+    stretch_shift = stretch_at - np.concatenate([p["starts"] for p in parts])
+    stretch_place = np.repeat(np.array([r["place"] for r in rows], np.int64), [len(p["starts"]) for p in parts])
+    known = np.concatenate([[0], np.cumsum([len(p["starts"]) for p in parts])])
+    which = np.concatenate([known[k] + np.searchsorted(p["starts"], p["first"], "right") - 1 for k, p in enumerate(parts)])
+    run_at = np.concatenate([p["first"] for p in parts]) + stretch_shift[which]
+    run_n = np.concatenate([p["count"] for p in parts])
+    run_value = np.concatenate([p["anchor"] for p in parts])
+
+    marks = np.zeros(len(text) + 1, np.int64)
+    marks[run_at] += 1
+    np.subtract.at(marks, run_at + run_n, 1)
+    window = np.cumsum(marks[:-1]) > 0
     order = ordered(text, LENGTH)
     order = order[window[order]]
     same = common_prefixes(text, order, LENGTH) >= LENGTH
     group = np.flatnonzero(~same)
     first = np.repeat(np.minimum.reduceat(order, group), np.diff(np.append(group, len(order))))
-    repeat = np.zeros(len(text) + 1, bool)
+    repeat = np.zeros(len(text), bool)
     repeat[order[order != first]] = True
-    places = [r["place"] for r in rows]
-    # Runs lie in order, so a cumulative count tells what each holds of either kind.
-    total = np.concatenate([[0], np.cumsum(repeat[:-1])])
-    repeats = total[run_at + run_n] - total[run_at]
-    for i in np.flatnonzero(repeats > 0).tolist():
-        a, n = int(run_at[i]), int(run_n[i])
-        at = np.flatnonzero(repeat[a : a + n])
-        for s, e in zip(*unite(at, at + LENGTH)):
-            yield places[run_row[i]], int(a + s - shift[i]), int(a + e - shift[i]), None, None
-    for i in np.flatnonzero(repeats < run_n).tolist():
-        a, n = int(run_at[i]), int(run_n[i])
-        at = np.flatnonzero(~repeat[a : a + n])
-        s, e = a + int(at[0]), a + int(at[-1])
-        yield places[run_row[i]], s - int(shift[i]), e + 1 - int(shift[i]), int(run_value[i].view(np.int64)), text[s : e + LENGTH].tobytes()
+
+    # Bytes under a repeat, as intervals; a window never leaves its stretch, but stretches touch.
+    at = np.flatnonzero(repeat)
+    stretch = np.searchsorted(stretch_at, at, "right") - 1
+    new = np.ones(len(at), bool)
+    new[1:] = (at[1:] > at[:-1] + LENGTH) | (stretch[1:] != stretch[:-1])
+    heads = np.flatnonzero(new)
+    tails = np.append(heads[1:], len(at))[: len(heads)] - 1
+    shift = stretch_shift[stretch[heads]]
+    spans = (stretch_place[stretch[heads]], at[heads] - shift, at[tails] + LENGTH - shift)
+
+    # Of each run, the windows from its first to its last one that is no repeat.
+    slots = np.arange(len(text))
+    following = np.minimum.accumulate(np.where(repeat, len(text), slots)[::-1])[::-1]
+    before = np.maximum.accumulate(np.where(repeat, -1, slots))
+    low, high = following[run_at], before[run_at + run_n - 1]
+    some = low <= high
+    low, high, run_stretch = low[some], high[some], which[some]
+    size = high + LENGTH - low
+    ends = np.cumsum(size)
+    inside = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - size, size)
+    raw = text[np.repeat(low, size) + inside]
+    segments = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(raw)])
+    shift = stretch_shift[run_stretch]
+    columns = [np.concatenate(c) for c in zip(spans, (stretch_place[run_stretch], low - shift, high + 1 - shift))]
+    anchor = pa.concat_arrays([pa.nulls(len(heads), pa.int64()), pa.array(run_value[some].view(np.int64))])
+    strings = pa.concat_arrays([pa.nulls(len(heads), pa.binary()), segments])
+    return pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), anchor, strings], names=["place", "start", "stop", "anchor", "text"])
 
 
 def shard_repeats(rows: DataFrame) -> DataFrame:
@@ -263,21 +287,21 @@ def shard_repeats(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 if held and size + len(row["text"]) > SHARD_BYTES:
-                    yield from found_rows(repeats_in(held))
+                    yield repeats_in(held)
                     held, size = [], 0
                 if len(row["text"]) > SHARD_BYTES:
-                    yield from found_rows(long_text(row))
+                    yield from long_text(row)
                     continue
                 held.append(row)
                 size += len(row["text"])
         if held:
-            yield from found_rows(repeats_in(held))
+            yield repeats_in(held)
 
     dealt = dealt.repartition("family", "salt").sortWithinPartitions("family", "salt", "place")
     return dealt.select(*[c.split()[0] for c in STRETCHES.split(", ")]).mapInArrow(work, FOUND)
 
 
-def long_text(row: dict) -> Iterator[tuple]:
+def long_text(row: dict) -> Iterator[pa.RecordBatch]:
     """A text of more than a shard: its runs in several shards, compared with each other in step 4."""
     starts, lengths = np.frombuffer(row["starts"], np.int64), np.frombuffer(row["lengths"], np.int64)
     first, count, value = np.frombuffer(row["first"], np.int64), np.frombuffer(row["count"], np.int64), np.frombuffer(row["anchor"], U64)
@@ -293,19 +317,12 @@ def long_text(row: dict) -> Iterator[tuple]:
         inside = np.arange(which[i], which[j - 1] + 1)
         s = np.maximum(starts[inside], starts[inside] + lo - base[inside])
         e = np.minimum(starts[inside] + lengths[inside], starts[inside] + hi - base[inside])
-        yield from repeats_in(
+        yield repeats_in(
             [{"place": row["place"], "starts": s.tobytes(), "lengths": (e - s).tobytes(), "first": first[i:j].tobytes(), "count": count[i:j].tobytes(), "anchor": value[i:j].tobytes(), "text": text[lo:hi]}]
         )
         i = j
 
 
-def found_rows(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-    columns = list(zip(*rows))
-    if columns:
-        types = [pa.int64()] * 4 + [pa.binary()]
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=["place", "start", "stop", "anchor", "text"])
-
-
 def window_hashes(text: np.ndarray) -> np.ndarray:
     """A hash of the LENGTH bytes from every place of the text."""
     n = len(text)
@@ -417,18 +434,19 @@ def cut(texts: DataFrame, facts: DataFrame, with_text: bool) -> DataFrame:
 
 def without_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, the remaining bytes) of every row."""
-    texts = bucketed(docs)
+    spark = docs.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shard = shard_of(spark, n)
+    texts = bucketed(docs, n, shard)
     keys = texts.select("shard", "place", "key")
     first = keys.groupBy("key").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1")
     copies = written(keys.join(first, "key").where("place <> first").select("shard", "place"), "copies")
-    common = common_hashes(hash_rows(texts, copies))
+    common = common_hashes(hash_rows(texts, copies, n))
     none = F.lit(None)
     facts = common.select("shard", none.cast("bigint").alias("place"), "hashes").union(copies.select("shard", "place", none.cast("binary").alias("hashes")))
     found = written(shard_repeats(written(stretches(texts, facts), "stretches")), "repeats")
     intervals = found.where("anchor is null").select("place", "start", "stop").union(merged_repeats(found.where("anchor is not null")))
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shard = F.pmod(F.xxhash64("place"), F.lit(8 * n)).cast("int").alias("shard")
     marks = copies.select("shard", "place", F.lit(-1).cast("bigint").alias("start"), F.lit(-1).cast("bigint").alias("stop"))
-    marks = marks.union(intervals.select(shard, "place", "start", "stop"))
+    marks = marks.union(intervals.select(shard.alias("shard"), "place", "start", "stop"))
     result = cut(texts, marks, with_text)
     return result if with_text else result.drop("kept")
