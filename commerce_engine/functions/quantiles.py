@@ -1,10 +1,12 @@
 """Exact quantiles without bringing a column's distinct values into one task.
 
 Spark's ``percentile`` keeps every distinct value in one aggregation buffer. Here
-a first pass counts rows per logarithmic bucket (a bounded number of groups, each
-combined on the map side), which locates the buckets that hold the wanted ranks;
-a second pass keeps only the rows of those buckets and counts their values.
-Bucketing is monotone in the value, so the located ranks are exact.
+rows are counted by value once, combined on the map side; both later steps start
+from those counts, so the input is read once. Sums over logarithmic buckets (a
+bounded number) locate the buckets that hold the wanted ranks; the values inside
+them are then put in order. Bucketing is monotone in the value, so the located
+ranks are exact. One task orders the distinct values of one bucket: few for money,
+a 2048th of an e-fold for any other DOUBLE.
 """
 
 from __future__ import annotations
@@ -23,18 +25,28 @@ def melt(df: DataFrame, measures: Sequence[str]) -> DataFrame:
     return df.select(F.explode(pairs).alias("e")).select("e.measure", "e.v").where("v is not null")
 
 
+def counted(df: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """(measure, v, cnt): how often each value occurs."""
+    return melt(df, measures).groupBy("measure", "v").agg(F.count("*").alias("cnt"))
+
+
 def _bucket(v: Column) -> Column:
     return (F.signum(v) * F.floor(F.log1p(F.abs(v) * 100) * BUCKETS_PER_E)).cast("bigint")
 
 
 def exact_quantiles(df: DataFrame, measures: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """(measure, n, q) with ``q`` the linearly interpolated quantiles, one per prob."""
-    values = melt(df, measures).withColumn("bucket", _bucket(F.col("v")))
+    return quantiles_of(counted(df, measures), probs)
+
+
+def quantiles_of(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """As :func:`exact_quantiles`, from the counts of :func:`counted`."""
+    values = counts.withColumn("bucket", _bucket(F.col("v")))
 
     at = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
     ranks = F.array(*[r for h in at for r in (F.floor(h), F.ceil(h))])
 
-    hist = values.groupBy("measure", "bucket").agg(F.count("*").alias("cnt"))
+    hist = values.groupBy("measure", "bucket").agg(F.sum("cnt").alias("cnt"))
     running = Window.partitionBy("measure").orderBy("bucket")
     hits = (
         hist.withColumn("upto", F.sum("cnt").over(running.rowsBetween(Window.unboundedPreceding, 0)))
@@ -44,11 +56,7 @@ def exact_quantiles(df: DataFrame, measures: Sequence[str], probs: Sequence[floa
         .select("measure", "bucket", "before", "n")
     )
     # hits has at most two buckets per measure and prob.
-    inside = (
-        values.join(F.broadcast(hits), ["measure", "bucket"])
-        .groupBy("measure", "bucket", "before", "n", "v")
-        .agg(F.count("*").alias("cnt"))
-    )
+    inside = values.join(F.broadcast(hits), ["measure", "bucket"])
     order = Window.partitionBy("measure", "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     located = (
         inside.withColumn("upto", F.col("before") + F.sum("cnt").over(order))

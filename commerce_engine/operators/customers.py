@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import mean, percent, qcut, ratio
@@ -113,7 +113,7 @@ def rfm_rollup(profile: DataFrame) -> DataFrame:
         mean("lifetime_orders").alias("avg_orders"),
         mean("recency_days").alias("avg_recency"),
     )
-    total = profile.agg(F.sum("lifetime_value")).scalar()
+    total = F.sum("revenue").over(Window.partitionBy())
     return by.withColumn("pct_revenue", percent(F.col("revenue"), total)).orderBy(F.desc("revenue"))
 
 

@@ -173,8 +173,7 @@ def sales_rank(df: DataFrame, key: str, where: Selection | None = None) -> DataF
 def share_of_selection(df: DataFrame, by: Sequence[str], where: Column | None = None) -> DataFrame:
     rows = df if where is None else df.where(where)
     totals = rows.groupBy(*by).agg(F.sum("sales").alias("sales"))
-    whole = rows.agg(F.sum("sales")).scalar()
-    return totals.withColumn("share", ratio(F.col("sales"), whole))
+    return totals.withColumn("share", ratio(F.col("sales"), F.sum("sales").over(Window.partitionBy())))
 
 
 def rank_in_scope(df: DataFrame, key: str, where: Selection | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import rnd
-from ..functions.quantiles import exact_quantiles
+from ..functions.quantiles import counted, quantiles_of
 
 MEASURES = ["sales", "profit", "quantity", "discount", "shipping_days"]
 
@@ -107,7 +107,11 @@ def key_uniqueness(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
 # ------------------------------------------------------------------ outliers
 def outlier_fences(df: DataFrame, measures: Sequence[str] = tuple(MEASURES)) -> DataFrame:
     """Quartiles and 1.5 IQR fences: one row per measure."""
-    q = exact_quantiles(df, measures, [0.0, 0.25, 0.5, 0.75, 1.0])
+    return fences_of(counted(df, measures))
+
+
+def fences_of(counts: DataFrame) -> DataFrame:
+    q = quantiles_of(counts, [0.0, 0.25, 0.5, 0.75, 1.0])
     named = q.select(
         "measure", "n", *[F.col("q")[i].alias(a) for i, a in enumerate(["min", "q1", "median", "q3", "max"])]
     )
@@ -115,14 +119,6 @@ def outlier_fences(df: DataFrame, measures: Sequence[str] = tuple(MEASURES)) ->
     return named.withColumns({"lower": F.col("q1") - 1.5 * iqr, "upper": F.col("q3") + 1.5 * iqr})
 
 
-def per_measure(row: DataFrame, measures: Sequence[str], *names: str) -> DataFrame:
-    """One row per measure from a one-row aggregate with columns named ``measure|name``."""
-    items = [
-        F.struct(F.lit(m).alias("measure"), *[F.col(f"`{m}|{n}`").alias(n) for n in names]) for m in measures
-    ]
-    return row.select(F.explode(F.array(*items)).alias("e")).select("e.*")
-
-
 def by_measure(fences: DataFrame) -> Column:
     """measure -> fence as one map, a scalar subquery over one row per measure."""
     fence = F.struct(*[c for c in fences.columns if c != "measure"])
@@ -130,31 +126,32 @@ def by_measure(fences: DataFrame) -> Column:
 
 
 def outlier_summary(df: DataFrame, measures: Sequence[str] = tuple(MEASURES)) -> DataFrame:
-    """Fences and counts outside them, counts beyond three deviations, corrected skew."""
-    v = {m: F.col(m).cast("double") for m in measures}
-    moments = df.agg(
-        *[
-            f(v[m]).alias(f"{m}|{n}")
-            for m in measures
-            for n, f in (("mu", F.avg), ("sigma", F.stddev_samp), ("g1", F.skewness))
-        ],
-        *[F.count("*").alias(f"{m}|rows") for m in measures],
+    """Fences and counts outside them, counts beyond three deviations, corrected skew.
+
+    Everything follows from one count of the rows by (measure, value): fences,
+    moments, and the rows outside the limits. Limits are one row per measure.
+    """
+    counts = counted(df, measures)
+    v, n = F.col("v"), F.col("cnt")
+    rows = df.agg(F.count("*")).scalar()
+    power = counts.groupBy("measure").agg(*[F.try_divide(F.sum(F.pow(v, F.lit(k)) * n), F.sum(n)).alias(f"e{k}") for k in (1, 2, 3)])
+    mu, var = F.col("e1"), F.col("e2") - F.pow("e1", F.lit(2))
+    third = F.col("e3") - 3 * mu * F.col("e2") + 2 * F.pow("e1", F.lit(3))
+    known = fences_of(counts).join(power, "measure").withColumns(
+        {"sigma": F.sqrt(var * F.try_divide(F.col("n"), F.col("n") - 1)), "g1": F.try_divide(third, F.pow(var, F.lit(1.5)))}
+    )
+    limits = known.select("measure", "lower", "upper", "e1", "sigma")
+    z = F.abs(F.try_divide(v - mu, F.col("sigma")))
+    beyond = counts.join(F.broadcast(limits), "measure").groupBy("measure").agg(
+        F.coalesce(F.sum(F.when((v < F.col("lower")) | (v > F.col("upper")), n)), F.lit(0)).alias("iqr_outliers"),
+        F.coalesce(F.sum(F.when(z > 3, n)), F.lit(0)).alias("zscore_outliers"),
     )
-    fences = outlier_fences(df, measures).join(per_measure(moments, measures, "mu", "sigma", "g1", "rows"), "measure")
-    counts = []
-    for m in measures:
-        fence = F.col("_fence")[m]
-        z = F.try_divide(v[m] - fence["mu"], fence["sigma"])
-        counts.append(F.count_if((v[m] < fence["lower"]) | (v[m] > fence["upper"])).alias(f"{m}|iqr_outliers"))
-        counts.append(F.count_if(F.abs(z) > 3).alias(f"{m}|zscore_outliers"))
-    limits = by_measure(fences.select("measure", "lower", "upper", "mu", "sigma"))
-    outside = df.withColumn("_fence", limits).agg(*counts)
     two = {"min": "min", "q1": "q1", "median": "median", "q3": "q3", "max": "max", "lower": "iqr_lower", "upper": "iqr_upper"}
-    return fences.join(per_measure(outside, measures, "iqr_outliers", "zscore_outliers"), "measure").select(
+    return known.join(beyond, "measure").select(
         "measure",
         *[rnd(F.col(c), 2).alias(a) for c, a in two.items()],
         "iqr_outliers",
-        rnd(F.col("iqr_outliers") * 100.0 / F.col("rows"), 2).alias("iqr_pct"),
+        rnd(F.col("iqr_outliers") * 100.0 / rows, 2).alias("iqr_pct"),
         "zscore_outliers",
         rnd(corrected_skew("g1", "n"), 2).alias("skew"),
     )
@@ -172,21 +169,28 @@ def corrected_kurtosis(g2: str, n: str) -> Column:
     return (x - 1) / F.nullif((x - 2) * (x - 3), F.lit(0.0)) * ((x + 1) * F.col(g2) + 6)
 
 
-def outlier_rows(df: DataFrame, measures: Sequence[str] = tuple(MEASURES)) -> DataFrame:
-    """Rows outside the fence of any measure, with one flag per measure."""
+def outlier_flags(df: DataFrame, measures: Sequence[str] = tuple(MEASURES)) -> DataFrame:
+    """All rows with one flag per measure: outside its fence."""
     fenced = df.withColumn("_fence", by_measure(outlier_fences(df, measures).select("measure", "lower", "upper")))
     flags = {}
     for m in measures:
         v = F.col(m).cast("double")
         fence = F.col("_fence")[m]
-        low, high = fence["lower"], fence["upper"]
-        flags[f"{m}_outlier"] = F.coalesce((v < low) | (v > high), F.lit(False))
-    flagged = fenced.withColumns(flags).drop("_fence")
-    return flagged.where(F.array_contains(F.array(*flags), True))
+        flags[f"{m}_outlier"] = F.coalesce((v < fence["lower"]) | (v > fence["upper"]), F.lit(False))
+    return fenced.withColumns(flags).drop("_fence")
+
+
+def any_outlier(measures: Sequence[str]) -> Column:
+    return F.array_contains(F.array(*[F.col(f"{m}_outlier") for m in measures]), True)
+
+
+def outlier_rows(df: DataFrame, measures: Sequence[str] = tuple(MEASURES)) -> DataFrame:
+    """Rows outside the fence of any measure, with one flag per measure."""
+    return outlier_flags(df, measures).where(any_outlier(measures))
 
 
 def outlier_share(df: DataFrame, measures: Sequence[str] = tuple(MEASURES)) -> DataFrame:
-    rows = df.agg(F.count("*")).scalar()
-    return outlier_rows(df, measures).agg(
-        F.count("*").alias("flagged_rows"), F.round(F.count("*") * 100.0 / rows, 1).alias("flagged_pct")
+    flagged = F.count_if(any_outlier(measures))
+    return outlier_flags(df, measures).agg(
+        flagged.alias("flagged_rows"), F.round(flagged * 100.0 / F.count("*"), 1).alias("flagged_pct")
     )

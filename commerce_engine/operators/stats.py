@@ -20,17 +20,16 @@ def margin(profit: str = "profit", sales: str = "sales") -> Column:
 
 
 def shape(df: DataFrame, measures: Sequence[str]) -> DataFrame:
-    """Bias-corrected skewness and excess kurtosis per measure."""
-    out = None
-    for m in measures:
-        v = F.col(m).cast("double")
-        row = df.agg(F.skewness(v).alias("g1"), F.kurtosis(v).alias("g2"), F.count(v).alias("n")).select(
-            F.lit(m).alias("measure"),
-            rnd(corrected_skew("g1", "n"), 6).alias("skew"),
-            rnd(corrected_kurtosis("g2", "n"), 6).alias("kurtosis"),
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Bias-corrected skewness and excess kurtosis per measure, in one pass."""
+    v = {m: F.col(m).cast("double") for m in measures}
+    kinds = (("g1", F.skewness), ("g2", F.kurtosis), ("n", F.count))
+    row = df.agg(*[f(v[m]).alias(f"{m}|{n}") for m in measures for n, f in kinds])
+    cells = [F.struct(F.lit(m).alias("measure"), *[F.col(f"`{m}|{n}`").alias(n) for n, _ in kinds]) for m in measures]
+    return row.select(F.explode(F.array(*cells)).alias("e")).select("e.*").select(
+        "measure",
+        rnd(corrected_skew("g1", "n"), 6).alias("skew"),
+        rnd(corrected_kurtosis("g2", "n"), 6).alias("kurtosis"),
+    )
 
 
 def median_and_mean(df: DataFrame, measure: str = "sales") -> DataFrame:
@@ -131,8 +130,9 @@ def monthly_totals(df: DataFrame) -> DataFrame:
 
 def seasonality(df: DataFrame) -> DataFrame:
     """Sales per calendar month averaged over the years present."""
-    years = df.select("order_year").distinct().agg(F.count("order_year")).scalar()
-    return df.groupBy("order_month").agg(rnd(ratio(F.sum("sales"), years), 2).alias("avg_sales"))
+    by = df.groupBy("order_year", "order_month").agg(F.sum("sales").alias("sales"))
+    years = F.size(F.collect_set("order_year").over(Window.partitionBy()))
+    return by.withColumn("years", years).groupBy("order_month").agg(rnd(ratio(F.sum("sales"), F.max("years")), 2).alias("avg_sales"))
 
 
 def season_extremes(df: DataFrame, k: int = 3) -> DataFrame:
