@@ -100,9 +100,8 @@ def position_quintile(place: str, n):
 
 
 def rfm_segment(score):
-    return (
-        F.when(score >= 13, "Champion").when(score >= 10, "Loyal").when(score >= 7, "Potential").otherwise("At Risk")
-    )
+    champion, loyal, potential, at_risk = RFM_SEGMENTS
+    return F.when(score >= 13, champion).when(score >= 10, loyal).when(score >= 7, potential).otherwise(at_risk)
 
 
 def rfm_rollup(profile: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import rnd
-from ..functions.quantiles import counted, quantiles_of
+from ..functions.columns import label_order, rnd
+from ..functions.quantiles import counted as value_counts
+from ..functions.quantiles import quantiles_of
 
 MEASURES = ["sales", "profit", "quantity", "discount", "shipping_days"]
 
@@ -18,76 +19,101 @@ def unless(ok: Column) -> Column:
     return ~F.coalesce(ok, F.lit(False))
 
 
+# The labels of the quality report, in its order.
+RULES = [
+    "No null order IDs",
+    "No null customer IDs",
+    "No null sales values",
+    "No duplicate transactions",
+    "Sales are non-negative",
+    "Quantity is positive",
+    "Discount within 0-100%",
+    "Ship date on or after order date",
+    "Shipping days within 0-30",
+    "Country is single-valued (US)",
+    "Region in expected set",
+    "Segment in expected set",
+    "Category in expected set",
+    "Postal code is 5 chars or explicitly null",
+    "Profit margin is finite",
+]
+DUPLICATES = RULES[3]
+
+
 def column_rules(
     country: str, regions: Sequence[str], segments: Sequence[str], categories: Sequence[str]
 ) -> dict[str, Column]:
-    """Row-level rules in report order; each column is true where the rule is broken."""
+    """Row-level rules by label; each column is true where the rule is broken."""
     c = F.col
     finite = c("profit_margin").isNotNull() & ~F.isnan("profit_margin") & (F.abs("profit_margin") != float("inf"))
-    return {
-        "No null order IDs": c("order_id").isNull(),
-        "No null customer IDs": c("customer_id").isNull(),
-        "No null sales values": c("sales").isNull(),
-        "Sales are non-negative": c("sales") < 0,
-        "Quantity is positive": c("quantity") <= 0,
-        "Discount within 0-100%": unless(c("discount").between(0, 1)),
-        "Ship date on or after order date": c("ship_date") < c("order_date"),
-        "Shipping days within 0-30": unless(c("shipping_days").between(0, 30)),
-        "Country is single-valued": ~c("country").eqNullSafe(country),
-        "Region in expected set": unless(c("region").isin(list(regions))),
-        "Segment in expected set": unless(c("segment").isin(list(segments))),
-        "Category in expected set": unless(c("category").isin(list(categories))),
-        "Postal code is 5 chars or null": c("postal_code").isNotNull() & (F.length("postal_code") != 5),
-        "Profit margin is finite": ~finite,
-    }
-
-
-def duplicate_rows(df: DataFrame, ignore: Sequence[str] = ("row_id",)) -> DataFrame:
-    """Rows beyond the first of each group of equal rows."""
-    cols = [c for c in df.columns if c not in ignore]
-    groups = df.groupBy(*cols).agg((F.count("*") - 1).alias("extra"))
-    return groups.agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("violations"))
-
-
-def validate(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """(rule, violations, status). All row-level rules share one pass over the data."""
-    counts = df.agg(*[F.count_if(broken).alias(name) for name, broken in rules.items()])
-    table = counts.unpivot([], list(rules), "rule", "violations")
-    copies = duplicate_rows(df).select(F.lit("No duplicate transactions").alias("rule"), "violations")
+    broken = [
+        c("order_id").isNull(),
+        c("customer_id").isNull(),
+        c("sales").isNull(),
+        c("sales") < 0,
+        c("quantity") <= 0,
+        unless(c("discount").between(0, 1)),
+        c("ship_date") < c("order_date"),
+        unless(c("shipping_days").between(0, 30)),
+        ~c("country").eqNullSafe(country),
+        unless(c("region").isin(list(regions))),
+        unless(c("segment").isin(list(segments))),
+        unless(c("category").isin(list(categories))),
+        c("postal_code").isNotNull() & (F.length("postal_code") != 5),
+        ~finite,
+    ]
+    return dict(zip((r for r in RULES if r != DUPLICATES), broken, strict=True))
+
+
+def validate(df: DataFrame, rules: Mapping[str, Column], ignore: Sequence[str] = ("row_id",)) -> DataFrame:
+    """(rule, violations, status) in report order.
+
+    Rows are grouped by all their columns once: a group of n has n - 1 duplicates, and
+    counts n times in every rule that it breaks.
+    """
+    groups = df.groupBy(*[c for c in df.columns if c not in ignore]).agg(F.count("*").alias("_n"))
+    counts = {name: F.sum(F.when(broken, F.col("_n")).otherwise(0)) for name, broken in rules.items()}
+    counts[DUPLICATES] = F.sum(F.col("_n") - 1)
+    row = groups.agg(*[F.coalesce(v, F.lit(0)).alias(name) for name, v in counts.items()])
     status = F.when(F.col("violations") == 0, "PASS").otherwise("FAIL")
-    return table.unionByName(copies).withColumn("status", status)
+    table = row.unpivot([], list(counts), "rule", "violations")
+    return table.orderBy(label_order(F.col("rule"), RULES)).withColumn("status", status)
 
 
 def rules_passed(result: DataFrame) -> DataFrame:
     return result.agg(F.count_if(F.col("status") == "PASS").alias("passed"), F.count("*").alias("rules"))
 
 
-def column_profile(df: DataFrame) -> DataFrame:
+def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
     """Type, completeness, cardinality and a sample value (the smallest) per column.
 
-    Values are counted as (column, value) pairs, combined before the shuffle: one
-    narrow row per distinct value instead of one wide row per distinct aggregate.
+    Exact: values are counted as (column, value) pairs, combined before the shuffle,
+    one narrow row per distinct value. ``approx`` needs a single pass without it and
+    counts distinct values by sketch, about 2 % off.
     """
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    cells = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in df.columns])
-    )
-    per_value = df.select(cells.alias("e")).groupBy("e.column", "e.value").agg(F.count("*").alias("rows"))
-    known = F.col("value").isNotNull()
     kinds = F.create_map(*[F.lit(x) for pair in types.items() for x in pair])
-    return (
-        per_value.groupBy("column")
-        .agg(
+    if approx:
+        text = {c: F.col(c).cast("string") for c in df.columns}
+        parts = {"non_null": F.count, "unique": lambda c: F.approx_count_distinct(c, 0.02), "sample": F.min}
+        row = df.agg(F.count("*").alias("|rows"), *[f(text[c]).alias(f"{c}|{n}") for c in df.columns for n, f in parts.items()])
+        cells = [F.struct(F.lit(c).alias("column"), *[F.col(f"`{c}|{n}`").alias(n) for n in parts]) for c in df.columns]
+        counted = row.select("`|rows`", F.explode(F.array(*cells)).alias("e")).select("e.*", (F.col("`|rows`") - F.col("e.non_null")).alias("null_count"))
+    else:
+        cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in df.columns]
+        per_value = df.select(F.explode(F.array(*cells)).alias("e")).groupBy("e.column", "e.value").agg(F.count("*").alias("rows"))
+        known = F.col("value").isNotNull()
+        counted = per_value.groupBy("column").agg(
             F.coalesce(F.sum(F.when(known, F.col("rows"))), F.lit(0)).alias("non_null"),
             F.coalesce(F.sum(F.when(~known, F.col("rows"))), F.lit(0)).alias("null_count"),
             F.count_if(known).alias("unique"),
             F.min("value").alias("sample"),
         )
-        .withColumn("dtype", F.element_at(kinds, F.col("column")))
-        .withColumn(
-            "null_pct", rnd(F.try_divide(F.col("null_count") * 100.0, F.col("null_count") + F.col("non_null")), 2)
-        )
-    )
+    share = F.try_divide(F.col("null_count") * 100.0, F.col("null_count") + F.col("non_null"))
+    return counted.select(
+        "column", "non_null", "null_count", "unique", "sample",
+        F.element_at(kinds, F.col("column")).alias("dtype"), rnd(share, 2).alias("null_pct"),
+    )
 
 
 def key_uniqueness(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -107,7 +133,7 @@ def key_uniqueness(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
 # ------------------------------------------------------------------ outliers
 def outlier_fences(df: DataFrame, measures: Sequence[str] = tuple(MEASURES)) -> DataFrame:
     """Quartiles and 1.5 IQR fences: one row per measure."""
-    return fences_of(counted(df, measures))
+    return fences_of(value_counts(df, measures))
 
 
 def fences_of(counts: DataFrame) -> DataFrame:
@@ -131,7 +157,7 @@ def outlier_summary(df: DataFrame, measures: Sequence[str] = tuple(MEASURES)) ->
     Everything follows from one count of the rows by (measure, value): fences,
     moments, and the rows outside the limits. Limits are one row per measure.
     """
-    counts = counted(df, measures)
+    counts = value_counts(df, measures)
     v, n = F.col("v"), F.col("cnt")
     rows = df.agg(F.count("*")).scalar()
     power = counts.groupBy("measure").agg(*[F.try_divide(F.sum(F.pow(v, F.lit(k)) * n), F.sum(n)).alias(f"e{k}") for k in (1, 2, 3)])

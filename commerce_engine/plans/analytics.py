@@ -227,7 +227,7 @@ def q13_daily_sales_pattern(star: Star) -> DataFrame:
 def q14_discount_impact(star: Star) -> DataFrame:
     """Bands by threshold only: negatives fall into the first band, nulls into the last."""
     d = dbl("discount")
-    band = (
+    band = (  # fixed values: bands of the question
         F.when(d == 0, "No discount")
         .when(d <= 0.15, "1-15%")
         .when(d <= 0.30, "16-30%")
@@ -358,6 +358,7 @@ def q22_rfm_segments(star: Star, profile: DataFrame | None = None) -> DataFrame:
 
 def q23_high_value_customers(star: Star, profile: DataFrame | None = None) -> DataFrame:
     values = views.customer_values(views.profile_of(star) if profile is None else profile)
+    # The two tiers.
     tier = F.when(F.col("is_high_value") == 1, "High value (top 20%)").otherwise("Standard")
     by = values.groupBy(tier.alias("tier")).agg(
         F.count("*").alias("customers"),

@@ -170,11 +170,11 @@ RULES = {
     "Discount within 0-100%": "NOT COALESCE(discount BETWEEN 0 AND 1, FALSE)",
     "Ship date on or after order date": "ship_date < order_date",
     "Shipping days within 0-30": "NOT COALESCE(shipping_days BETWEEN 0 AND 30, FALSE)",
-    "Country is single-valued": "country IS DISTINCT FROM 'United States'",
+    "Country is single-valued (US)": "country IS DISTINCT FROM 'United States'",
     "Region in expected set": "NOT COALESCE(region IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE'), FALSE)",
     "Segment in expected set": "NOT COALESCE(segment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD'), FALSE)",
     "Category in expected set": "NOT COALESCE(category IN ('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL'), FALSE)",
-    "Postal code is 5 chars or null": "postal_code IS NOT NULL AND length(postal_code) <> 5",
+    "Postal code is 5 chars or explicitly null": "postal_code IS NOT NULL AND length(postal_code) <> 5",
     "Profit margin is finite": "NOT COALESCE(isfinite(profit_margin), FALSE)",
 }
 VALIDATION = (

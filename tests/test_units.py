@@ -131,7 +131,7 @@ def test_rules_count_nulls_where_they_should(spark):
     got = {r.rule: r.violations for r in quality.validate(df, rules).collect()}
     assert got.pop("No duplicate transactions") == 1
     assert got.pop("Sales are non-negative") == 0
-    assert got.pop("Postal code is 5 chars or null") == 1
+    assert got.pop("Postal code is 5 chars or explicitly null") == 1
     assert set(got.values()) == {2}
 
 
