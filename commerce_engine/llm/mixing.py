@@ -47,8 +47,8 @@ def default_shares(docs: DataFrame, total: int = SHARES) -> DataFrame:
     """
     counts = docs.groupBy("source").count()
     roots = counts.select("source", F.floor(F.sqrt("count")).cast("bigint").alias("root"))
-    every = roots.agg(F.sum("root").alias("roots"))
-    return roots.join(F.broadcast(every)).select("source", F.greatest(F.lit(1), F.floor(F.col("root") * total / F.col("roots"))).cast("bigint").alias("share"))
+    every = F.sum("root").over(Window.partitionBy())  # one row per source
+    return roots.select("source", F.greatest(F.lit(1), F.floor(F.col("root") * total / every)).cast("bigint").alias("share"))
 
 
 def template(shares: DataFrame) -> DataFrame:
