@@ -17,6 +17,8 @@ ip         four octets up to 255                                  dots
 date       real day from 1900 to 2099, ISO or d/m/y, m/d/y        order, separators
 email      local@domain.tld                                       domain; letters as letters
 key        AKIA + 16 capitals or digits                           prefix
+secret     password, token, secret or api key = value of 8 or     name, quotes; hex stays hex
+           more letters and digits, at least one digit
 =========  =====================================================  =======================
 
 Values that fail validation stay as they are. Edge cases: a null text stays null
@@ -29,6 +31,7 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import math
 import re
 from collections.abc import Callable, Iterator
 
@@ -37,14 +40,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
 ROUNDS = 10
-KINDS = ("card", "iban", "ssn", "phone", "ip", "date", "email", "key")
+KINDS = ("card", "iban", "ssn", "phone", "ip", "date", "email", "key", "secret")
 
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2099, 12, 31).toordinal() - FIRST_DAY + 1
 
 PATTERNS = re.compile(
     r"""
-    (?P<email>(?<![\w.+-])[A-Za-z0-9_.+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![\w-]))
+    (?P<secret>(?<![A-Za-z0-9])(?i:password|passwd|pwd|token|secret|api[_-]?key)[ ]{0,2}[=:][ ]{0,2}["']?(?=[A-Za-z_-]*\d)[A-Za-z0-9_-]{8,})
+  | (?P<email>(?<![\w.+-])[A-Za-z0-9_.+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![\w-]))
   | (?P<key>(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9]))
   | (?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
   | (?P<ip>(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d))
@@ -56,7 +60,7 @@ PATTERNS = re.compile(
     re.VERBOSE | re.ASCII,
 )
 #: Every pattern needs one of these somewhere.
-MAY_HOLD = re.compile(r"[0-9@]", re.ASCII)
+MAY_HOLD = re.compile(r"[0-9]|@", re.ASCII)
 
 
 class Feistel:
@@ -67,15 +71,13 @@ class Feistel:
 
     def _round(self, tweak: str, number: int, half: int) -> int:
         said = f"{tweak}|{number}|{half}".encode()
-        return int.from_bytes(hashlib.blake2b(said, key=self.key, digest_size=16).digest(), "big")
+        return int.from_bytes(hashlib.blake2b(said, key=self.key, digest_size=32).digest(), "big")
 
     def permute(self, value: int, size: int, tweak: str) -> int:
         """Unbalanced halves a x b >= size; a result outside is permuted again."""
         if size < 2:
             return value
-        a = int(size**0.5) or 1
-        while a * a < size:
-            a += 1
+        a = math.isqrt(size - 1) + 1
         b = -(-size // a)
         tweak = f"{tweak}|{size}"
         while True:
@@ -213,7 +215,16 @@ def key(f: Feistel, found: str) -> str | None:
     return "AKIA" + "".join(reversed(out))
 
 
-MAKERS = {"card": card, "iban": iban, "ssn": ssn, "phone": phone, "ip": ip, "date": date, "email": email, "key": key}
+def secret(f: Feistel, found: str) -> str:
+    at = re.search(r"""[A-Za-z0-9_-]+$""", found).start()
+    value = found[at:]
+    if re.fullmatch(r"[0-9a-f]+", value):
+        n = len(value)
+        return f"{found[:at]}{f.permute(int(value, 16), 16**n, f'hex{n}'):0{n}x}"
+    return found[:at] + characters(f, value, "secret")
+
+
+MAKERS = {"card": card, "iban": iban, "ssn": ssn, "phone": phone, "ip": ip, "date": date, "email": email, "key": key, "secret": secret}
 
 
 def pseudonymise(f: Feistel, text: str) -> tuple[str, dict[str, int]]:
