@@ -64,12 +64,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 _written: list[str] = []
 
 
-def remove_written() -> None:
-    """Remove everything under a :func:`scratch_path`; frames that read it can no longer run."""
+def written_so_far() -> int:
+    return len(_written)
+
+
+def remove_written(first: int = 0, keep: int = 0) -> None:
+    """Remove what lies under the scratch paths from the ``first`` on, but for the last ``keep``.
+
+    Frames that read them can no longer run. Called without arguments when the application ends.
+    """
     spark = SparkSession.getActiveSession()
     if spark is None or spark.sparkContext._jsc is None:
         return
     hadoop = spark._jsc.hadoopConfiguration()
-    while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+    paths = _written[first : len(_written) - keep]
+    del _written[first : len(_written) - keep]
+    for path in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
         path.getFileSystem(hadoop).delete(path, True)
