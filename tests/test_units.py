@@ -294,3 +294,25 @@ def test_rolling_mean_waits_for_a_full_window(spark):
     df = spark.createDataFrame([(f"2020-0{i}", Decimal(i)) for i in range(1, 5)], "year_month string, sales decimal(18,2)")
     got = [r.rolling_mean for r in stats.rolling_mean(df).orderBy("year_month").collect()]
     assert got == [None, None, 2.0, 3.0]
+
+
+def test_written_tables_are_removed(spark):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from commerce_engine import session
+
+    before = session.written_so_far()
+    frames = [session.materialize(spark.range(5), "kept"), session.materialize(spark.range(3), "last")]
+    folders = [Path(urlparse(df.inputFiles()[0]).path).parent for df in frames]
+    session.remove_written(before, keep=1)
+    assert [f.exists() for f in folders] == [False, True] and frames[1].count() == 3
+    session.remove_written(before)
+    assert not folders[1].exists()
+
+
+@pytest.mark.parametrize("approx", [False, True])
+def test_column_profile(spark, approx):
+    df = spark.createDataFrame([("a", 1), ("b", None), (None, 1)], "t string, n int")
+    got = {r["column"]: (r["dtype"], r["non_null"], r["null_count"], r["unique"], r["sample"], r["null_pct"]) for r in quality.column_profile(df, approx).collect()}
+    assert got == {"t": ("string", 2, 1, 2, "a", 33.33), "n": ("int", 2, 1, 1, "1", 33.33)}
