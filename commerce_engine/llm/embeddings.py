@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import remove_written, written_so_far
 from .candidates import fixed, groups_of, node_links, spanning
 from .common import components, written
 from .text_arrays import U64, mix
@@ -194,7 +195,11 @@ def exact_pairs(units: DataFrame, threshold: float) -> tuple[DataFrame, DataFram
 
 
 def similar_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
-    """vec_id, n_links, component_id, kept of every row of ``vectors`` (vec_id, embedding)."""
+    """vec_id, n_links, component_id, kept of every row of ``vectors`` (vec_id, embedding).
+
+    The result, a few numbers a row, is written; the tables on the way to it are removed.
+    """
+    before = written_so_far()
     rows = written(normalised(vectors), "unit-vectors")
     usable = rows.where("vec_id is not null and unit is not null")
     keyed = usable.withColumn("class", F.sha2("unit", 256))
@@ -218,9 +223,12 @@ def similar_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     ids = rows.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.sha2("unit", 256)).alias("class"))
     found = ids.join(of_class, "class", "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("of_class", "vec_id"))
-    return found.select(
+    found = found.select(
         "vec_id",
         F.coalesce("n", F.lit(0)).cast("bigint").alias("n_links"),
         component.alias("component_id"),
         F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"),
     )
+    result = written(found, "vector-groups")
+    remove_written(before, keep=1)
+    return result

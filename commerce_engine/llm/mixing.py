@@ -26,7 +26,7 @@ pass through; columns named like the result's are replaced.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Shares that the default weights are scaled to.
@@ -86,19 +86,27 @@ def template(shares: DataFrame) -> DataFrame:
     return slots.withColumn("kth", kth.cast("bigint"))
 
 
+def key_of(source: Column) -> Column:
+    """A source as a join key that is never null."""
+    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
+
+
 def numbered(docs: DataFrame, seed: int) -> DataFrame:
-    """docs with ``number``: the place of each row in its source's random order, from 0."""
+    """docs with ``mix_key`` and ``number``: the place of each row in its source's random order, from 0.
+
+    Rows are dealt once, by source and bucket, to the window and the join alike.
+    """
     buckets = max(1, -(-docs.count() // BUCKET_ROWS))
     # The order is that of a digest, and a bucket is a range of it.
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")))
-    keyed = docs.withColumn("mix_digest", digest)
+    keyed = docs.withColumn("mix_digest", digest).withColumn("mix_key", key_of(F.col("source")))
     keyed = keyed.withColumn("mix_bucket", F.floor(F.conv(F.substring("mix_digest", 1, 8), 16, 10).cast("bigint") * buckets / F.lit(1 << 32)).cast("int"))
-    counts = keyed.groupBy("source", "mix_bucket").count()
-    before = Window.partitionBy("source").orderBy("mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(F.col("source").alias("mix_source"), F.col("mix_bucket").alias("mix_at"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("mix_start"))
-    inside = F.row_number().over(Window.partitionBy("source", "mix_bucket").orderBy("mix_digest", "doc_id")) - 1
-    joined = keyed.withColumn("mix_inside", inside).join(starts, F.col("source").eqNullSafe(F.col("mix_source")) & (F.col("mix_bucket") == F.col("mix_at")))
-    return joined.withColumn("number", F.col("mix_start") + F.col("mix_inside")).drop("mix_digest", "mix_bucket", "mix_source", "mix_at", "mix_start", "mix_inside")
+    counts = keyed.groupBy("mix_key", "mix_bucket").count()
+    before = Window.partitionBy("mix_key").orderBy("mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("mix_key", "mix_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("mix_start"))
+    inside = F.row_number().over(Window.partitionBy("mix_key", "mix_bucket").orderBy("mix_digest", "doc_id")) - 1
+    joined = keyed.withColumn("mix_inside", inside).join(starts, ["mix_key", "mix_bucket"])
+    return joined.withColumn("number", F.col("mix_start") + F.col("mix_inside")).drop("mix_digest", "mix_bucket", "mix_start", "mix_inside")
 
 
 def schedule(docs: DataFrame, shares: DataFrame | None = None, block_docs: int = 1, seed: int = 20) -> DataFrame:
@@ -110,20 +118,22 @@ def schedule(docs: DataFrame, shares: DataFrame | None = None, block_docs: int =
     docs = docs.drop(*ADDED, "place", "number")
     given = default_shares(docs) if shares is None else shares.select("source", "share")
     if shares is not None:  # sources without a weight still get a slot
-        missing = docs.select("source").distinct().join(given.select(F.col("source").alias("known")).distinct(), F.col("source").eqNullSafe(F.col("known")), "left_anti")
+        known = given.select(key_of(F.col("source")).alias("mix_key")).distinct()
+        missing = docs.select("source").distinct().withColumn("mix_key", key_of(F.col("source"))).join(known, "mix_key", "left_anti")
         given = given.union(missing.select("source", F.lit(1).cast("bigint")))
-    slots = template(given).select(F.col("source").alias("mix_source"), "share", "period", "kth", "at")
+    # At most one row per slot of the hyperperiod: shares and sources are bounded, so is this.
+    slots = template(given).select(key_of(F.col("source")).alias("mix_key"), "share", "period", F.col("kth").alias("mix_kth"), "at")
     rows = numbered(docs, seed).withColumn("block", F.floor(F.col("number") / block_docs).cast("bigint")).withColumn("place", F.col("number") % block_docs)
-    per_source = slots.groupBy("mix_source").agg(F.first("share").alias("share"), F.first("period").alias("period"))
-    rows = rows.join(F.broadcast(per_source), F.col("source").eqNullSafe(F.col("mix_source"))).drop("mix_source")
-    ats = slots.select("mix_source", F.col("kth").alias("mix_kth"), "at")
-    rows = rows.join(F.broadcast(ats), F.col("source").eqNullSafe(F.col("mix_source")) & (F.expr("block % share") == F.col("mix_kth")))
+    per_source = slots.groupBy("mix_key").agg(F.first("share").alias("share"), F.first("period").alias("period"))
+    rows = rows.join(F.broadcast(per_source), "mix_key").withColumn("mix_kth", F.expr("block % share"))
+    rows = rows.join(F.broadcast(slots.select("mix_key", "mix_kth", "at")), ["mix_key", "mix_kth"])
     whole = F.expr("(block div share) * period")
     return (
         rows.withColumn("slot", whole + F.col("at"))
         .withColumn("release", F.expr("block * period div share"))
         .withColumn("deadline", F.expr("(block + 1) * period div share + if((block + 1) * period % share > 0, 1L, 0L)"))
-        .drop("mix_source", "mix_kth", "at", "share", "period", "number")
+        .drop("mix_key", "mix_kth", "at", "share", "period", "number")
+        .select(*docs.columns, "block", "place", "slot", "release", "deadline")
     )
 
 

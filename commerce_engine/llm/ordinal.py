@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from ..session import remove_written, written_so_far
 from .common import written
 from .text_arrays import IS_SPACE, U64, blocks, buffers, mix, part_hash, words
 
@@ -187,21 +188,22 @@ def ratings_of(labels: DataFrame) -> DataFrame:
     return rated.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.min("grade").alias("grade"))
 
 
-def judged(docs: DataFrame, labels: DataFrame, max_false: float, fit_rows: int, keep_text: bool = True) -> tuple[DataFrame, float | None]:
-    """docs with their grades, written once, and the limit on p_good (None without a model).
+def judged(docs: DataFrame, labels: DataFrame, max_false: float, fit_rows: int) -> tuple[DataFrame, Ordinal | None, float | None]:
+    """doc_id and grades of all documents, written once (a few numbers a row), the model, and the limit on p_good.
 
     The limit comes from a table of at most STEPS rows counted over all rated
     documents: the highest one, up to a half, that loses at most ``max_false`` of the good.
     """
     ratings = ratings_of(labels)
-    model = fit(docs, ratings, 3, fit_rows)
-    rows = apply(docs, model, keep_text)
+    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    model = fit(ids, ratings, 3, fit_rows)
+    rows = apply(ids, model, keep_text=False)
     if model is None:
-        return rows, None
+        return rows, None, None
     rows = written(rows, "grades")
     step = F.floor(F.col("p_good") * STEPS).cast("int").alias("step")
     good = rows.select("doc_id", "p_good").join(ratings.where("grade = 2"), "doc_id").groupBy(step).count().collect()
-    return rows, lowest_limit({r["step"]: r["count"] for r in good}, max_false)
+    return rows, model, lowest_limit({r["step"]: r["count"] for r in good}, max_false)
 
 
 def passes(limit: float | None) -> Column:
@@ -209,17 +211,22 @@ def passes(limit: float | None) -> Column:
 
 
 def graded(docs: DataFrame, labels: DataFrame, max_false: float = 0.01, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """doc_id, expected_grade, p_good and kept of every document; only these are written."""
-    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    rows, limit = judged(ids, labels, max_false, fit_rows, keep_text=False)
+    """doc_id, expected_grade, p_good and kept of every document."""
+    rows, _, limit = judged(docs, labels, max_false, fit_rows)
     return rows.select("doc_id", "expected_grade", "p_good", passes(limit).alias("kept"))
 
 
 def selected(docs: DataFrame, labels: DataFrame, max_false: float = 0.01, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """The rows of ``docs``, with their columns, that the classifier keeps."""
-    columns = docs.columns
-    rows, limit = judged(docs.drop("expected_grade", "p_good"), labels, max_false, fit_rows)
-    return rows.where(passes(limit)).select(*(c for c in columns if c in rows.columns))
+    """The rows of ``docs``, with their columns, that the classifier keeps.
+
+    Texts are scored a second time on the way through, which is cheaper than to
+    write or shuffle them.
+    """
+    before = written_so_far()
+    _, model, limit = judged(docs, labels, max_false, fit_rows)
+    remove_written(before)
+    plain = docs.drop("expected_grade", "p_good")
+    return apply(plain, model).where(passes(limit)).select(*plain.columns)
 
 
 def lowest_limit(good: dict[int, int], max_false: float) -> float:

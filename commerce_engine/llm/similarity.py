@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import remove_written, written_so_far
 from .candidates import fixed, groups_of, node_links, spanning
 from .common import components, written
 from .text_arrays import U64, blocks, buffers, mix, words
@@ -294,7 +295,11 @@ def joined_documents(docs: DataFrame, reps: DataFrame, size: int, threshold: flo
 
 
 def similar_groups(docs: DataFrame, words_in_shingle: int = 5, threshold: float = 0.8) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text)."""
+    """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text).
+
+    The result, a few numbers a row, is written; the tables on the way to it are removed.
+    """
+    before = written_so_far()
     rows = written(summaries(docs, words_in_shingle), "summaries")
     usable = rows.where("doc_id is not null and set_key is not null")
     classes = usable.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"))  # equal sets, equal signatures
@@ -304,4 +309,7 @@ def similar_groups(docs: DataFrame, words_in_shingle: int = 5, threshold: float
     of_class = classes.join(joined, F.col("rep") == F.col("id"), "left").select("set_key", F.coalesce("component", "rep").alias("of_class"))
     found = rows.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("of_class", "doc_id"))
-    return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    found = found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    result = written(found, "groups")
+    remove_written(before, keep=1)
+    return result
