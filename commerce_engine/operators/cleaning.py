@@ -105,12 +105,18 @@ def postal_text(c: str = "postal_code") -> Column:
 
 
 def common_postal_codes(df: DataFrame) -> DataFrame:
-    """Most frequent code of each (state, city); the lowest code wins a tie."""
+    """Most frequent code of each (state, city); the lowest code wins a tie.
+
+    The row id decides nothing. It is there so that this look-up asks the same of the
+    rows without duplicates as the rest of the cleaning does, and Spark computes them once.
+    """
+    extra = [F.min("row_id").alias("first_row")] if "row_id" in df.columns else []
     counts = df.dropna(subset=["state", "city", "postal_code"]).groupBy("state", "city", "postal_code")
+    order = F.struct(-F.col("uses"), "postal_code", *(["first_row"] if extra else []))
     return (
-        counts.agg(F.count("*").alias("uses"))
+        counts.agg(F.count("*").alias("uses"), *extra)
         .groupBy("state", "city")
-        .agg(F.min_by("postal_code", F.struct(-F.col("uses"), "postal_code")).alias("common_code"))
+        .agg(F.min_by("postal_code", order).alias("common_code"))
     )
 
 
