@@ -14,9 +14,16 @@ from pyspark.sql import functions as F
 from ..session import materialize as written
 
 
+#: Texts come in long rows: smaller Arrow batches keep a worker's memory down. A value given at launch wins.
+DEFAULTS = {"spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Send this subpackage, and the module it imports, to the Python workers, once per application, as any job's own modules are."""
     sc = spark.sparkContext
+    for key, value in DEFAULTS.items():
+        if not sc.getConf().contains(key):
+            spark.conf.set(key, value)
     if not getattr(sc, "_llm_shipped", False):
         root = Path(__file__).resolve().parent
         raw = io.BytesIO()
