@@ -40,8 +40,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces in sequences of SEQUENCE tokens."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, length=SEQUENCE)
+    """Token pieces in sequences of SEQUENCE tokens, which follow the mixed order group by group."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, length=SEQUENCE, in_order=True)
 
 
 STAGES = [
