@@ -1,7 +1,7 @@
 """Operator 5: near-duplicate documents by a chosen-path set similarity join.
 
 A document is the set of its word shingles. Documents with equal sets become one
-class. Class representatives then walk down TREES independent trees: a node picks
+class. Class representatives then walk down independent trees, as many as their depth needs: a node picks
 one or two coordinates of a minwise signature (1 / threshold on average, chosen by
 a hash of the node, so alike for all documents in it) and each document goes to
 the child that its value at a picked coordinate names. A pair at the threshold
@@ -14,8 +14,8 @@ nothing is cut. The documents linked so far form candidate groups, whose pairs a
 all compared on their full sets as counts of common shingles. A group larger than BLOCK
 is dealt out in blocks that share a few pivots; afterwards only the documents that are
 not yet in the group's largest component are compared with the rest, block by block.
-Links therefore hold exactly, and only a miss in every tree can lose one: below one
-in a thousand for a pair at the threshold (see ``survival``).
+Links therefore hold exactly, and only a miss in every tree, or on the sketch, can lose
+one: at most MISS for a pair at the threshold, at every depth (see ``missed``).
 
 Edge cases: a null text, or one without words, has an empty set and links with
 nothing; a text with fewer words than a shingle is one shingle. Rows without an
@@ -42,7 +42,8 @@ from .text_arrays import U64, blocks, buffers, mix, words
 
 COORDINATES = 64
 SKETCH = 32  # coordinates of which a sketch keeps a byte
-TREES = 10
+TREES = 10  # at least
+MISS = 0.001
 LEAF = 1024
 EXTRA = 1
 BLOCK = 512
@@ -62,6 +63,37 @@ def survival(threshold: float, depth: int, trees: int = TREES) -> float:
     return 1 - (1 - p) ** trees
 
 
+def least_equal(threshold: float) -> float:
+    """Equal bytes that two sketches need."""
+    return (threshold - 4 * math.sqrt(threshold * (1 - threshold) / SKETCH)) * SKETCH
+
+
+def missed(threshold: float, depth: int, trees: int) -> float:
+    """Chance that a pair at the threshold parts in all trees above the given depth, or fails on its sketches.
+
+    All trees share the pair's COORDINATES, of which a binomial number agree; given
+    that number the trees are independent, and the sketch is a draw of SKETCH of them.
+    """
+    found, extra = 0.0, 1 / threshold - 1
+    low = math.ceil(least_equal(threshold) - 1e-9)
+    for equal in range(COORDINATES + 1):
+        chance = math.comb(COORDINATES, equal) * threshold**equal * (1 - threshold) ** (COORDINATES - equal)
+        draws = sum(math.comb(equal, k) * math.comb(COORDINATES - equal, SKETCH - k) for k in range(low, min(equal, SKETCH) + 1))
+        share, p = equal / COORDINATES, 1.0
+        for _ in range(depth):
+            p = 1 - ((1 - extra) * (1 - share * p) + extra * (1 - share * p) ** 2)
+        found += chance * draws / math.comb(COORDINATES, SKETCH) * (1 - (1 - p) ** trees)
+    return 1 - found
+
+
+def trees_for(threshold: float, depth: int) -> int:
+    """The fewest trees, TREES or more, that miss a pair at the threshold with a chance of MISS at most."""
+    trees = TREES
+    while missed(threshold, depth, trees) > MISS:
+        trees += 1
+    return trees
+
+
 def shingle_sets(offsets: np.ndarray, data: np.ndarray, size: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text of a block."""
     w = words(offsets, data, lower=True)
@@ -158,13 +190,13 @@ def descend(rows: DataFrame, threshold: float, levels: int, trees: int | None) -
 def candidate_links(reps: DataFrame, threshold: float) -> DataFrame:
     """Links (src, dst) that join every two documents which share a small node and look similar there."""
     count = reps.count()
-    least = (threshold - 4 * math.sqrt(threshold * (1 - threshold) / SKETCH)) * SKETCH
+    least = least_equal(threshold)
 
     def agrees(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return (a == b).sum(1) >= least
 
     depth = max(1, math.ceil(math.log(max(1, count / LEAF)) / math.log(16)))
-    nodes = written(descend(reps, threshold, depth, TREES), "nodes")
+    nodes = written(descend(reps, threshold, depth, trees_for(threshold, depth + EXTRA)), "nodes")
     found = []
     for level in range(EXTRA + 1):
         large = written(nodes.groupBy("node").agg(F.count("*").alias("size"), F.min("doc_id").alias("least")).where(F.col("size") > LEAF), "large-nodes")

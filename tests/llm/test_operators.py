@@ -99,6 +99,41 @@ def test_recall_is_stated():
     assert similarity.survival(0.8, 3) > 0.999
 
 
+def test_deeper_trees_are_more_trees():
+    """The miss stays within its target at every depth; it agrees with trees walked by pairs at the threshold."""
+    assert similarity.missed(0.8, 5, similarity.TREES) > similarity.MISS
+    for depth in range(2, 9):
+        assert similarity.missed(0.8, depth, similarity.trees_for(0.8, depth)) <= similarity.MISS
+    rng, pairs, trees, depth = np.random.default_rng(8), 4000, 3, 5
+    left = rng.integers(0, 2**32, (pairs, similarity.COORDINATES), dtype=np.uint32)
+    right = np.where(rng.random(left.shape) < 0.8, left, rng.integers(0, 2**32, left.shape, dtype=np.uint32))
+    met = ((left ^ right) & 0xFF == 0)[:, : similarity.SKETCH].sum(1) >= similarity.least_equal(0.8)
+    together = np.zeros(pairs, bool)
+    for t in range(trees):
+        # A root per pair, so that pairs are independent draws of a tree.
+        start = similarity.mix(np.arange(pairs, dtype=np.uint64) * np.uint64(trees) + np.uint64(t + 1))
+        ends = []
+        for side in (left, right):
+            row, node = np.arange(pairs), start
+            for _ in range(depth):
+                at, node = similarity.children(node, side[row], 0.8)
+                row = row[at]
+            ends.append(set(zip(row.tolist(), node.tolist())))
+        together[[r for r, _ in ends[0] & ends[1]]] = True
+    assert abs(1 - (met & together).mean() - similarity.missed(0.8, depth, trees)) < 0.03
+
+
+def test_a_deeper_table_gets_more_trees(spark, monkeypatch):
+    """Leaves so small that the tree over a small table is as deep as over a large one."""
+    asked = []
+    monkeypatch.setattr(similarity, "LEAF", 0.001)
+    monkeypatch.setattr(similarity, "descend", lambda rows, threshold, levels, trees, f=similarity.descend: asked.append((levels, trees)) or f(rows, threshold, levels, trees))
+    rows = similarity.summaries(docs(spark, *(f"some words {i} and more {i * 7}" for i in range(100))), 2).select("doc_id", "signature")
+    similarity.candidate_links(rows, 0.8)
+    (levels, trees), *_ = asked
+    assert levels == 5 and similarity.missed(0.8, levels + similarity.EXTRA, trees) <= similarity.MISS
+
+
 # --------------------------------------------------------------------- 1 vectors
 def vector_rows(spark, vectors, ids=None):
     ids = range(len(vectors)) if ids is None else ids
