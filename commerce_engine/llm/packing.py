@@ -155,8 +155,10 @@ RESULT = PIECES + ", sequence_id bigint, offset bigint"
 def pack(parts: DataFrame, length: int, group_pieces: int | None = None) -> DataFrame:
     """Add sequence_id and offset to pieces (columns doc_id, piece, length and any others).
 
-    The number of groups follows from a count of the pieces; the deal is by a
-    hash of (doc_id, piece), so groups are alike and a rerun gives the same.
+    ``parts`` is the read of a written table. The number of groups follows from a
+    count of the pieces; the deal is by a hash of each row's values and of its place
+    in the table, so groups are alike, also when ids or whole rows repeat, and a rerun
+    over the same files and splits gives the same.
     """
     groups = max(1, -(-parts.count() // (group_pieces or GROUP_PIECES)))
     schema = StructType([*parts.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
@@ -168,7 +170,9 @@ def pack(parts: DataFrame, length: int, group_pieces: int | None = None) -> Data
         group = group.drop_columns(["pack_group"])
         return group.append_column("sequence_id", pa.array(numbers * groups + number)).append_column("offset", pa.array(offsets))
 
-    dealt = parts.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
+    place_of = [F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1), F.col("_metadata.row_index")]
+    key = F.xxhash64("doc_id", "piece", "start", "length", "ids_crc32", *place_of)
+    dealt = parts.withColumn("pack_group", F.pmod(key, F.lit(groups)))
     return dealt.groupBy("pack_group").applyInArrow(place, schema)
 
 

@@ -262,6 +262,19 @@ def test_packing_is_whole_gapless_and_tight(spark):
     assert packing.pack_documents(docs(spark, "a").limit(0), WORDS, 1, 512).count() == 0
 
 
+def test_packing_groups_stay_small_when_ids_repeat(spark, monkeypatch):
+    """Null ids, a hot id and equal rows are dealt like any other."""
+    monkeypatch.setattr(packing, "GROUP_PIECES", 100)
+    rows = spark.range(3000).select(F.expr("case when id % 3 = 0 then null when id % 3 = 1 then 7 else id end").alias("doc_id"), F.expr("if(id % 2 = 0, 'same', concat('w', id))").alias("text"))
+    got = packing.pack_documents(rows, WORDS, 1, 64).collect()
+    groups = {}
+    for r in got:
+        groups[r["sequence_id"] % 30] = groups.get(r["sequence_id"] % 30, 0) + 1
+    assert len(got) == 3000 and len(groups) == 30 and max(groups.values()) < 200
+    again = packing.pack_documents(rows, WORDS, 1, 64).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
 def test_best_fit_takes_the_tightest_bin():
     rng = np.random.default_rng(4)
     lengths = rng.integers(1, 101, 400)
