@@ -96,7 +96,7 @@ def words(offsets: np.ndarray, data: np.ndarray, lower: bool = False) -> Words:
 
 def part_hash(w: Words, start: np.ndarray, end: np.ndarray, salt: int) -> np.ndarray:
     """Hash of the bytes [start, end) of the block that ``w`` was made from."""
-    _, down = _powers["up"], _powers["down"]
+    _, down = _power(len(w.cumulative))
     return mix((w.cumulative[end] - w.cumulative[start]) * down[start] + U64(salt))
 
 
