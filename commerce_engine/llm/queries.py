@@ -1,4 +1,4 @@
-"""The ten operators as queries over the given tables, and their SQL."""
+"""The operators as queries over the given tables, and their SQL."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import anomalies, dac, embeddings, mixing, ordinal, packing, prefix_counts, pseudonyms, similarity, suffix_dedup
+from . import anomalies, dac, embeddings, filter_audit, mixing, ordinal, packing, prefix_counts, pseudonyms, similarity, suffix_dedup
 from ..session import scratch_path
 from .common import table
 
@@ -62,9 +62,16 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal.graded(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_embeddings, op2_suffix_dedup, op3_token_files, op4_mixing, op5_minhash, op6_packing, op7_pseudonyms, op8_quality_rules, op9_token_counts, op10_quality_classifier)
+    for f in (
+        op1_embeddings, op2_suffix_dedup, op3_token_files, op4_mixing, op5_minhash, op6_packing, op7_pseudonyms, op8_quality_rules,
+        op9_token_counts, op10_quality_classifier, op11_filter_audit,
+    )
 }
 
 #: Slots by a recursive fold over one hyperperiod; the place in a source is one plain window.
@@ -93,4 +100,4 @@ SELECT p.doc_id, p.source, p.block,
 FROM placed p JOIN numbers n ON p.source IS NOT DISTINCT FROM n.source JOIN slots s ON s.i = n.i AND s.kth = p.block % n.share
 """
 
-ORACLE: dict[str, str] = {"op4_mixing": MIXING_SQL}
+ORACLE: dict[str, str] = {"op4_mixing": MIXING_SQL, "op11_filter_audit": filter_audit.AUDIT_SQL}
