@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import anomalies, dac, embeddings, filter_audit, mixing, ordinal, packing, prefix_counts, pseudonyms, similarity, suffix_dedup
+from . import anomalies, dac, embeddings, filter_audit, languages, mixing, ordinal, packing, prefix_counts, pseudonyms, similarity, suffix_dedup, vector_codes
 from ..session import scratch_path
 from .common import table
 
@@ -66,11 +66,19 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.identified(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_embeddings, op2_suffix_dedup, op3_token_files, op4_mixing, op5_minhash, op6_packing, op7_pseudonyms, op8_quality_rules,
-        op9_token_counts, op10_quality_classifier, op11_filter_audit,
+        op9_token_counts, op10_quality_classifier, op11_filter_audit, op12_vector_codes, op13_language_id,
     )
 }
 
@@ -100,4 +108,4 @@ SELECT p.doc_id, p.source, p.block,
 FROM placed p JOIN numbers n ON p.source IS NOT DISTINCT FROM n.source JOIN slots s ON s.i = n.i AND s.kth = p.block % n.share
 """
 
-ORACLE: dict[str, str] = {"op4_mixing": MIXING_SQL, "op11_filter_audit": filter_audit.AUDIT_SQL}
+ORACLE: dict[str, str] = {"op4_mixing": MIXING_SQL, "op11_filter_audit": filter_audit.AUDIT_SQL, "op12_vector_codes": vector_codes.CODES_SQL}
