@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.01"
 
 def test_all_are_registered():
     names = [n.split("_")[0] for n in entry.queries() if n in queries.QUERIES]
-    assert names == [f"op{i}" for i in range(1, 11)] and "pipeline" in entry.queries()
+    assert names == [f"op{i}" for i in range(1, 14)] and "pipeline" in entry.queries()
 
 
 def test_mixing_equals_sql(spark):
