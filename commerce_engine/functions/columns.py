@@ -18,6 +18,19 @@ def money(c: Column | str) -> Column:
     return F.round(F.sum(c), 2)
 
 
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def number_from(text: Column | str, kind: str) -> Column:
+    """A text as a number, null if it shows none.
+
+    The pattern is looked at first: a cast that fails builds an error message for every
+    cell before it gives null, some fifty times the cost of one that succeeds.
+    """
+    c = F.col(text) if isinstance(text, str) else text
+    return F.when(c.rlike(NUMBER), c.try_cast(kind))
+
+
 def ratio(p: Column, q: Column) -> Column:
     """p / q in DOUBLE; NULL when q is 0."""
     return F.try_divide(dbl(p), dbl(q))

@@ -2,56 +2,31 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
 
+#: ``monotonically_increasing_id`` holds the partition above these bits and the row's number below.
+ROW_BITS = 33
+
 
 def with_global_position(df: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
     """Add the 1-based position of each row in ascending ``order`` (which must be unique).
 
-    A hash sample of the keys gives about as many cut points as there are shuffle
-    partitions. Rows are numbered inside their key range; a small per-range count
-    supplies the offset. Cut points are a pure function of the data, so a retried
-    task sees the same ranges. ``df`` is read several times: pass a written table.
+    Spark partitions the rows by range and sorts each range; the rows are written once
+    with their range and their number in it. A count per range, as many rows as there
+    are partitions, gives the number of rows before each range. ``df`` is read twice (to
+    sample and to shuffle): pass a written table if it is costly.
     """
-    spark = df.sparkSession
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
-    key = F.struct(*order)
-
-    step = math.isqrt(ranges) + 1
-    rows = df.agg(F.count("*")).scalar()
-    every = F.greatest(F.lit(1).cast("bigint"), F.floor(rows / ranges))
-    sample = df.where(F.pmod(F.xxhash64(*order), every) == 0).agg(F.sort_array(F.collect_set(key)).alias("cuts"))
-    cuts = sample.scalar()
-    heads = sample.select(F.filter("cuts", lambda c, i: i % step == 0)).scalar()
-
-    ranged = df.withColumn("_block", _below(heads, key)).withColumn("_range", _range(cuts, step, key)).drop("_block")
-    counts = ranged.groupBy("_range").agg(F.count("*").alias("cnt"))
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    rows = materialize(ranged, "ranges").withColumn("_range", F.shiftright("_id", ROW_BITS))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        counts.withColumn("before", F.coalesce(F.sum("cnt").over(before), F.lit(0)))
-        .agg(F.map_from_entries(F.collect_list(F.struct("_range", "before"))).alias("m"))
-        .scalar()
-    )
-    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    return ranged.withColumn(name, F.element_at(offsets, F.col("_range")) + within).drop("_range")
-
-
-def _below(points: Column, key: Column) -> Column:
-    """Number of sorted points below ``key``."""
-    return F.array_position(F.sort_array(F.array_append(points, key)), key).cast("int") - 1
-
-
-def _range(cuts: Column, step: int, key: Column) -> Column:
-    """Number of cut points below ``key``: the block is known by its head, look inside it."""
-    block = F.col("_block")
-    start = F.greatest(block - 1, F.lit(0)) * step
-    return F.when(block == 0, F.lit(0)).otherwise(start + _below(F.slice(cuts, start + 1, F.lit(step)), key))
+    offsets = rows.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = F.col("_id") - F.shiftleft("_range", ROW_BITS)
+    return rows.join(offsets, "_range").withColumn(name, F.col("_before") + within + 1).drop("_range", "_id", "_before")
 
 
 def with_dense_rank(df: DataFrame, value: str, name: str) -> DataFrame:

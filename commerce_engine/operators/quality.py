@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import label_order, rnd
+from ..functions.fingerprint import FINGERPRINT, bits, fingerprint
+from ..functions.moments import merged, of_counts, population_skew, sample_deviation
 from ..functions.quantiles import counted as value_counts
 from ..functions.quantiles import quantiles_of
 
@@ -68,12 +70,18 @@ def column_rules(
 def validate(df: DataFrame, rules: Mapping[str, Column], ignore: Sequence[str] = ("row_id",)) -> DataFrame:
     """(rule, violations, status) in report order.
 
-    Rows are grouped by all their columns once: a group of n has n - 1 duplicates, and
-    counts n times in every rule that it breaks.
+    A row is reduced to its fingerprint and one bit for each rule that it breaks. Equal
+    rows share both, so one grouping of three numbers gives the duplicates (n - 1 of a
+    group of n) and every other rule (n for each bit that is set).
     """
-    groups = df.groupBy(*[c for c in df.columns if c not in ignore]).agg(F.count("*").alias("_n"))
-    counts = {name: F.sum(F.when(broken, F.col("_n")).otherwise(0)) for name, broken in rules.items()}
-    counts[DUPLICATES] = F.sum(F.col("_n") - 1)
+    compared = [c for c in df.columns if c not in ignore]
+    rows = df.select(*[v.alias(k) for k, v in fingerprint(compared).items()], bits(list(rules.values())).alias("broken"))
+    groups = rows.groupBy(*FINGERPRINT).agg(F.count("*").alias("n"), F.min("broken").alias("broken"))
+    counts = {
+        name: F.sum(F.when(F.col("broken").bitwiseAND(F.lit(1 << i).cast("bigint")) != 0, F.col("n")).otherwise(0))
+        for i, name in enumerate(rules)
+    }
+    counts[DUPLICATES] = F.sum(F.col("n") - 1)
     row = groups.agg(*[F.coalesce(v, F.lit(0)).alias(name) for name, v in counts.items()])
     status = F.when(F.col("violations") == 0, "PASS").otherwise("FAIL")
     table = row.unpivot([], list(counts), "rule", "violations")
@@ -160,14 +168,12 @@ def outlier_summary(df: DataFrame, measures: Sequence[str] = tuple(MEASURES)) ->
     counts = value_counts(df, measures)
     v, n = F.col("v"), F.col("cnt")
     rows = df.agg(F.count("*")).scalar()
-    power = counts.groupBy("measure").agg(*[F.try_divide(F.sum(F.pow(v, F.lit(k)) * n), F.sum(n)).alias(f"e{k}") for k in (1, 2, 3)])
-    mu, var = F.col("e1"), F.col("e2") - F.pow("e1", F.lit(2))
-    third = F.col("e3") - 3 * mu * F.col("e2") + 2 * F.pow("e1", F.lit(3))
-    known = fences_of(counts).join(power, "measure").withColumns(
-        {"sigma": F.sqrt(var * F.try_divide(F.col("n"), F.col("n") - 1)), "g1": F.try_divide(third, F.pow(var, F.lit(1.5)))}
+    central = merged(of_counts(counts)).select(
+        "measure", "mean", sample_deviation().alias("sigma"), population_skew().alias("g1")
     )
-    limits = known.select("measure", "lower", "upper", "e1", "sigma")
-    z = F.abs(F.try_divide(v - mu, F.col("sigma")))
+    known = fences_of(counts).join(central, "measure")
+    limits = known.select("measure", "lower", "upper", "mean", "sigma")
+    z = F.abs(F.try_divide(v - F.col("mean"), F.col("sigma")))
     beyond = counts.join(F.broadcast(limits), "measure").groupBy("measure").agg(
         F.coalesce(F.sum(F.when((v < F.col("lower")) | (v > F.col("upper")), n)), F.lit(0)).alias("iqr_outliers"),
         F.coalesce(F.sum(F.when(z > 3, n)), F.lit(0)).alias("zscore_outliers"),

@@ -319,7 +319,7 @@ def _builders() -> dict[str, Builder]:
             c.drop_incomplete(c.drop_shells(c.prepare(raw_extract(x))))
         ),
         "c05_c07_typed": lambda x: c.typed(raw_extract(x)),
-        "c08_common_postal_codes": lambda x: c.common_postal_codes(c.typed(raw_extract(x))),
+        "c08_common_postal_codes": lambda x: c.Cleaning(raw_extract(x)).common_codes(),
         "c09_unresolved_postal": lambda x: c.unresolved_postal(c.clean(raw_extract(x))),
         "c10_cleaned": lambda x: c.clean(raw_extract(x)),
         "c11_ship_before_order": lambda x: c.ship_before_order(c.clean(raw_extract(x))),

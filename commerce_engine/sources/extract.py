@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.cleaning import MEASURE_TYPES
 from .star import OrderTables
 
+#: Holds the text of a row that does not have the extract's columns; null for all others.
+MALFORMED = "_malformed"
+
 # The header of the raw extract.
 RAW_COLUMNS = [
     "Row ID", "Order ID", "Order Date", "Ship Date", "Ship Mode", "Customer ID", "Customer Name", "Segment",
@@ -16,10 +18,18 @@ RAW_COLUMNS = [
 ]
 
 
-def read_raw_csv(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
-    """Every column as text: dates, codes and numbers are typed by the cleaning steps."""
-    schema = ", ".join(f"`{c}` string" for c in RAW_COLUMNS)
-    return spark.read.csv(path, header=True, schema=schema, encoding=encoding, escape='"', multiLine=False)
+def read_raw_csv(spark: SparkSession, path: str, encoding: str = "ISO-8859-1", line_breaks: bool = True) -> DataFrame:
+    """Every column as text: dates, codes and numbers are typed by the cleaning steps.
+
+    A row with too few or too many fields, or an open quote, keeps its text in a column of
+    its own (:data:`MALFORMED`) and is set aside by the cleaning. Quoted values may hold
+    line breaks. For them a file has to be read by one task: a large extract should come
+    as many files, or, where no value holds a break, be read with ``line_breaks=False``.
+    """
+    schema = ", ".join(f"`{c}` string" for c in [*RAW_COLUMNS, MALFORMED])
+    return spark.read.csv(
+        path, header=True, schema=schema, encoding=encoding, escape='"', multiLine=line_breaks, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED,
+    )
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: str, date_format: str = "yyyy-MM-dd") -> DataFrame:
@@ -40,7 +50,8 @@ def raw_extract(star: OrderTables) -> DataFrame:
     )
     product, customer, quantity = F.col("product_id"), F.col("customer_id"), F.col("quantity")
     copies = F.when(product % 101 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    repeated = lines.withColumn("copy", F.explode(copies))
+    # As an extract comes in many files, its rows come in many partitions, also from one order file.
+    repeated = lines.repartition("order_id").withColumn("copy", F.explode(copies))
 
     def iso(c: str):
         return F.date_format(c, "yyyy-MM-dd")
@@ -111,6 +122,3 @@ def raw_extract(star: OrderTables) -> DataFrame:
         )
     )
     return body.unionByName(shells)
-
-
-assert set(MEASURE_TYPES) <= {c.lower() for c in RAW_COLUMNS}
