@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,9 @@ from pyspark.sql import functions as F
 
 from .tokens import byte_symbols
 
-#: Distinct chunks and token pairs that one worker keeps.
+#: Distinct chunks and token pairs that one worker keeps, and the longest chunk (in characters) that it keeps.
 CACHE_CHUNKS = 400_000
+LONGEST_KEPT = 64
 CACHE_PAIRS = 1_000_000
 
 #: What the pre-tokenizer's \s matches.
@@ -121,9 +123,10 @@ class Runs(dict):
         if n != len(piece):
             count = [0] + [count[i] for i in range(1, n + 1) if i == n or text[i] & 0xC0 != 0x80]
         out = changes(count)
-        if len(self) > CACHE_CHUNKS:
-            self.clear()
-        self[piece] = out
+        if len(piece) <= LONGEST_KEPT:
+            if len(self) > CACHE_CHUNKS:
+                self.clear()
+            self[piece] = out
         return out
 
 
@@ -137,6 +140,10 @@ def changes(counts: list[int]) -> bytes:
     return change.astype(np.int8).tobytes()
 
 
+def signed(deltas: bytes) -> list[int]:
+    return np.frombuffer(deltas, np.int8).tolist()
+
+
 class PrefixCounter(dict):
     """chunk of text -> signed bytes: per code point, the change of the token count."""
 
@@ -158,27 +165,61 @@ class PrefixCounter(dict):
     def tokens(self, piece: str) -> int:
         return sum(b - 256 if b > 127 else b for b in self.runs[piece])
 
-    def whole(self, text: str) -> int:
-        """Token count of a text whose special strings are one token each."""
-        for s in self.special:
-            if s in text:
-                left, _, right = text.partition(s)
-                return self.whole(left) + 1 + self.whole(right)
-        return sum(map(self.tokens, self.pattern.findall(text)))
+    def ordinary(self, text: str) -> list[int]:
+        """Counts at every prefix of a chunk, special strings read as characters: linear in its length.
+
+        A prefix of blanks alone is one pre-token. Once something follows, the last blank
+        leaves the run (a space joins what follows, any other stands alone) and the count
+        goes on from the run without it. Behind that, a cut leaves the pre-tokens before it
+        as they are, and only a contraction ("'ll") reads differently when it is cut itself.
+        """
+        blank = self.space.match(text).end()
+        counts = [0, *accumulate(signed(self.runs[text[:blank]]))] if blank else [0]
+        if blank == len(text):
+            return counts
+        joins = text[blank - 1 : blank] == " "
+        base = counts[blank - 1] if blank else 0
+        if blank and not joins:
+            base += self.tokens(text[blank - 1])
+        parts = []
+        for piece in self.pattern.findall(text[blank - joins :]):
+            if piece[0] == "'" and piece[1:2].isalpha():
+                cut = [sum(map(self.tokens, self.pattern.findall(piece[:i]))) for i in range(len(piece) + 1)]
+                parts.append(changes(cut))
+            else:
+                parts.append(self.runs[piece])
+        after = accumulate(signed(b"".join(parts)), initial=base)
+        return counts + list(islice(after, 1 + joins, None))
+
+    def counts(self, chunk: str) -> list[int]:
+        """Counts at every prefix of a chunk; a special string is one token once it is complete."""
+        out, base = [0], 0
+        while chunk:
+            found = min(((chunk.index(s), s) for s in self.special if s in chunk), default=None)
+            if found is None:
+                out += [base + c for c in self.ordinary(chunk)[1:]]
+                break
+            at, s = found
+            before = self.ordinary(chunk[: at + len(s) - 1])
+            out += [base + c for c in before[1:]]
+            base += before[at] + 1
+            out.append(base)
+            chunk = chunk[at + len(s) :]
+        return out
 
     def __missing__(self, chunk: str) -> bytes:
         blank = self.space.match(chunk).end()
         if blank > 1 or "'" in chunk or any(s in chunk for s in self.special):
-            # A cut can undo a contraction or a special string, or join white space: count each such prefix by itself.
-            out = changes([0] + [self.whole(chunk[: i + 1]) for i in range(len(chunk))])
+            out = changes(self.counts(chunk))
         elif chunk[blank:].isalpha() and chunk[:blank] in ("", " "):
             out = self.runs[chunk]
         else:
             # Any other cut leaves the pre-tokens before it as they are, so the changes stand side by side.
             out = b"".join(map(self.runs.__getitem__, self.pattern.findall(chunk)))
-        if len(self) > CACHE_CHUNKS:
-            self.clear()
-        self[chunk] = out
+        if len(chunk) <= LONGEST_KEPT:
+            if len(self) > CACHE_CHUNKS:
+                self.clear()
+            self[chunk] = out
         return out
 
     def deltas(self, text: str) -> bytes:

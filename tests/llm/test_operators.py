@@ -440,3 +440,47 @@ def test_a_hot_source_is_numbered_in_buckets(spark, monkeypatch):
     rows = spark.range(500).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 400, "hot").otherwise("cold").alias("source"))
     numbers = mixing.numbered(rows, 1).groupBy("source").agg(F.sort_array(F.collect_list("number")).alias("n")).collect()
     assert all(r["n"] == list(range(len(r["n"]))) for r in numbers)
+
+
+# ------------------------------------------------------- mended in round three
+def test_long_runs_are_counted_in_linear_time():
+    import time
+
+    library = Tokenizer.from_file(BYTES)
+    count = prefix_counts.PrefixCounter(BYTES)
+    begin = time.perf_counter()
+    for text in (" " * 200_000, " " * 99_999 + "\n" + "x", "ab" * 100_000 + "'" + "cd" * 100, "it's" * 20_000, "  <|endoftext|>" * 2_000):
+        deltas = np.frombuffer(count.deltas(text), np.int8)
+        assert len(deltas) == len(text)
+        assert deltas.sum() == len(library.encode(text, add_special_tokens=False).ids)
+    assert time.perf_counter() - begin < 60
+
+
+@pytest.mark.parametrize("text", ["   don't", " \n's 'll 'lx x'll!'ll", "\n\n x", "\t'", "a  <|endoftext|>'s<|endo", "  \xa0  ok", "'re're 've", "!'s  '", "x\u3000 y<|endoftext|><|endoftext|>z"])
+def test_prefixes_of_awkward_chunks(text):
+    library = Tokenizer.from_file(BYTES)
+    counts = prefix_counts.counts_at_every_prefix(prefix_counts.PrefixCounter(BYTES).deltas(text))
+    assert counts.tolist() == [len(library.encode(text[:i], add_special_tokens=False).ids) for i in range(len(text) + 1)]
+
+
+def test_different_dates_have_different_pseudonyms():
+    """All days in both orders of each notation: no result is shared, and none can be read as another's."""
+    import datetime
+
+    f = pseudonyms.Feistel(b"k")
+    first = datetime.date.fromordinal(pseudonyms.FIRST_DAY)
+    days = [first + datetime.timedelta(i) for i in range(0, pseudonyms.DAYS, 3)]
+    for sep, orders in (("/", ("%m/%d/%Y", "%d/%m/%Y")), ("-", ("%d-%m-%Y", "%m-%d-%Y"))):
+        texts = {d.strftime(o) for d in days for o in orders}
+        made = {t: pseudonyms.date(f, t) for t in texts}
+        assert len(set(made.values())) == len(texts) and all(v and v.count(sep) == 2 for v in made.values())
+
+
+def test_grades_in_a_fresh_worker_of_empty_texts(spark):
+    """A first block without bytes must not keep later features from being hashed."""
+    from commerce_engine.llm import text_arrays
+
+    text_arrays._powers.clear()
+    offsets = np.zeros(4, np.int64)
+    doc, feature = ordinal.hashed(offsets, np.zeros(0, np.uint8))
+    assert sorted(set(doc)) == [0, 1, 2]
