@@ -186,7 +186,7 @@ def date(f: Feistel, found: str) -> str | None:
     sep = re.search(r"\D", found)[0]
     parts = found.split(sep)
     orders = ["ymd"] if len(parts[0]) == 4 else ["mdy", "dmy"] if sep == "/" else ["dmy", "mdy"]
-    for order in orders:
+    for place, order in enumerate(orders):
         at = {k: int(p) for k, p in zip(order, parts)}
         try:
             day = datetime.date(at["y"], at["m"], at["d"]).toordinal() - FIRST_DAY
@@ -194,7 +194,10 @@ def date(f: Feistel, found: str) -> str | None:
             continue
         if not 0 <= day < DAYS:
             return None
-        new = datetime.date.fromordinal(f.permute(day, DAYS, "date") + FIRST_DAY)
+        # A date that only the second order can read (its day is above 12) stays among such
+        # dates, so that no result can be read in an order other than its own.
+        moved = f.walk(day, DAYS, "date second", lambda v: datetime.date.fromordinal(v + FIRST_DAY).day > 12) if place else f.permute(day, DAYS, "date")
+        new = datetime.date.fromordinal(moved + FIRST_DAY)
         values = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
         return sep.join(values[k] for k in order)
     return None
