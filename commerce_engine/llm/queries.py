@@ -12,11 +12,17 @@ from . import anomalies, dac, embeddings, filter_audit, languages, mixing, ordin
 from ..session import scratch_path
 from .common import table
 
-PII_KEY = b"rotate this key with every release"
+#: The setting that holds the key of the pseudonyms. The given tables are invented: without it they get a public test key.
+PII_KEY_SETTING = "spark.llm.pseudonyms.key"
+TEST_KEY = "public test key, not for real data"
 SEQUENCE = 4096
 TOKEN_LIMIT = 512
 
 
+def pii_key(spark: SparkSession) -> bytes:
+    return spark.conf.get(PII_KEY_SETTING, TEST_KEY).encode()
+
+
 def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.similar_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
@@ -45,7 +51,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = pseudonyms.pseudonyms(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    done = pseudonyms.pseudonyms(table(spark, sf_dir, "documents").select("doc_id", "text"), pii_key(spark))
     return done.select("doc_id", "text", *(F.col(f"pii.{k}").alias(f"n_{k}") for k in pseudonyms.KINDS))
 
 

@@ -326,12 +326,57 @@ def joined_documents(docs: DataFrame, reps: DataFrame, size: int, threshold: flo
     return whole.union(components(state.where("joined <> doc_id").select(F.col("doc_id").alias("src"), F.col("joined").alias("dst")).union(second)))
 
 
+def numbered_rows(docs: DataFrame) -> DataFrame | None:
+    """docs with a unique number ``_place`` in the order of ids, written; None where ids already are unique.
+
+    Rows without an id get no number.
+    """
+    ids = docs.groupBy(F.col("doc_id").cast("bigint").alias("id")).count()
+    if ids.where("id is not null and count > 1").isEmpty():
+        return None
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("doc_id").cast("bigint"), F.sha2("text", 256)]
+    ranged = docs.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    place = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())
+    return written(ranged.withColumn("_place", place), "numbered")
+
+
+def first_documents(docs: DataFrame, words_in_shingle: int = 5, threshold: float = 0.8) -> DataFrame:
+    """The rows of ``docs``, with their columns, without near copies: of each component the first row of its smallest id."""
+    rows = numbered_rows(docs)
+    if rows is None:
+        groups, key, rows = groups_by_id(docs, words_in_shingle, threshold), "doc_id", docs
+    else:
+        groups, key = groups_by_id(rows.select(F.col("_place").alias("doc_id"), "text"), words_in_shingle, threshold), "_place"
+    # The rejected ids grow with the documents: one plan, a merge, at every size.
+    copies = groups.where("not kept").select(F.col("doc_id").alias(key)).hint("merge")
+    return rows.join(copies, key, "left_anti").select(*docs.columns)
+
+
 def similar_groups(docs: DataFrame, words_in_shingle: int = 5, threshold: float = 0.8) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text).
 
-    The result, a few numbers a row, is written; the tables on the way to it are removed.
+    Rows that share an id are documents of their own. The result, a few numbers a row,
+    is written; the tables on the way to it are removed.
     """
     before = written_so_far()
+    rows = numbered_rows(docs.select("doc_id", "text"))
+    if rows is None:
+        return groups_by_id(docs, words_in_shingle, threshold)
+    found = groups_by_id(rows.select(F.col("_place").alias("doc_id"), "text"), words_in_shingle, threshold)
+    ids = rows.where("_place is not null").select("_place", F.col("doc_id").cast("bigint").alias("id"))
+    own = ids.withColumnsRenamed({"_place": "doc_id", "id": "own"})
+    first = ids.withColumnsRenamed({"_place": "component_id", "id": "first"})
+    named = found.join(own, "doc_id", "left").join(first, "component_id", "left")
+    kept = F.coalesce(F.col("own") == F.col("first"), F.lit(True)).alias("kept")
+    result = written(named.select(F.col("own").alias("doc_id"), "n_shingles", F.col("first").alias("component_id"), kept), "groups")
+    remove_written(before, keep=1)
+    return result
+
+
+def groups_by_id(docs: DataFrame, words_in_shingle: int, threshold: float) -> DataFrame:
+    """As :func:`similar_groups`, for ids that are unique or null."""
+    before = written_so_far()
     rows = written(summaries(docs, words_in_shingle), "summaries")
     usable = rows.where("doc_id is not null and set_key is not null")
     classes = usable.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"))  # equal sets, equal signatures

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from commerce_engine.llm import common, mixing, ordinal, packing, pseudonyms
+from commerce_engine.llm import queries, common, mixing, ordinal, packing, pseudonyms
 
 from . import brute
 
@@ -34,7 +34,7 @@ def test_stages_one_after_the_other(spark):
     groups = brute.similar([r["doc_id"] for r in rows], [r["text"] for r in rows], 5)
     assert {r["doc_id"] for r in tables[2].collect()} == {d for d, g in groups.items() if d == g}
 
-    cipher = pseudonyms.Feistel(corpus_pipeline.PII_KEY)
+    cipher = pseudonyms.Feistel(queries.pii_key(spark))
     want = {r["doc_id"]: pseudonyms.pseudonymise(cipher, r["text"])[0] for r in tables[2].collect()}
     assert {r["doc_id"]: r["text"] for r in tables[3].collect()} == want
     assert tables[3].where(F.col("n_chars") != F.length("text")).count() == 0
@@ -103,3 +103,13 @@ def test_packing_in_order_takes_contiguous_ranges(spark, tmp_path, monkeypatch):
             assert ends[r["sequence_id"]] == r["offset"]
             ends[r["sequence_id"]] += r["length"]
         assert max(ends.values()) <= 64
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark, tmp_path):
+    """(0, A), (1, A), (1, B), (3, B), (3, B): one A and one B stay."""
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(0, a), (1, a), (1, b), (3, b), (3, b), (None, a), (7, None), (7, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    left = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()
+    assert sorted((str(r["doc_id"]), (r["text"] or "-")[0]) for r in left) == [("0", "a"), ("1", "b"), ("7", "-"), ("7", "-"), ("None", "a")]
+    assert left[0].asDict().keys() == set(corpus_pipeline.COLUMNS)
