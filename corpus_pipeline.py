@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from commerce_engine.llm import mixing, ordinal, packing, pseudonyms, similarity
 from commerce_engine.llm.common import table, written
-from commerce_engine.llm.queries import PII_KEY, SEQUENCE
+from commerce_engine.llm.queries import SEQUENCE, pii_key
 
 #: Columns of documents, which every stage but the last returns.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -21,15 +21,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id, of each group of near copies stays (five words, 0.8)."""
-    groups = similarity.similar_groups(docs, words_in_shingle=5, threshold=0.8)
-    # The rejected ids grow with the documents: one plan, a merge, at every size.
-    return docs.join(groups.where("not kept").select("doc_id").hint("merge"), "doc_id", "left_anti").select(*COLUMNS)
+    """One document, the first row of the smallest id, of each group of near copies stays (five words, 0.8).
+
+    Rows that share an id are documents of their own: each is judged by its own text.
+    Rows without an id stay.
+    """
+    return similarity.first_documents(docs.select(*COLUMNS), words_in_shingle=5, threshold=0.8)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data gives way to pseudonyms; n_chars follows the new text."""
-    done = pseudonyms.pseudonyms(docs.select(*COLUMNS).withColumnRenamed("n_chars", "before"), PII_KEY)
+    done = pseudonyms.pseudonyms(docs.select(*COLUMNS).withColumnRenamed("n_chars", "before"), pii_key(spark))
     changed = F.aggregate(F.array(*(F.col(f"pii.{k}") for k in pseudonyms.KINDS)), F.lit(0).cast("bigint"), lambda a, b: a + b) > 0
     return done.withColumn("n_chars", F.when(changed, F.length("text").cast("bigint")).otherwise(F.col("before"))).select(*COLUMNS)
 
