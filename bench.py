@@ -39,6 +39,7 @@ def main() -> None:
         .config("spark.driver.memory", "20g")
         .config("spark.ui.enabled", "false")
         .config("spark.log.level", "ERROR")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     from commerce_engine import pipeline

@@ -21,14 +21,13 @@ def money(c: Column | str) -> Column:
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
-def number_from(text: Column | str, kind: str) -> Column:
-    """A text as a number, null if it shows none.
+def number_from(text: str, kind: str) -> Column:
+    """A text column as numbers, null where it shows none.
 
     The pattern is looked at first: a cast that fails builds an error message for every
     cell before it gives null, some fifty times the cost of one that succeeds.
     """
-    c = F.col(text) if isinstance(text, str) else text
-    return F.when(c.rlike(NUMBER), c.try_cast(kind))
+    return F.expr(f"CASE WHEN `{text}` RLIKE r'{NUMBER}' THEN try_cast(`{text}` AS {kind}) END")
 
 
 def ratio(p: Column, q: Column) -> Column:

@@ -13,7 +13,7 @@ or a day that does not exist, gives null; :func:`unreadable` reports such cells
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,68 +35,64 @@ TIME = (
 CUT = r"[^0-9A-Za-z]+|(?<=[0-9])(?:st|nd|rd|th)(?![A-Za-z])|(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often it is mentioned."""
-    return F.transform(F.array(value), body)[0]
+def _names(full: Sequence[str], *more: str) -> str:
+    """A SQL list of full names, their first three letters and further spellings."""
+    return ", ".join(f"'{n}'" for n in [*full, *(n[:3] for n in full), *more])
 
 
-def _names(full: Sequence[str], *more: str) -> list[str]:
-    return [*full, *(n[:3] for n in full), *more]
+def tokens(text: str) -> str:
+    """SQL: runs of digits and letters in lower case, without time of day and weekday."""
+    day = f"CASE WHEN contains({text}, ':') THEN regexp_replace({text}, r'{TIME}', '') ELSE {text} END"
+    skipped = "'', " + _names(WEEKDAYS, "tues", "wednes", "thur", "thurs")
+    return f"filter(split(lower(trim({day})), r'{CUT}'), t -> t NOT IN ({skipped}))"
 
 
-def tokens(text: Column) -> Column:
-    """Runs of digits and letters in lower case, without time of day and weekday."""
-    day = F.when(F.contains(text, F.lit(":")), F.regexp_replace(text, TIME, "")).otherwise(text)
-    skipped = ["", *_names(WEEKDAYS, "tues", "wednes", "thur", "thurs")]
-    return F.filter(F.split(F.lower(F.trim(day)), CUT), lambda t: ~t.isin(skipped))
+#: SQL: one letter a token of ``p``: n (one or two digits), y (four), z (eight), m (month), ? (anything else).
+KINDS = f"""array_join(transform(p, t -> CASE
+    WHEN translate(t, '{DIGITS}', '') = '' THEN CASE WHEN length(t) <= 2 THEN 'n' WHEN length(t) = 4 THEN 'y' WHEN length(t) = 8 THEN 'z' ELSE '?' END
+    WHEN t IN ({_names(MONTHS, "sept")}) THEN 'm' ELSE '?' END), '')"""
 
 
-def kinds(parts: Column) -> Column:
-    """One letter a token: n (one or two digits), y (four), z (eight), m (month), ? (anything else)."""
+def _in_order() -> str:
+    """SQL: year-month-day of the tokens ``p`` as text, by class ``k``."""
+    a, b, c = "p[0]", "p[1]", "p[2]"
+    months = ", ".join(f"'{m[:3]}'" for m in MONTHS)
 
-    def kind(t: Column) -> Column:
-        size = F.length(t)
-        number = F.when(size <= 2, "n").when(size == 4, "y").when(size == 8, "z").otherwise("?")
-        return F.when(F.translate(t, DIGITS, "") == "", number).when(t.isin(_names(MONTHS, "sept")), "m").otherwise("?")
+    def iso(year: str, month: str, day: str) -> str:
+        return f"concat_ws('-', {year}, {month}, {day})"
 
-    return F.array_join(F.transform(parts, kind), "")
+    def of_month(t: str) -> str:
+        return f"CAST(array_position(array({months}), left({t}, 3)) AS STRING)"
 
+    def century(t: str) -> str:
+        return f"concat(CASE WHEN CAST({t} AS INT) >= 69 THEN '19' ELSE '20' END, lpad({t}, 2, '0'))"
 
-def _in_order(parts: Column, kind: Column) -> Column:
-    """year-month-day as text, by class."""
-    a, b, c = parts[0], parts[1], parts[2]
+    def first_above(limit: int, yes: str, no: str) -> str:
+        return f"CASE WHEN CAST({a} AS INT) > {limit} THEN {yes} ELSE {no} END"
 
-    def iso(year: Column, month: Column, day: Column) -> Column:
-        return F.concat_ws("-", year, month, day)
+    by_class = {
+        "ynn": iso(a, b, c),
+        "nny": first_above(12, iso(c, b, a), iso(c, a, b)),
+        "mny": iso(c, of_month(a), b),
+        "nmy": iso(c, of_month(b), a),
+        "z": iso(f"substr({a}, 1, 4)", f"substr({a}, 5, 2)", f"substr({a}, 7, 2)"),
+        "ymn": iso(a, of_month(b), c),
+        "ynm": iso(a, of_month(c), b),
+        "nnn": first_above(31, iso(century(a), b, c), first_above(12, iso(century(c), b, a), iso(century(c), a, b))),
+        "mnn": iso(century(c), of_month(a), b),
+        "nmn": first_above(31, iso(century(a), of_month(b), c), iso(century(c), of_month(b), a)),
+    }
+    return "CASE k " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in by_class.items()) + " END"
 
-    def number(t: Column) -> Column:
-        return t.try_cast("int")
 
-    def of_month(t: Column) -> Column:
-        return F.array_position(F.array(*[F.lit(m[:3]) for m in MONTHS]), F.left(t, F.lit(3))).cast("string")
+def read_date(c: str) -> Column:
+    """The date a text column shows, null if it shows none.
 
-    def century(t: Column) -> Column:
-        return F.concat(F.when(number(t) >= 69, "19").otherwise("20"), F.lpad(t, 2, "0"))
-
-    return (
-        F.when(kind == "ynn", iso(a, b, c))
-        .when(kind == "nny", F.when(number(a) > 12, iso(c, b, a)).otherwise(iso(c, a, b)))
-        .when(kind == "mny", iso(c, of_month(a), b))
-        .when(kind == "nmy", iso(c, of_month(b), a))
-        .when(kind == "z", iso(F.substr(a, F.lit(1), F.lit(4)), F.substr(a, F.lit(5), F.lit(2)), F.substr(a, F.lit(7), F.lit(2))))
-        .when(kind == "ymn", iso(a, of_month(b), c))
-        .when(kind == "ynm", iso(a, of_month(c), b))
-        .when(kind == "nnn", F.when(number(a) > 31, iso(century(a), b, c)).when(number(a) > 12, iso(century(c), b, a)).otherwise(iso(century(c), a, b)))
-        .when(kind == "mnn", iso(century(c), of_month(a), b))
-        .when(kind == "nmn", F.when(number(a) > 31, iso(century(a), of_month(b), c)).otherwise(iso(century(c), of_month(b), a)))
-    )
-
-
-def read_date(c: Column | str) -> Column:
-    """The date a text shows, null if it shows none."""
-    text = F.col(c) if isinstance(c, str) else c
-    mixed = let(tokens(text), lambda parts: let(kinds(parts), lambda kind: _in_order(parts, kind))).try_cast("date")
-    return F.when(text.rlike(ISO), text.try_cast("date")).otherwise(mixed)
+    One SQL text: ``transform(array(x), p -> ...)[0]`` names a value that is computed once.
+    """
+    text = f"`{c}`"
+    mixed = f"transform(array({tokens(text)}), p -> transform(array({KINDS}), k -> {_in_order()})[0])[0]"
+    return F.expr(f"CASE WHEN {text} RLIKE r'{ISO}' THEN try_cast({text} AS DATE) ELSE try_cast({mixed} AS DATE) END")
 
 
 def shape(text: Column) -> Column:

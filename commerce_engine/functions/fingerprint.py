@@ -26,9 +26,14 @@ def bits(tests: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), one)
 
 
+def null_bits(columns: Sequence[str]) -> str:
+    """SQL: as :func:`bits`, of the columns that are null."""
+    return "(" + " | ".join(f"CASE WHEN `{c}` IS NULL THEN {1 << i}L ELSE 0L END" for i, c in enumerate(columns)) + ")"
+
+
 def fingerprint(columns: Sequence[str]) -> dict[str, Column]:
     """Two 64-bit hashes over the columns and over which of them are null (a hash alone skips nulls)."""
-    nulls = [bits([F.col(c).isNull() for c in columns[i : i + 62]]) for i in range(0, len(columns), 62)]
-    values = [F.col(c) for c in columns]
-    hashes = F.xxhash64(*nulls, *values), F.xxhash64(F.lit(SALT), *reversed(values), *nulls)
-    return dict(zip(FINGERPRINT, hashes))
+    nulls = [null_bits(columns[i : i + 62]) for i in range(0, len(columns), 62)]
+    values = [f"`{c}`" for c in columns]
+    hashes = [*nulls, *values], [str(SALT), *reversed(values), *nulls]
+    return {name: F.expr(f"xxhash64({', '.join(parts)})") for name, parts in zip(FINGERPRINT, hashes)}

@@ -12,9 +12,9 @@ import re
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import number_from, percent, ratio, rnd
+from ..functions.columns import NUMBER, number_from, percent, ratio, rnd
 from ..functions.dates import read_date as parse_date
-from ..functions.fingerprint import FINGERPRINT, bits, fingerprint
+from ..functions.fingerprint import FINGERPRINT, fingerprint, null_bits
 from ..session import materialize
 from ..sources.extract import MALFORMED
 
@@ -35,7 +35,8 @@ def standardise_names(df: DataFrame) -> DataFrame:
 
 
 def null_tokens_to_null(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c) if c == MALFORMED else F.when(~F.col(c).isin(NULL_TOKENS), F.col(c)).alias(c) for c in df.columns])
+    tokens = ", ".join(f"'{t}'" for t in NULL_TOKENS)
+    return df.selectExpr(*[f"`{c}`" if c == MALFORMED else f"CASE WHEN `{c}` NOT IN ({tokens}) THEN `{c}` END AS `{c}`" for c in df.columns])
 
 
 def prepare(raw: DataFrame) -> DataFrame:
@@ -69,10 +70,11 @@ def numeric_text(c: str) -> Column:
 
     Plain numbers are filled up with zeros; only unusual spellings are read as numbers.
     """
-    text = F.col(c)
-    dot = F.instr(text, ".")
-    filled = F.when(dot == 0, F.concat(text, F.lit(".00000000"))).otherwise(F.concat(text, F.substring(F.lit("00000000"), F.length(text) - dot + 1, F.lit(8))))
-    return F.when(text.rlike(PLAIN), filled).otherwise(F.coalesce(number_from(c, "decimal(28,8)").cast("string"), text))
+    text = f"`{c}`"
+    filled = f"""CASE WHEN instr({text}, '.') = 0 THEN concat({text}, '.00000000')
+        ELSE concat({text}, substring('00000000', length({text}) - instr({text}, '.') + 1, 8)) END"""
+    read = f"CASE WHEN {text} RLIKE r'{NUMBER}' THEN CAST(try_cast({text} AS DECIMAL(28,8)) AS STRING) END"
+    return F.expr(f"CASE WHEN {text} RLIKE r'{PLAIN}' THEN {filled} ELSE coalesce({read}, {text}) END")
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -132,13 +134,8 @@ def impute_postal(df: DataFrame, codes: DataFrame | None = None, flag: str | Non
 
 
 def trim_text(df: DataFrame) -> DataFrame:
-    return df.select(
-        *[
-            F.regexp_replace(f.name, r"(?U)^\s+|\s+$", "").alias(f.name)
-            if f.dataType.typeName() == "string"
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
+    return df.selectExpr(
+        *[rf"regexp_replace(`{c}`, r'(?U)^\s+|\s+$', '') AS `{c}`" if t == "string" else f"`{c}`" for c, t in df.dtypes]
     )
 
 
@@ -290,7 +287,7 @@ def shell_diagnosis(raw: DataFrame) -> DataFrame:
     share both, so all counts follow from one grouping of three numbers.
     """
     df = prepare(raw)
-    groups = df.select(*[v.alias(k) for k, v in fingerprint(df.columns).items()], bits([F.col(c).isNull() for c in df.columns]).alias("nulls"))
+    groups = df.select(*[v.alias(k) for k, v in fingerprint(df.columns).items()], F.expr(null_bits(df.columns)).alias("nulls"))
     groups = groups.groupBy(*FINGERPRINT).agg(F.count("*").alias("n"), F.min("nulls").alias("nulls"))
 
     def null(c: str) -> Column:

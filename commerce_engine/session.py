@@ -18,6 +18,10 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Only at launch. Without it PySpark looks up the caller's source line for every column
+# expression, some milliseconds each: more than many of these plans take to run.
+AT_LAUNCH = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     launched = spark.sparkContext.getConf()
@@ -29,7 +33,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def build_session(app: str = "commerce_engine", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
-    for key, value in conf.items():
+    for key, value in {**AT_LAUNCH, **conf}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 

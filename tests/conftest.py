@@ -12,6 +12,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.log.level", "ERROR")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     from commerce_engine.session import configure
