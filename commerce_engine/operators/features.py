@@ -107,6 +107,15 @@ def add_sales_category(df: DataFrame, measures: DataFrame | None = None) -> Data
     )
 
 
+def customer_features(profile: DataFrame) -> DataFrame:
+    """The five columns of a profile that lines carry; one row per customer."""
+    return profile.select("customer_id", *CUSTOMER_FEATURES)
+
+
 def attach_customer_features(lines: DataFrame, profile: DataFrame) -> DataFrame:
-    """Left join five customer columns; the profile must hold one row per customer."""
-    return lines.join(profile.select("customer_id", *CUSTOMER_FEATURES), "customer_id", "left")
+    """Left join five customer columns; the profile must hold one row per customer.
+
+    For lines that come from order tables, ``star.lines(..., per_customer=...)`` joins
+    them on the order side and spares a shuffle of the lines.
+    """
+    return lines.join(customer_features(profile), "customer_id", "left")

@@ -48,10 +48,19 @@ def inputs(names: Sequence[str], *extra: str) -> list[str]:
 
 
 def slicer(
-    start: str | None = None, end: str | None = None, **members: Sequence[str] | str
+    start: str | None = None, end: str | None = None, year_column: str | None = None, **members: Sequence[str] | str
 ) -> Column | None:
-    """A filter from an order-date range and allowed members per column."""
+    """A filter from an order-date range and allowed members per column.
+
+    ``year_column`` names a column with the order's year, such as the one that a table
+    is partitioned by: the range's years are asked for as well, so that a scan leaves
+    out the other partitions.
+    """
     tests = []
+    if year_column and start:
+        tests.append(F.col(year_column) >= int(start[:4]))
+    if year_column and end:
+        tests.append(F.col(year_column) <= int(end[:4]))
     if start:
         tests.append(F.col("order_date") >= F.lit(start).cast("date"))
     if end:
@@ -68,8 +77,8 @@ Selection = Mapping[str, Sequence[str] | str]
 
 
 def selected(df: DataFrame, where: Selection | None) -> DataFrame:
-    """Rows of a selection as :func:`slicer` takes it."""
-    test = slicer(**where) if where else None
+    """Rows of a selection as :func:`slicer` takes it, pruned by year where there is one."""
+    test = slicer(**where, year_column="order_year" if "order_year" in df.columns else None) if where else None
     return df if test is None else df.where(test)
 
 
@@ -102,6 +111,17 @@ def calendar(lines: DataFrame) -> DataFrame:
     )
 
 
+def on_calendar(lines: DataFrame, days: DataFrame) -> DataFrame:
+    """Lines of the given calendar days, with the calendar's columns.
+
+    The year takes part in the join: from a fact partitioned by it, Spark reads only the
+    years that the chosen days fall in (dynamic partition pruning).
+    """
+    same = (F.col("order_year") == F.col("year")) & (F.col("order_date") == F.col("date"))
+    extra = [c for c in days.columns if c not in ("date", "year") and c not in lines.columns]
+    return lines.join(days.select("date", "year", *extra), same).drop("date", "year")
+
+
 def calendar_sales(lines: DataFrame) -> DataFrame:
     """The calendar with each day's sales and distinct orders; quiet days count 0."""
     daily = lines.groupBy(F.col("order_date").alias("date")).agg(

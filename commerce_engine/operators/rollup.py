@@ -114,9 +114,10 @@ def period_comparison(running: DataFrame, months: int, by: Sequence[str] = (), m
         """The totals of the table's own days, under another day: the one that asks for them."""
         return running.select(*[F.col(c).alias(f"{name}_{c}") for c in by], day.alias(f"{name}_day"), F.col(measure).alias(name))
 
-    last = running.agg(F.max("day")).scalar()
-    ends = running.withColumn("_last", last).where((F.col("day") == F.last_day("day")) | (F.col("day") == F.col("_last"))).drop("_last")
-    rows = ends.select(*by, "day", F.trunc("day", "month").alias("month"), F.col(measure).alias("total"))
+    edges = running.agg(F.struct(F.min("day").alias("lo"), F.max("day").alias("hi"))).scalar()
+    is_end = (F.col("day") == F.last_day("day")) | (F.col("day") == F.col("_e.hi"))
+    ends = running.withColumn("_e", edges).where(is_end & (F.col("day") > F.col("_e.lo")))
+    rows = ends.select(*by, "day", F.trunc("day", "month").alias("month"), F.col(measure).alias("total"), F.col("_e.lo").alias("_lo"))
     asked = {
         "before": F.date_sub("month", 1),
         "year": F.date_sub(F.trunc("month", "year"), 1),
@@ -131,5 +132,6 @@ def period_comparison(running: DataFrame, months: int, by: Sequence[str] = (), m
         rows = rows.join(side, same, "left").drop(f"{name}_day", *[f"{name}_{c}" for c in by])
     none = F.lit(0)
     now = F.col("total") - F.coalesce("before", none)
-    prior = F.when(F.col("prior_end").isNotNull(), F.col("prior_end") - F.coalesce("prior_start", none))
+    known = F.col("prior_end").isNotNull() & (asked["prior_end"] > F.col("_lo"))
+    prior = F.when(known, F.col("prior_end") - F.coalesce("prior_start", none))
     return rows.select(*by, F.date_format("month", "yyyy-MM").alias("year_month"), now.alias("now"), prior.alias("prior"), (F.col("total") - F.coalesce("year", none)).alias("ytd"), "total")

@@ -9,14 +9,14 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import cleaning, customers, features, forecast, quality, scenario, stats, warehouse
+from .operators import cleaning, customers, features, forecast, metrics, quality, scenario, stats, warehouse
 from .plans import analytics, dashboard, views, workbook
 from .session import build_session
 from .sources.extract import read_raw_csv
-from .sources.sinks import register_views, write_document, write_report, write_reports, write_table
+from .sources.sinks import register_views, write_document, write_observed, write_report, write_reports, write_table
 from .sources.star import BASE_COLS, OrderTables, Star, Warehouse
 
 # Expected members of the retail extract.
@@ -31,14 +31,26 @@ def build_features(cleaned: DataFrame, profile: DataFrame) -> DataFrame:
     return features.attach_customer_features(features.add_sales_category(lines, cleaned), profile)
 
 
+def fact_totals() -> dict[str, Column]:
+    """What must agree with the cleaned lines, and lines whose place is unknown."""
+    return {
+        "lines": F.count("*"),
+        "sales": F.sum("sales"),
+        "profit": F.sum("profit"),
+        "lines_without_place": F.count_if(F.col("geo_id").isNull()),
+    }
+
+
 def build_star(lines: DataFrame, profile: DataFrame, out: str) -> Star:
-    """Write the four star tables and open them."""
+    """Write the star's tables and open them; the fact's totals are taken as it is written."""
     spark = lines.sparkSession
     geography = write_table(warehouse.dim_geography(lines), f"{out}/dim_geography")
     write_table(warehouse.dim_customer(profile), f"{out}/dim_customer")
     write_table(warehouse.dim_product(lines), f"{out}/dim_product")
     fact = warehouse.fact_sales(lines, geography).withColumn("order_year", F.year("order_date"))
-    write_table(fact, f"{out}/fact_sales", partition_by="order_year")
+    _, totals = write_observed(fact, f"{out}/fact_sales", fact_totals(), partition_by="order_year")
+    write_report(spark.range(1).select(*[F.lit(v).alias(k) for k, v in totals.items()]), f"{out}/reconciliation")
+    write_table(metrics.calendar(lines), f"{out}/dim_date")
     star = Warehouse(spark, out)
     register_views({t: star.table(t) for t in ("dim_customer", "dim_product", "dim_geography", "fact_sales")})
     return star
@@ -69,7 +81,7 @@ def audit(cleaned: DataFrame, lines: DataFrame, out: str, expected: tuple) -> No
 
 def exports(lines: DataFrame, out: str) -> None:
     """Aggregates for BI tools and the flat projection for pivoting."""
-    series = forecast.monthly_series(lines)
+    series = forecast.monthly_series(lines, complete=True)
     write_reports(
         {
             "agg_monthly": stats.monthly_totals(lines),
@@ -96,10 +108,15 @@ def run(
     out: str,
     expected: tuple = (COUNTRY, REGIONS, SEGMENTS, CATEGORIES),
     codes: DataFrame | None = None,
+    written: bool = False,
 ) -> Star:
-    """Every stage after cleaning; each stage that is read again is written once."""
+    """Every stage after cleaning; each stage that is read again is written once.
+
+    ``written``: the cleaned lines come from their stage table already.
+    """
     spark = cleaned.sparkSession
-    cleaned = write_table(cleaned, f"{out}/cleaned")
+    if not written:
+        cleaned = write_table(cleaned, f"{out}/cleaned")
     profile = write_table(
         customers.customer_profile(cleaned).orderBy(F.desc("lifetime_value"), "customer_id"), f"{out}/customer_profile"
     )
@@ -107,7 +124,7 @@ def run(
     audit(cleaned, lines, f"{out}/quality", expected)
     star = build_star(lines, profile, f"{out}/star")
     write_reports(questions(star, profile, expected[3]), f"{out}/questions")
-    views.register(star)
+    views.register(star, profile)
     register_views({"vw_sales_detail": views.sales_detail(lines)})
     write_document(
         dashboard.payload(lines, dashboard.us_state_codes(spark) if codes is None else codes), f"{out}/dashboard"
@@ -116,6 +133,17 @@ def run(
     return star
 
 
+def clean_extract(raw: DataFrame, out: str) -> DataFrame:
+    """Write the cleaned lines, the malformed rows and the audit, from one reading of the extract."""
+    work = cleaning.Cleaning(raw)
+    rows, kept = work.observed()
+    cleaned = write_table(rows, f"{out}/cleaned")
+    write_report(work.audit(kept), f"{out}/cleaning_audit")
+    if work.seen["malformed"]:
+        write_table(work.malformed(), f"{out}/malformed")
+    return cleaned
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     source = parser.add_mutually_exclusive_group(required=True)
@@ -125,9 +153,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark: SparkSession = build_session("commerce_engine pipeline")
     if args.raw_csv:
-        raw = read_raw_csv(spark, args.raw_csv)
-        write_report(cleaning.cleaning_audit(raw), f"{args.out}/cleaning_audit")
-        run(cleaning.clean(raw), args.out)
+        clean_extract(read_raw_csv(spark, args.raw_csv), args.out)
+        run(spark.read.parquet(f"{args.out}/cleaned"), args.out, written=True)
     else:
         run(OrderTables(spark, args.tables).base_lines(*BASE_COLS), args.out)
 

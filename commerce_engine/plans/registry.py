@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import decimals_to_double, qcut, rnd
-from ..functions.quantiles import quantile_edges
-from ..operators import cleaning, customers, features, forecast, metrics, quality, scenario, stats, warehouse
+from ..functions.dates import unreadable
+from ..functions.quantiles import counted, quantile_edges
+from ..operators import cleaning, customers, features, forecast, metrics, quality, rollup, scenario, stats, warehouse
 from ..session import configure, materialize
 from ..sources.extract import raw_extract
 from ..sources.star import BASE_COLS, OrderTables
@@ -58,14 +59,13 @@ def sales_quintile(star: OrderTables) -> DataFrame:
 
 def feature_table(star: OrderTables, profile: DataFrame | None = None) -> DataFrame:
     """All 47 columns: base, calendar, value, size band and customer columns."""
-    lines = star.lines(*BASE_COLS, *TIME_FEATURES, *VALUE_FEATURES)
-    banded = features.add_sales_category(lines, star.lines("sales"))
-    return features.attach_customer_features(banded, views.profile_of(star) if profile is None else profile)
+    known = features.customer_features(views.profile_of(star) if profile is None else profile)
+    lines = star.lines(*BASE_COLS, *TIME_FEATURES, *VALUE_FEATURES, per_customer=known)
+    return features.add_sales_category(lines, star.lines("sales"))
 
 
 def attached_customers(star: OrderTables) -> DataFrame:
-    lines = star.lines("row_id", "customer_id")
-    return features.attach_customer_features(lines, views.profile_of(star))
+    return star.lines("row_id", "customer_id", per_customer=features.customer_features(views.profile_of(star)))
 
 
 # -------------------------------------------------------------------- customers
@@ -210,6 +210,58 @@ def rank_sliced(star: OrderTables) -> DataFrame:
     return metrics.sales_rank(star.lines("order_date", "customer_name", "region", "segment", "sales"), "customer_name", SELECTION)
 
 
+# Ranges of days that running totals answer.
+RANGES = {
+    "first half of 1996": ("1996-01-01", "1996-06-30"),
+    "one day": ("1997-03-15", "1997-03-15"),
+    "everything": ("1900-01-01", "2100-12-31"),
+    "before the first day": ("1900-01-01", "1900-12-31"),
+}
+
+
+def totals_of_ranges(star: OrderTables) -> DataFrame:
+    running = materialize(rollup.running_totals(star.lines("order_date", "region", *rollup.SUMS), ["region"]), "running")
+    return rollup.range_totals(running, RANGES, ["region"])
+
+
+def running_comparison(star: OrderTables) -> DataFrame:
+    running = materialize(rollup.running_totals(star.lines("order_date", "sales"), sums=["sales"]), "running")
+    return rollup.period_comparison(running, 12)
+
+
+def sketched_counts(star: OrderTables) -> DataFrame:
+    """Exact distinct counts, and whether the stored sketches stay within their error of them."""
+    lines = star.lines(*rollup.ROLLUP_INPUTS, "region")
+    stored = materialize(rollup.daily_rollup(lines), "rollup")
+    about = rollup.united(stored, ["region"]).select("region", "lines", "orders_about", "customers_about")
+    exact = lines.groupBy("region").agg(F.count_distinct("order_id").alias("orders"), F.count_distinct("customer_id").alias("customers"))
+
+    def close(c: str) -> F.Column:
+        return (F.abs(F.col(f"{c}_about") / F.col(c) - 1) <= rollup.DISTINCT_ERROR).alias(f"{c}_close")
+
+    return exact.join(about, "region").select("region", "lines", "orders", "customers", close("orders"), close("customers"))
+
+
+def sketched_quantiles(star: OrderTables) -> DataFrame:
+    """Whether each quantile of a united sketch has a rank within the stated error of the wanted one."""
+    probs = [0.01, 0.25, 0.5, 0.75, 0.99]
+    lines = star.lines("region", *quality.MEASURES)
+    found = rollup.sketched_quantiles(rollup.quantile_sketch(lines, quality.MEASURES, ["region"]), probs)
+    wanted = found.select("measure", "n", F.posexplode("q").alias("at", "q"))
+    counts = counted(lines, quality.MEASURES).join(wanted, "measure").groupBy("measure", "at", "n").agg(
+        F.sum(F.when(F.col("v") < F.col("q"), F.col("cnt")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("v") <= F.col("q"), F.col("cnt")).otherwise(0)).alias("upto"),
+    )
+    p = F.element_at(F.array(*map(F.lit, probs)), F.col("at") + 1)
+    error = rollup.RANK_ERROR
+    close = (F.col("below") / F.col("n") <= p + error) & (F.col("upto") / F.col("n") >= p - error)
+    return counts.select("measure", p.alias("prob"), "n", close.alias("close"))
+
+
+def unread_dates(star: OrderTables) -> DataFrame:
+    return unreadable(cleaning.prepare(raw_extract(star)), cleaning.DATES)
+
+
 def prior_month(star: OrderTables) -> DataFrame:
     lines = star.lines("order_date", "state", "sales")
     return rounded(metrics.compare_periods(lines, {"total_sales": "sales"}, 1, ["state"]))
@@ -326,6 +378,7 @@ def _builders() -> dict[str, Builder]:
         "c12_cleaning_audit": lambda x: c.cleaning_audit(raw_extract(x)),
         "c13_validated_totals": lambda x: c.validated_totals(c.clean(raw_extract(x))),
         "c14_shell_diagnosis": lambda x: c.shell_diagnosis(raw_extract(x)),
+        "c05_unreadable_dates": unread_dates,
         # quality and statistics
         "k01_k16_rules": validation,
         "k16_rules_passed": lambda x: q.rules_passed(validation(x)),
@@ -362,6 +415,8 @@ def _builders() -> dict[str, Builder]:
         "k34_top_customers": lambda x: s.top_by(
             x.by_customer("customer_name", "sales"), key="customer_name", measure="sales", k=10
         ),
+        "a03_sketched_counts": sketched_counts,
+        "a13_sketched_quantiles": sketched_quantiles,
         "l09_scatter_sample": lambda x: s.scatter_sample(x.lines("row_id", "discount", "profit")),
         "w08_rolling_mean": lambda x: s.rolling_mean(s.monthly_totals(x.lines("year_month", *sp))),
         # exported aggregates
@@ -408,6 +463,8 @@ def _builders() -> dict[str, Builder]:
         "b06_prior_year_sliced": prior_year_sliced,
         "b07_b08_running_sales_sliced": running_sliced,
         "b09_customer_rank_sliced": rank_sliced,
+        "b07_range_totals": totals_of_ranges,
+        "b06_running_comparison": running_comparison,
         "b13_baskets": lambda x: kpi_measures(x, "avg_basket_size", "avg_lines_per_order", by=("segment",)),
         "b14_rank_in_scope": lambda x: m.rank_in_scope(x.by_product("product_name", "sales"), "product_name"),
         "b15_exposure": lambda x: kpi_measures(x, "recoverable_profit", "loss_making_lines", by=("category",)),

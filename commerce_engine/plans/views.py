@@ -130,11 +130,11 @@ def sales_detail(features: DataFrame) -> DataFrame:
     return features.withColumns({**flags, "profit_margin_pct": margin}).select(*DETAIL_COLS)
 
 
-def register(star: Star) -> None:
-    """Make the aggregate views available to Spark SQL."""
+def register(star: Star, profile: DataFrame | None = None) -> None:
+    """Make the aggregate views available to Spark SQL; a profile that is there already is not built again."""
     for name, build in {
         "vw_monthly_summary": monthly_summary,
-        "vw_customer_360": customer_360,
+        "vw_customer_360": lambda s: customer_360(s, profile),
         "vw_product_performance": product_performance,
         "vw_regional_summary": regional_summary,
         "vw_discount_analysis": discount_analysis,

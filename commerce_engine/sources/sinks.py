@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.columns import decimals_to_double
@@ -24,6 +24,13 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> Da
     return df.sparkSession.read.parquet(path)
 
 
+def write_observed(df: DataFrame, path: str, metrics: Mapping[str, Column], partition_by: str | None = None) -> tuple[DataFrame, dict]:
+    """As :func:`write_table`, with aggregates of the rows taken on their way into the table."""
+    seen = Observation()
+    watched = df.observe(seen, *[v.alias(k) for k, v in metrics.items()])
+    return write_table(watched, path, partition_by), seen.get
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """A small aggregate as one CSV file with a header."""
     decimals_to_double(df).coalesce(1).write.mode("overwrite").csv(path, header=True)

@@ -50,9 +50,15 @@ SUMMED = ["sales", "profit", "quantity"]
 class Star(ABC):
     """Source of order lines; queries are written against this interface only."""
 
+    #: Derived columns that the source holds itself.
+    stored: Sequence[str] = ()
+
     @abstractmethod
-    def base_lines(self, *cols: str) -> DataFrame:
-        """Order lines with exactly the base columns asked for."""
+    def base_lines(self, *cols: str, per_customer: DataFrame | None = None) -> DataFrame:
+        """Order lines with exactly the base columns asked for, then those of ``per_customer``.
+
+        ``per_customer`` holds one row per customer_id; lines without one get nulls.
+        """
 
     @abstractmethod
     def products(self) -> DataFrame:
@@ -79,18 +85,22 @@ class Star(ABC):
         totals = self.lines(key, *measures).groupBy(key).agg(*[F.sum(m).alias(m) for m in measures])
         return totals.join(attributes, key).select(*cols)
 
-    def lines(self, *cols: str) -> DataFrame:
-        """Order lines with base and derived (time, value) columns."""
-        base = [c for c in cols if c in BASE_COLS or c == "raw_ship_date"]
+    def lines(self, *cols: str, per_customer: DataFrame | None = None) -> DataFrame:
+        """Order lines with base and derived (time, value) columns, and those of ``per_customer``."""
+        base = [c for c in cols if c in BASE_COLS or c == "raw_ship_date" or c in self.stored]
         derived = [c for c in cols if c not in base]
         inputs = {i for c in derived for i in DERIVED_FROM[c]}
-        df = self.base_lines(*dict.fromkeys([*base, *sorted(inputs)]))
+        df = self.base_lines(*dict.fromkeys([*base, *sorted(inputs)]), per_customer=per_customer)
         if derived:
             if inputs & {"order_date", "ship_date"}:
                 df = add_time_features(df, only=derived)
             if any(c in VALUE_COLS for c in derived):
                 df = add_value_features(df)
-        return df.select(*cols)
+        return df.select(*cols, *attributes_of(per_customer))
+
+
+def attributes_of(per_customer: DataFrame | None) -> list[str]:
+    return [] if per_customer is None else [c for c in per_customer.columns if c != "customer_id"]
 
 
 _TIME = {
@@ -156,14 +166,20 @@ class OrderTables(Star):
             F.col("c_mktsegment").alias("segment"),
         )
 
-    def base_lines(self, *cols: str) -> DataFrame:
+    def base_lines(self, *cols: str, per_customer: DataFrame | None = None) -> DataFrame:
         tables = {NEEDS[c] for c in cols if c in NEEDS}
         df = self.table("lineitem")
-        if tables - {"part"}:
-            df = df.join(self._orders(tables), F.col("l_orderkey") == F.col("o_orderkey"))
+        attributes = attributes_of(per_customer)
+        if tables - {"part"} or attributes:
+            orders = self._orders(tables)
+            if attributes:
+                # Joined to orders, so that lines are shuffled once, on the order key.
+                of_customer = per_customer.select(F.col("customer_id").alias("_customer"), *[F.col(c).alias(f"_{c}") for c in attributes])
+                orders = orders.join(of_customer, F.col("o_custkey") == F.col("_customer"), "left")
+            df = df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         if "part" in tables:
             df = df.join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
-        return df.select(*[EXPRESSIONS[c]().alias(c) for c in cols])
+        return df.select(*[EXPRESSIONS[c]().alias(c) for c in cols], *[F.col(f"_{c}").alias(c) for c in attributes])
 
     def _orders(self, tables: set[str]) -> DataFrame:
         orders = self.table("orders")
@@ -252,7 +268,13 @@ EXPRESSIONS: dict[str, Callable[[], Column]] = {
 
 
 class Warehouse(Star):
-    """The star read back from the four tables that the pipeline writes."""
+    """The star read back from the tables that the pipeline writes.
+
+    The fact is partitioned by ``order_year``, which is read as it is stored: a predicate
+    on it leaves out whole directories.
+    """
+
+    stored = ("order_year",)
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -266,7 +288,7 @@ class Warehouse(Star):
     def customers(self) -> DataFrame:
         return self.table("dim_customer").select(*CUSTOMER_COLS)
 
-    def base_lines(self, *cols: str) -> DataFrame:
+    def base_lines(self, *cols: str, per_customer: DataFrame | None = None) -> DataFrame:
         df = self.table("fact_sales")
         wanted = set(cols)
         for dim, key in (("dim_customer", "customer_id"), ("dim_product", "product_id"), ("dim_geography", "geo_id")):
@@ -274,4 +296,7 @@ class Warehouse(Star):
             extra = [c for c in side.columns if c in wanted and c not in df.columns]
             if extra:
                 df = df.join(side.select(key, *extra), key)
-        return df.select(*cols)
+        attributes = attributes_of(per_customer)
+        if attributes:
+            df = df.drop(*attributes).join(per_customer, "customer_id", "left")
+        return df.select(*cols, *attributes)
