@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,17 @@ def number_from(text: str, kind: str) -> Column:
     return F.expr(f"CASE WHEN `{text}` RLIKE r'{NUMBER}' THEN try_cast(`{text}` AS {kind}) END")
 
 
+def appearance(row_id: str = "row_id") -> list[Column]:
+    """Sort order of first appearance: row numbers as numbers, any other row id behind them as text."""
+    return [number_from(row_id, "decimal(38,0)").asc_nulls_last(), F.col(row_id).asc()]
+
+
+def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of each key. The rank limit cuts each partition to one row a key before the shuffle."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_place", place).where("_place = 1").drop("_place")
+
+
 def ratio(p: Column, q: Column) -> Column:
     """p / q in DOUBLE; NULL when q is 0."""
     return F.try_divide(dbl(p), dbl(q))

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.columns import NUMBER, number_from, percent, ratio, rnd
+from ..functions.columns import NUMBER, appearance, first_rows, number_from, percent, ratio, rnd
 from ..functions.dates import read_date as parse_date
 from ..functions.fingerprint import FINGERPRINT, fingerprint, null_bits
 from ..session import materialize
@@ -91,8 +91,7 @@ def first_of_each(df: DataFrame) -> DataFrame:
     shuffle too: a group of copies of any size arrives as one row per input partition.
     """
     rest = [c for c in df.columns if c != "row_id" and c not in FINGERPRINT]
-    place = Window.partitionBy(*FINGERPRINT, *rest).orderBy(number_from("row_id", "decimal(38,0)").asc_nulls_last(), "row_id")
-    return df.withColumn("_place", F.row_number().over(place)).where("_place = 1").drop("_place", *FINGERPRINT)
+    return first_rows(df, [*FINGERPRINT, *rest], appearance()).drop(*FINGERPRINT)
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:
@@ -122,8 +121,8 @@ def common_postal_codes(df: DataFrame, *same: str) -> DataFrame:
     """
     codes = df.dropna(subset=[*PLACE, "postal_code"]).select(*PLACE, "postal_code", *same)
     counts = (codes.distinct() if same else codes).groupBy(*PLACE, "postal_code").agg(F.count("*").alias("uses"))
-    place = F.row_number().over(Window.partitionBy(*PLACE).orderBy(F.desc("uses"), "postal_code"))
-    return counts.withColumn("_place", place).where("_place = 1").select(*PLACE, F.col("postal_code").alias("common_code"))
+    best = first_rows(counts, PLACE, [F.desc("uses"), F.asc("postal_code")])
+    return best.select(*PLACE, F.col("postal_code").alias("common_code"))
 
 
 def impute_postal(df: DataFrame, codes: DataFrame | None = None, flag: str | None = None) -> DataFrame:

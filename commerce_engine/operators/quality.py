@@ -153,10 +153,11 @@ def fences_of(counts: DataFrame) -> DataFrame:
     return named.withColumns({"lower": F.col("q1") - 1.5 * iqr, "upper": F.col("q3") + 1.5 * iqr})
 
 
-def by_measure(fences: DataFrame) -> Column:
-    """measure -> fence as one map, a scalar subquery over one row per measure."""
-    fence = F.struct(*[c for c in fences.columns if c != "measure"])
-    return fences.agg(F.map_from_entries(F.collect_list(F.struct("measure", fence))).alias("m")).scalar()
+def by_measure(fences: DataFrame, measures: Sequence[str]) -> Column:
+    """One struct with a field for each measure's fence, a scalar subquery over one row per measure."""
+    limits = [c for c in fences.columns if c != "measure"]
+    of = lambda m: [F.max(F.when(F.col("measure") == m, F.col(c))).alias(c) for c in limits]
+    return fences.agg(F.struct(*[F.struct(*of(m)).alias(m) for m in measures]).alias("m")).scalar()
 
 
 def outlier_summary(df: DataFrame, measures: Sequence[str] = tuple(MEASURES)) -> DataFrame:
@@ -203,11 +204,11 @@ def corrected_kurtosis(g2: str, n: str) -> Column:
 
 def outlier_flags(df: DataFrame, measures: Sequence[str] = tuple(MEASURES)) -> DataFrame:
     """All rows with one flag per measure: outside its fence."""
-    fenced = df.withColumn("_fence", by_measure(outlier_fences(df, measures).select("measure", "lower", "upper")))
+    fenced = df.withColumn("_fence", by_measure(outlier_fences(df, measures).select("measure", "lower", "upper"), measures))
     flags = {}
     for m in measures:
         v = F.col(m).cast("double")
-        fence = F.col("_fence")[m]
+        fence = F.col(f"_fence.{m}")
         flags[f"{m}_outlier"] = F.coalesce((v < fence["lower"]) | (v > fence["upper"]), F.lit(False))
     return fenced.withColumns(flags).drop("_fence")
 

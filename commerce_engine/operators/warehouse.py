@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import appearance, first_rows, number_from
 from ..functions.ranking import with_global_position
 from ..session import materialize
 
@@ -29,16 +30,17 @@ def dim_customer(profile: DataFrame) -> DataFrame:
 
 
 def dim_product(lines: DataFrame) -> DataFrame:
-    """The attributes of each product's first line (lowest row id)."""
-    attributes = ["product_name", "category", "sub_category"]
-    first = F.min_by(F.struct(*attributes), "row_id").alias("first")
-    return lines.groupBy("product_id").agg(first).select("product_id", *[f"first.{a}" for a in attributes])
+    """The attributes of each product's first line (lowest row id, numbers as numbers)."""
+    columns = ["product_id", "product_name", "category", "sub_category"]
+    return first_rows(lines.select("row_id", *columns), ["product_id"], appearance()).select(*columns)
 
 
 def dim_geography(lines: DataFrame) -> DataFrame:
     """Distinct places numbered in order of first appearance (lowest row id)."""
-    places = lines.groupBy(*GEO_KEYS).agg(F.min("row_id").alias("first_row"))
-    numbered = with_global_position(materialize(places, "places"), ["first_row"], "geo_id")
+    places = first_rows(lines.select("row_id", *GEO_KEYS), GEO_KEYS, appearance())
+    number = number_from("row_id", "decimal(38,0)")
+    ordered = places.withColumns({"_text": number.isNull(), "_number": number})
+    numbered = with_global_position(materialize(ordered, "places"), ["_text", "_number", "row_id"], "geo_id")
     return numbered.select(F.col("geo_id").cast("int").alias("geo_id"), *GEO_KEYS)
 
 

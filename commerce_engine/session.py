@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,10 +48,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, removed when the application ends or by :func:`remove_written`."""
-    if not _written:
-        atexit.register(remove_written)
-    _written.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
-    return _written[-1]
+    paths = _own_paths()
+    paths.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return paths[-1]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -65,23 +65,43 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_written: list[str] = []
+_local = threading.local()
+_threads: list[list[str]] = []
+
+
+def _own_paths() -> list[str]:
+    """The scratch paths of this thread: queries in other driver threads have theirs."""
+    if not hasattr(_local, "paths"):
+        if not _threads:
+            atexit.register(_remove_all)
+        _local.paths = []
+        _threads.append(_local.paths)
+    return _local.paths
+
+
+def _remove_all() -> None:
+    for paths in _threads:
+        _remove(paths, 0, 0)
 
 
 def written_so_far() -> int:
-    return len(_written)
+    return len(_own_paths())
 
 
 def remove_written(first: int = 0, keep: int = 0) -> None:
-    """Remove what lies under the scratch paths from the ``first`` on, but for the last ``keep``.
+    """Remove what lies under this thread's scratch paths from the ``first`` on, but for the last ``keep``.
 
-    Frames that read them can no longer run. Called without arguments when the application ends.
+    Frames that read them can no longer run. When the application ends, all paths go.
     """
+    _remove(_own_paths(), first, keep)
+
+
+def _remove(written: list[str], first: int, keep: int) -> None:
     spark = SparkSession.getActiveSession()
     if spark is None or spark.sparkContext._jsc is None:
         return
     hadoop = spark._jsc.hadoopConfiguration()
-    paths = _written[first : len(_written) - keep]
-    del _written[first : len(_written) - keep]
+    paths = written[first : len(written) - keep]
+    del written[first : len(written) - keep]
     for path in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
         path.getFileSystem(hadoop).delete(path, True)
