@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import anomalies, dac, embeddings, filter_audit, languages, mixing, ordinal, packing, prefix_counts, pseudonyms, similarity, suffix_dedup, vector_codes
+from . import anomalies, dac, embeddings, filter_audit, languages, link_sql, mixing, ordinal, packing, prefix_counts, pseudonyms, similarity, suffix_dedup, vector_codes
 from ..session import scratch_path
 from .common import table
 
@@ -114,4 +114,7 @@ SELECT p.doc_id, p.source, p.block,
 FROM placed p JOIN numbers n ON p.source IS NOT DISTINCT FROM n.source JOIN slots s ON s.i = n.i AND s.kth = p.block % n.share
 """
 
-ORACLE: dict[str, str] = {"op4_mixing": MIXING_SQL, "op11_filter_audit": filter_audit.AUDIT_SQL, "op12_vector_codes": vector_codes.CODES_SQL}
+ORACLE: dict[str, str] = {
+    "op1_embeddings": link_sql.VECTORS_SQL, "op4_mixing": MIXING_SQL, "op5_minhash": link_sql.DOCUMENTS_SQL,
+    "op11_filter_audit": filter_audit.AUDIT_SQL, "op12_vector_codes": vector_codes.CODES_SQL,
+}
