@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; a longer document makes a block of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 U64 = np.uint64
 IS_SPACE = np.zeros(256, bool)
