@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import decimals_to_double, qcut, rnd
+from ..functions.columns import decimals_to_double, display_money, display_thousands, qcut, rnd
 from ..functions.dates import unreadable
 from ..functions.quantiles import counted, quantile_edges
 from ..operators import cleaning, customers, features, forecast, metrics, quality, rollup, scenario, stats, warehouse
@@ -289,6 +289,12 @@ def state_codes(star: OrderTables) -> DataFrame:
     return star.table("nation").select(F.col("n_name").alias("state"), code.alias("code"))
 
 
+def displayed(star: OrderTables) -> DataFrame:
+    """Totals by region as a dashboard writes them."""
+    lines = star.lines("region", "sales", "profit").groupBy("region").agg(F.count("*").alias("n"), F.sum("sales").alias("s"), F.sum("profit").alias("p"))
+    return lines.select("region", display_thousands(F.col("n")).alias("lines"), display_money(F.col("s"), 1e6, 3, "M").alias("sales"), display_money(F.col("p"), 1e3, 1, "K").alias("profit"))
+
+
 def payload(star: OrderTables) -> DataFrame:
     return dashboard.payload(star.lines(*dashboard.PAYLOAD_INPUTS), state_codes(star))
 
@@ -490,6 +496,7 @@ def _builders() -> dict[str, Builder]:
         "d07_as_of": on_lines(d.as_of, "order_date"),
         "d08_month_signs": on_lines(d.month_signs, "year_month", "profit"),
         "s09_dashboard_payload": payload,
+        "x15_display_strings": displayed,
         # workbook
         "e01_kpis": on_lines(w.kpis, "order_id", "customer_name", "quantity", *sp),
         "e02_category_table": lambda x: rounded(

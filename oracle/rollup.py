@@ -28,6 +28,9 @@ ROLLUP_CHECKS = {
           CAST(SUM(s.now) OVER (PARTITION BY year(s.m) ORDER BY s.m) AS DOUBLE) AS ytd,
           CAST(SUM(s.now) OVER (ORDER BY s.m) AS DOUBLE) AS total
         FROM s LEFT JOIN s p ON p.m = CAST(s.m - INTERVAL 12 MONTH AS DATE)"""),
+    "x15_display_strings": on_lines("""
+        SELECT region, format('{:,}', COUNT(*)) AS lines, printf('$%.3fM', CAST(SUM(sales) AS DOUBLE) / 1e6) AS sales,
+          printf('$%.1fK', CAST(SUM(profit) AS DOUBLE) / 1e3) AS profit FROM f GROUP BY region"""),
     "a03_sketched_counts": on_lines("""
         SELECT region, COUNT(*) AS lines, COUNT(DISTINCT order_id) AS orders, COUNT(DISTINCT customer_id) AS customers,
           TRUE AS orders_close, TRUE AS customers_close FROM f GROUP BY region"""),
