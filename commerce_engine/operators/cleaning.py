@@ -199,7 +199,7 @@ class Cleaning:
         kept = Observation()
         return self.cleaned(IMPUTED).observe(kept, *kept_counts()).drop(IMPUTED), kept
 
-    def audit(self, kept: DataFrame | Observation | None = None) -> DataFrame:
+    def audit(self, kept: Observation | None = None) -> DataFrame:
         """Rows loaded, removed per step, imputed, left open and kept.
 
         ``kept`` are the observed counts of a write; without them the rows are counted.
