@@ -17,18 +17,29 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> Da
     gets a few files of good size, and a directory holding most of the rows is
     still written by many tasks.
     """
-    if partition_by:
-        df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").partitionBy(partition_by).parquet(path)
-    else:
-        df.write.mode("overwrite").parquet(path)
+    _save(_spread(df, partition_by), path, partition_by)
     return df.sparkSession.read.parquet(path)
 
 
+def _spread(df: DataFrame, partition_by: str | None) -> DataFrame:
+    return df.hint("rebalance", F.col(partition_by)) if partition_by else df
+
+
+def _save(df: DataFrame, path: str, partition_by: str | None) -> None:
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+
+
 def write_observed(df: DataFrame, path: str, metrics: Mapping[str, Column], partition_by: str | None = None) -> tuple[DataFrame, dict]:
-    """As :func:`write_table`, with aggregates of the rows taken on their way into the table."""
+    """As :func:`write_table`, with aggregates of the rows taken on their way into the table.
+
+    They are taken in the writing stage, behind the last shuffle: its tasks count once,
+    however often earlier stages are run again for lost executors.
+    """
     seen = Observation()
-    watched = df.observe(seen, *[v.alias(k) for k, v in metrics.items()])
-    return write_table(watched, path, partition_by), seen.get
+    watched = _spread(df, partition_by).observe(seen, *[v.alias(k) for k, v in metrics.items()])
+    _save(watched, path, partition_by)
+    return df.sparkSession.read.parquet(path), seen.get
 
 
 def write_report(df: DataFrame, path: str) -> None:
