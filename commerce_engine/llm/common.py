@@ -15,7 +15,7 @@ from ..session import materialize as written
 
 
 #: Texts come in long rows: smaller Arrow batches keep a worker's memory down. A value given at launch wins.
-DEFAULTS = {"spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+DEFAULTS = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 def ship(spark: SparkSession) -> SparkSession:
