@@ -28,6 +28,9 @@ DIGITS = "0123456789"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 ISO = r"^\d{4}-\d{2}-\d{2}$"
+#: The two commonest classes in plain notation, "ynn" and "nny", which need no tokens.
+YEAR_FIRST = r"^\d{4}([-/.])\d{1,2}\1\d{1,2}\z"
+YEAR_LAST = r"^\d{1,2}([-/.])\d{1,2}\1\d{4}\z"
 TIME = (
     r"[T ]\s*([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d([.,]\d+)?)?\s*([AaPp]\.?[Mm]\.?)?\s*(Z|UTC|GMT|[+-]\d{2}:?\d{2})?$"
 )
@@ -92,7 +95,13 @@ def read_date(c: str) -> Column:
     """
     text = f"`{c}`"
     mixed = f"transform(array({tokens(text)}), p -> transform(array({KINDS}), k -> {_in_order()})[0])[0]"
-    return F.expr(f"CASE WHEN {text} RLIKE r'{ISO}' THEN try_cast({text} AS DATE) ELSE try_cast({mixed} AS DATE) END")
+    dashed = f"translate({text}, '/.', '--')"
+    a, b, c = (f"split_part({dashed}, '-', {i})" for i in (1, 2, 3))
+    year_last = f"CASE WHEN CAST({a} AS INT) > 12 THEN concat_ws('-', {c}, {b}, {a}) ELSE concat_ws('-', {c}, {a}, {b}) END"
+    return F.expr(f"""CASE WHEN {text} RLIKE r'{ISO}' THEN try_cast({text} AS DATE)
+        WHEN {text} RLIKE r'{YEAR_FIRST}' THEN try_cast({dashed} AS DATE)
+        WHEN {text} RLIKE r'{YEAR_LAST}' THEN try_cast({year_last} AS DATE)
+        ELSE try_cast({mixed} AS DATE) END""")
 
 
 def shape(text: Column) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FINGERPRINT = ["_fp1", "_fp2"]
@@ -37,3 +37,27 @@ def fingerprint(columns: Sequence[str]) -> dict[str, Column]:
     values = [f"`{c}`" for c in columns]
     hashes = [*nulls, *values], [str(SALT), *reversed(values), *nulls]
     return {name: F.expr(f"xxhash64({', '.join(parts)})") for name, parts in zip(FINGERPRINT, hashes)}
+
+
+#: Marks are bits of 2^20 words of 64: what they take is bounded, whatever they stand for.
+MARK_BITS = 26
+
+
+def _word_and_bit(hash_: str) -> tuple[Column, Column]:
+    spot = F.col(hash_).bitwiseAND(F.lit((1 << MARK_BITS) - 1).cast("bigint"))
+    return F.shiftright(spot, 6), spot.bitwiseAND(F.lit(63).cast("bigint")).cast("int")
+
+
+def marks(df: DataFrame, hash_: str) -> DataFrame:
+    """(word, mask): a bit for each value of a hash column, at most 2^20 rows of two numbers."""
+    word, bit = _word_and_bit(hash_)
+    mask = F.expr("bit_or(shiftleft(1L, _bit))")
+    return df.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(mask.alias("_mask"))
+
+
+def in_marks(df: DataFrame, known: DataFrame, hash_: str, marked: bool) -> DataFrame:
+    """The rows whose hash is marked, or all the others. Marks are of bounded size, so they are sent to all."""
+    word, bit = _word_and_bit(hash_)
+    found = F.coalesce(F.getbit("_mask", bit) == 1, F.lit(False))
+    both = df.join(F.broadcast(known), word == F.col("_word"), "inner" if marked else "left")
+    return both.where(found if marked else ~found).select(*df.columns)

@@ -8,13 +8,14 @@ audit are observed in that write. Everything later reads the stage table.
 from __future__ import annotations
 
 import re
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.columns import NUMBER, appearance, first_rows, number_from, percent, ratio, rnd
 from ..functions.dates import read_date as parse_date
-from ..functions.fingerprint import FINGERPRINT, fingerprint, null_bits
+from ..functions.fingerprint import FINGERPRINT, fingerprint, in_marks, marks, null_bits
 from ..session import materialize
 from ..sources.extract import MALFORMED
 
@@ -94,9 +95,26 @@ def first_of_each(df: DataFrame) -> DataFrame:
     return first_rows(df, [*FINGERPRINT, *rest], appearance()).drop(*FINGERPRINT)
 
 
+def repeated(rows: DataFrame) -> DataFrame:
+    """Marks of the fingerprints that occur more than once; a table of bounded size, written once.
+
+    One number a row is shuffled. A mark may be shared by a row without copies, which
+    then is compared for nothing; no copy is without one.
+    """
+    uses = rows.groupBy("_fp1").agg(F.count("*").alias("uses"))
+    return materialize(marks(uses.where("uses > 1"), "_fp1"), "repeated")
+
+
+def without_copies(rows: DataFrame) -> DataFrame:
+    """As :func:`first_of_each`, of a written table: only rows of a repeated fingerprint are shuffled and compared."""
+    known = repeated(rows)
+    alone = in_marks(rows, known, "_fp1", False).drop(*FINGERPRINT)
+    return alone.unionByName(first_of_each(in_marks(rows, known, "_fp1", True)))
+
+
 def drop_duplicates(df: DataFrame) -> DataFrame:
-    """As :func:`first_of_each`, of rows as they come; numbers in one spelling."""
-    return first_of_each(comparable(df)).select(*df.columns)
+    """As :func:`first_of_each`, of rows as they come; numbers in one spelling. The rows are written once."""
+    return without_copies(materialize(comparable(df), "comparable")).select(*df.columns)
 
 
 def parse_measures(df: DataFrame) -> DataFrame:
@@ -132,10 +150,12 @@ def impute_postal(df: DataFrame, codes: DataFrame | None = None, flag: str | Non
     return filled.select(*[code.alias(c) if c == "postal_code" else F.col(c) for c in df.columns], *extra)
 
 
+# The characters that Unicode calls white space.
+BLANKS = "".join(map(chr, [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def trim_text(df: DataFrame) -> DataFrame:
-    return df.selectExpr(
-        *[rf"regexp_replace(`{c}`, r'(?U)^\s+|\s+$', '') AS `{c}`" if t == "string" else f"`{c}`" for c, t in df.dtypes]
-    )
+    return df.withColumns({c: F.trim(c, F.lit(BLANKS)) for c, t in df.dtypes if t == "string"})
 
 
 IMPUTED = "_imputed"
@@ -147,8 +167,8 @@ class Cleaning:
     Building it writes the complete rows (and malformed ones, which go no further) with
     their dates and fingerprints. The write is a result stage without a shuffle, so the
     observed counts are exact even if executors are lost. A row's dates are read once,
-    duplicates are dropped by one shuffle, and postal codes are counted from five narrow
-    columns.
+    only rows of a repeated fingerprint are shuffled to drop duplicates, and postal codes
+    are counted from the three columns of the rows that remain.
     """
 
     def __init__(self, raw: DataFrame):
@@ -182,17 +202,21 @@ class Cleaning:
 
     def typed(self) -> DataFrame:
         """Without duplicates, dates and numbers typed, postal codes as text."""
-        kept = first_of_each(self.rows)
-        dated = kept.withColumns({d: F.col(f"_{d}") for d in DATES})
+        dated = self.distinct.withColumns({d: F.col(f"_{d}") for d in DATES})
         return parse_measures(dated).withColumn("postal_code", postal_text()).select(*self.columns)
 
+    @cached_property
+    def distinct(self) -> DataFrame:
+        """The stage's rows without their duplicates; the first use writes the marks of what is repeated."""
+        return without_copies(self.rows)
+
     def common_codes(self) -> DataFrame:
-        """As :func:`common_postal_codes` of the typed rows, without dropping duplicates first."""
-        return common_postal_codes(self.rows.withColumn("postal_code", postal_text()), *FINGERPRINT)
+        """As :func:`common_postal_codes` of the typed rows."""
+        return common_postal_codes(self.distinct.withColumn("postal_code", postal_text()))
 
     def cleaned(self, flag: str | None = None) -> DataFrame:
-        """All steps, one lazy plan over the stage table."""
-        return trim_text(impute_postal(self.typed(), self.common_codes(), flag))
+        """All steps over the stage table. One row a place is written first, so that its true size decides how it joins."""
+        return trim_text(impute_postal(self.typed(), materialize(self.common_codes(), "codes"), flag))
 
     def observed(self) -> tuple[DataFrame, Observation]:
         """The cleaned rows, and what :meth:`audit` needs to know once they have been written."""
