@@ -17,6 +17,10 @@ DEFAULTS = {
     # join's partitioning: one extra exchange beats one task with a third of
     # the rows.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # What a reading task takes is bounded by its bytes, not by the input over a fixed
+    # number of tasks: many small partitions, put together up to this size.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "512",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
 }
 
 # Only at launch. Without it PySpark looks up the caller's source line for every column
