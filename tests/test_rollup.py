@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from commerce_engine import pipeline
+from commerce_engine.functions import dates
 from commerce_engine.functions import fingerprint as fp
 from commerce_engine.functions import moments
 from commerce_engine.functions.dates import read_date, unreadable
@@ -190,3 +191,63 @@ def test_the_fact_is_reconciled_while_it_is_written(spark, stored):
     fact = star.table("fact_sales").agg(F.count("*").alias("n"), F.sum("sales").cast("double").alias("s")).first()
     assert (row.lines, row.lines_without_place) == (fact.n, 0) and abs(row.sales - fact.s) < 0.01
     assert isinstance(star, Warehouse)
+
+
+# ------------------------------------------------------------ cleaning at size
+def test_only_rows_of_a_repeated_fingerprint_are_compared(spark):
+    rows = [(str(i), "a" if i % 10 else str(i)) for i in range(2000)] + [("x", "a")]
+    df = spark.createDataFrame(rows, "row_id string, v string").withColumns(fp.fingerprint(["v"]))
+    known = cleaning.repeated(df)
+    assert known.count() == 1
+    assert fp.in_marks(df, known, "_fp1", True).count() == 1801
+    assert fp.in_marks(df, known, "_fp1", False).count() == 200
+    kept = {r.v: r.row_id for r in cleaning.without_copies(df).collect()}
+    assert len(kept) == 201 and kept["a"] == "1"
+
+
+def test_marks_of_negative_numbers_zero_and_word_ends(spark):
+    hashes = [0, 63, 64, -1, -64, 2**63 - 1, -(2**63), 2**26, 2**26 + 63]
+    df = spark.createDataFrame([(h,) for h in hashes], "h bigint")
+    known = fp.marks(df, "h")
+    assert fp.in_marks(df, known, "h", True).count() == len(hashes)
+    others = spark.createDataFrame([(1,), (62,), (65,), (None,)], "h bigint")
+    assert fp.in_marks(others, known, "h", True).count() == 0
+    assert fp.in_marks(others, known, "h", False).count() == 4
+
+
+def test_cleaned_rows_meet_the_codes_without_a_shuffle(spark, star):
+    work = cleaning.Cleaning(raw_extract(star))
+    text = plan(work.cleaned())
+    # The one shuffle left is that of the rows that may be copies.
+    assert text.count("Exchange hashpartitioning(") == 1 and "SortMergeJoin" not in text
+
+
+def test_every_unicode_blank_is_trimmed_at_both_ends_only(spark):
+    texts = [f"{chr(i)}a{chr(i)}b{chr(i)}{chr(i)}" for i in [*range(1, 0x300), 0x1680, 0x180E, *range(0x2000, 0x2070), 0x3000, 0xFEFF]] + [" ", "", None, " \n", "a\n \u2028"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    by_pattern = df.selectExpr("i", r"regexp_replace(t, r'(?U)^\s+|\s+$', '') AS t")
+    assert cleaning.trim_text(df).exceptAll(by_pattern).count() == 0
+    assert "regexp" not in plan(cleaning.trim_text(df))
+
+
+def test_plain_dates_need_no_tokens_and_read_the_same(spark):
+    texts = {"2018/1/2": "2018-01-02", "2018.01.02": "2018-01-02", "2018-1-2": "2018-01-02", "1/2/2018": "2018-01-02", "13.2.2018": "2018-02-13", "1/2-2018": "2018-01-02",
+             "1/2/2018\n": "2018-01-02", "2018/1/2\n": "2018-01-02", "0/1/2018": None, "2018/13/1": None, "31/31/2018": None}
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", read_date("t").alias("d"))
+    assert {r.t: r.d and r.d.isoformat() for r in df.collect()} == texts
+    assert dates.YEAR_FIRST in plan(df) and dates.YEAR_LAST in plan(df)
+
+
+def test_lines_end_up_by_order_key(spark, star):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(star.lines("category", "order_id", "profit").groupBy("category").agg(F.count_distinct("order_id")))
+        assert not [x for x in text.splitlines() if "Exchange hashpartitioning(category" in x and "order_id" in x]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_reading_tasks_are_bounded_by_bytes(spark):
+    assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 512
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
