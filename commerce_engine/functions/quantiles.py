@@ -41,7 +41,9 @@ def exact_quantiles(df: DataFrame, measures: Sequence[str], probs: Sequence[floa
 
 def quantiles_of(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
     """As :func:`exact_quantiles`, from the counts of :func:`counted`."""
-    values = counts.withColumn("bucket", _bucket(F.col("v")))
+    # Never null. The join below makes Spark infer this filter for one of the two uses, which
+    # would then differ from the other, and the input be read and counted for each.
+    values = counts.withColumn("bucket", _bucket(F.col("v"))).where("bucket is not null")
 
     at = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
     ranks = F.array(*[r for h in at for r in (F.floor(h), F.ceil(h))])

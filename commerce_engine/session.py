@@ -21,6 +21,10 @@ DEFAULTS = {
     # number of tasks: many small partitions, put together up to this size.
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "512",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    # HotSpot never compiles a method above 8,000 bytes: a wide projection that Spark fuses
+    # into one would be interpreted for every row. Above this Spark runs its operators
+    # one by one, with their expressions split into small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # Only at launch. Without it PySpark looks up the caller's source line for every column

@@ -11,8 +11,10 @@ from commerce_engine import pipeline
 from commerce_engine.functions import dates
 from commerce_engine.functions import fingerprint as fp
 from commerce_engine.functions import moments
+from commerce_engine.functions.columns import mean
 from commerce_engine.functions.dates import read_date, unreadable
-from commerce_engine.operators import cleaning, features, metrics, quality, rollup, warehouse
+from commerce_engine.functions.quantiles import exact_quantiles
+from commerce_engine.operators import cleaning, customers, features, metrics, quality, rollup, warehouse
 from commerce_engine.plans import registry
 from commerce_engine.sources.extract import RAW_COLUMNS, raw_extract, read_raw_csv
 from commerce_engine.sources.star import Warehouse
@@ -251,3 +253,53 @@ def test_lines_end_up_by_order_key(spark, star):
 def test_reading_tasks_are_bounded_by_bytes(spark):
     assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 512
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
+# ------------------------------------------------------- features of lines at size
+def test_no_generated_method_is_too_large_for_the_compiler(spark):
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_month_and_weekday_names_are_looked_up(spark):
+    # One date in ten is missing.
+    days = spark.range(430).select(F.expr("CASE WHEN id % 10 > 0 THEN date_add(DATE'1899-12-25', int(id)) END AS order_date"))
+    names = features.add_time_features(days.withColumn("ship_date", F.date_add("order_date", 40)))
+    assert "MMM" not in plan(names) and "EEEE" not in plan(names)
+    as_formatted = names.select(
+        "*", F.date_format("order_date", "MMM").alias("m"), F.date_format("ship_date", "MMM").alias("s"), F.date_format("order_date", "EEEE").alias("d")
+    )
+    assert as_formatted.where("order_month_name <=> m AND processing_month <=> s AND order_day_name <=> d").count() == days.count()
+    assert names.where("order_month_name IS NULL AND processing_month IS NULL AND order_day_name IS NULL").count() == 43
+
+
+def test_lifetime_totals_count_orders_and_products_without_copies_of_lines(spark, star):
+    rows = [
+        # one order twice, an order and a product without a key, one id under two names, a name without a segment
+        ("c", "n", "s", 1, 1, 10, 1), ("c", "n", "s", 1, 1, 10, 1), ("c", "n", "s", 1, 2, None, None), ("c", "n", "s", None, 2, 5, 3),
+        ("c", "n", "s", 2, None, 1, 2), ("c", "m", "s", 1, 1, 7, 4), ("d", "n", "s", None, None, None, None), ("d", "n", None, 1, 1, 1, 1),
+    ]
+    names = "customer_id string, customer_name string, segment string, order_id int, product_id int, v int, day int"
+    money = F.col("v").cast("decimal(18,2)")
+    lines = spark.createDataFrame(rows, names).select(
+        *customers.KEYS, "order_id", "product_id", F.date_add(F.lit("2018-01-01").cast("date"), F.col("day")).alias("order_date"),
+        money.alias("sales"), money.alias("profit"), F.col("v").alias("quantity"), (F.col("v") / 10).cast("decimal(4,2)").alias("discount"),
+    )
+    got = customers.lifetime_totals(lines)
+    want = lines.dropna(subset=customers.KEYS).groupBy(*customers.KEYS).agg(
+        F.count_distinct("order_id").alias("lifetime_orders"), F.sum("sales").alias("lifetime_value"), F.sum("profit").alias("lifetime_profit"),
+        F.sum("quantity").alias("lifetime_units"), mean("discount").alias("avg_discount"), F.min("order_date").alias("first_order"),
+        F.max("order_date").alias("last_order"), F.count_distinct("product_id").alias("distinct_products"),
+    )
+    assert got.dtypes == want.dtypes and want.count() == 3
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    assert "Expand" not in plan(customers.lifetime_totals(star.lines(*customers.PROFILE_INPUTS)))
+
+
+def test_quantiles_read_their_input_once(spark, star):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(exact_quantiles(star.lines("sales"), ["sales"], [0.25, 0.5]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert text.count("FileScan parquet") == 1 and "ReusedExchange" in text
