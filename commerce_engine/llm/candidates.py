@@ -49,6 +49,20 @@ def groups_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+def node_forest(node: np.ndarray, sketch: np.ndarray, agrees: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The smallest row that each row reaches over rows of equal ``node`` (sorted) whose sketches agree."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    distance, at = 1, np.arange(len(node) - 1)
+    while len(at):
+        at = at[node[at] == node[at + distance]]
+        same = agrees(sketch[at], sketch[at + distance])
+        left.append(at[same])
+        right.append(at[same] + distance)
+        distance += 1
+        at = at[at + distance < len(node)]
+    return spanning(len(node), np.concatenate(left), np.concatenate(right))
+
+
 def node_links(nodes: DataFrame, agrees: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
     """Links (src, dst) between rows of equal ``node`` whose sketches agree; a spanning forest, not all pairs.
 
@@ -63,16 +77,7 @@ def node_links(nodes: DataFrame, agrees: Callable[[np.ndarray, np.ndarray], np.n
             ids = table.column(1).to_numpy()
             raw = table.column(2).combine_chunks()
             sketch = fixed(raw, np.uint8, len(raw[0].as_py()))
-            left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            distance, at = 1, np.arange(len(node) - 1)
-            while len(at):
-                at = at[node[at] == node[at + distance]]
-                same = agrees(sketch[at], sketch[at + distance])
-                left.append(at[same])
-                right.append(at[same] + distance)
-                distance += 1
-                at = at[at + distance < len(node)]
-            label = spanning(len(node), np.concatenate(left), np.concatenate(right))
+            label = node_forest(node, sketch, agrees)
             moved = np.flatnonzero(label != np.arange(len(label)))
             if len(moved):
                 yield pa.record_batch([pa.array(ids[moved]), pa.array(ids[label[moved]])], names=["src", "dst"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
@@ -174,6 +175,52 @@ def test_vectors_awkward_rows(spark):
     assert embeddings.similar_vectors(vector_rows(spark, rows).limit(0)).count() == 0
 
 
+def test_vectors_in_rounds_of_tables(spark, monkeypatch):
+    """A few tables a round, records compared before all have come, folded components."""
+    for name, value in (("ENTRIES", 1), ("PART", 4096), ("LITTLE", 512), ("HELD", 2048), ("LEAF", 4), ("MOST", 8)):
+        monkeypatch.setattr(embeddings, name, value)
+    check_vectors(vector_rows(spark, clusters(120, 2)))
+
+
+def test_vectors_tables_are_not_stored(spark, monkeypatch):
+    """Nothing that is written has more rows than the vectors, however many tables there are."""
+    rows = []
+    monkeypatch.setattr(embeddings, "written", lambda frame, name, f=embeddings.written: rows.append((name, (kept := f(frame, name)).count())) or kept)
+    frame = vector_rows(spark, np.random.default_rng(4).normal(size=(1000, 32)).tolist())
+    assert embeddings.similar_vectors(frame).count() == 1000
+    assert max(n for _, n in rows) == 1000 and embeddings.parameters(1000, 0.9)[1] > 10
+
+
+def test_vectors_strangers_of_a_large_bucket_stay_apart(spark, monkeypatch):
+    """Large buckets of vectors without any link are no candidate groups."""
+    units = []
+    monkeypatch.setattr(embeddings, "LEAF", 4)
+    monkeypatch.setattr(embeddings, "exact_pairs", lambda frame, *more, f=embeddings.exact_pairs: units.append(frame.count()) or f(frame, *more))
+    check_vectors(vector_rows(spark, np.random.default_rng(5).normal(size=(400, 48)).tolist()))
+    assert units == [0]
+
+
+def test_matrix_forest_equals_all_pairs(monkeypatch):
+    monkeypatch.setattr(embeddings, "BLOCK", 16)
+    x = embeddings.unit_rows(np.asarray(clusters(100, 6)))
+    short = embeddings.rounded(x, *embeddings.rounding(16, 16), 16)
+    for least in (-2.0, 0.8, 0.95, 0.99, 2.0):
+        linked = short.astype(float) @ short.T.astype(float) / embeddings.LEVELS**2 >= least
+        assert (embeddings.matrix_forest(short.view(np.uint64), least) == embeddings.reached(linked)).all()
+
+
+def test_rounded_vectors_keep_their_cosines():
+    """No pair at the threshold falls below the least cosine of rounded vectors, nor does one of equal components."""
+    rng = np.random.default_rng(7)
+    a = embeddings.unit_rows(np.vstack([rng.normal(size=(3000, 64)), np.ones((1, 64)), np.eye(64)]))
+    b = rng.normal(size=a.shape)
+    b = embeddings.unit_rows(b - (a * b).sum(1, keepdims=True) * a)
+    b = 0.9 * a + math.sqrt(1 - 0.81) * b
+    rule = embeddings.rounding(64, 64)
+    found = embeddings.cosines(embeddings.rounded(a, *rule, 64).view(np.uint64), embeddings.rounded(b, *rule, 64).view(np.uint64))
+    assert (found >= embeddings.least_cosine(0.9, 64, 64)).all() and abs(found - 0.9).max() < 0.03
+
+
 # --------------------------------------------------------------------- 2 strings
 def test_repeats_equal_brute_force(documents, corpus):
     ids, texts = corpus
