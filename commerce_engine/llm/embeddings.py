@@ -63,7 +63,7 @@ PART = 24 << 20
 LITTLE = 1 << 20  # less is not worth a task of its own
 HELD = 64 << 20
 ENTRIES = 256 << 20  # so many bytes are worth a round of their own
-CODES = 1 << 21  # projections computed at once
+CODES = 1 << 21  # projections computed, or words packed, at once
 #: A written table is all that later steps read, so the shuffles behind it can go at once.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -191,7 +191,7 @@ def buckets(reps: DataFrame, kind: str, projections: int, tables: range, parts:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, tuple] = {}
-        rows = max(64, CODES // (count * projections))
+        rows = max(64, CODES // (count * max(projections, 2 + length // WORD)))
         for whole in batches:
             for first in range(0, whole.num_rows, rows):
                 batch = whole.slice(first, rows)
